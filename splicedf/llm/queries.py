@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality_rules
-from splicedf.llm.common import read
+from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality_rules, token_tables
+from splicedf.llm.common import read, scratch
+
+#: Name of the tokenizer's file among the public tokenizers.
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
+
+
+def op1_token_tables(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path(TOKENIZER)
+    path = scratch(spark, "token-tables")
+    token_tables.write_tables(read(spark, sf_dir, "documents"), path, tokenizer, END_ID)
+    return token_tables.read_tables(spark, path).withColumnRenamed("_id", "doc_id")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +45,6 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op8_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_tables, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op8_source_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
