@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality_rules, token_tables, warc
+from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, pii, quality_rules, token_tables, warc
 from splicedf.llm.common import read, scratch
 
 #: Name of the tokenizer's file among the public tokenizers.
@@ -45,12 +45,16 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
+def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "archives")
     warc.write_archives(read(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_tables, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op8_source_mixing, op10_warc_segments)}
+QUERIES = {f.__name__: f for f in (op1_token_tables, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op8_source_mixing, op9_pii_boosting, op10_warc_segments)}
 
 ORACLE_SQL: dict[str, str] = {}
