@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, pii, quality_rules, token_tables, warc
+from splicedf.llm import decontaminate, jaccard_join, kd_sharding, license_scan, mixing, pii, quality_rules, token_tables, warc, weak_labels
 from splicedf.llm.common import read, scratch
 
 #: Name of the tokenizer's file among the public tokenizers.
@@ -22,6 +22,10 @@ def op1_token_tables(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_tables.read_tables(spark, path).withColumnRenamed("_id", "doc_id")
 
 
+def op2_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classified(read(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
@@ -40,6 +44,10 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licensed(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.with_copies(read(spark, sf_dir, "documents"))
     return d.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
@@ -55,6 +63,6 @@ def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_tables, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op8_source_mixing, op9_pii_boosting, op10_warc_segments)}
+QUERIES = {f.__name__: f for f in (op1_token_tables, op2_weak_labels, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op7_license_scan, op8_source_mixing, op9_pii_boosting, op10_warc_segments)}
 
 ORACLE_SQL: dict[str, str] = {}
