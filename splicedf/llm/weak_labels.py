@@ -28,7 +28,8 @@ def voted(good: Column, bad: Column) -> Column:
 
 
 def votes(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
-    """docs with n_words and a vote of each labeller. Labellers overlap on purpose; each looks at one property."""
+    """docs with n_words and a vote of each labeller. Labellers overlap on purpose. A fault says bad and its absence
+    nothing; what speaks for a text says good and its absence nothing."""
     d = quality_rules.base_columns(docs, text_col)
     text, n = F.coalesce(F.col(text_col), F.lit("")), F.greatest(F.col("n_words"), F.lit(1))
     known = F.array(*[F.xxhash64(F.lit(w)) for w in COMMON_WORDS])
@@ -38,15 +39,17 @@ def votes(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
         "_stops": (F.size(F.split(text, "[.!?]", -1)) - 1) / n, "_mean": F.col("word_chars") / n, "_common": F.size(F.array_intersect("_h", known)),
     })
     named = {
-        "v_symbols": voted(F.col("_symbols") < 0.02, F.col("_symbols") > 0.1),
-        "v_repeats": voted(F.col("_repeated") == 0, F.col("_repeated") > 0.2),
-        "v_lines": voted((F.col("_lines") == 0) & (F.col("n_words") > 50), F.col("_lines") > 0.3),
-        "v_upper": voted(F.col("_upper") < 0.1, F.col("_upper") > 0.4),
-        "v_shouts": voted(F.col("_shouts") < 0.02, F.col("_shouts") > 0.3),
-        "v_stops": voted(F.col("_stops").between(0.02, 0.3), (F.col("_stops") < 0.005) | (F.col("_stops") > 0.5)),
-        "v_length": voted(F.col("n_words") >= 30, F.col("n_words") < 5),
-        "v_common": voted(F.col("_common") >= 3, F.col("_common") == 0),
-        "v_word": voted(F.col("_mean").between(3, 9), (F.col("_mean") < 2) | (F.col("_mean") > 15)),
+        "v_symbols": voted(F.lit(False), F.col("_symbols") > 0.1),
+        "v_repeats": voted(F.lit(False), F.col("_repeated") > 0.2),
+        "v_lines": voted(F.lit(False), F.col("_lines") > 0.3),
+        "v_upper": voted(F.lit(False), F.col("_upper") > 0.4),
+        "v_shouts": voted(F.lit(False), F.col("_shouts") > 0.3),
+        "v_word": voted(F.lit(False), (F.col("_mean") < 2) | (F.col("_mean") > 15)),
+        "v_empty": voted(F.lit(False), F.col("n_words") < 2),
+        "v_plain": voted((F.col("_symbols") < 0.02) & (F.col("_upper") < 0.1) & (F.col("_shouts") < 0.05), F.lit(False)),
+        "v_fresh": voted((F.col("_repeated") < 0.1) & (F.col("_lines") < 0.2), F.lit(False)),
+        "v_stops": voted(F.col("_stops").between(0.02, 0.3), F.lit(False)),
+        "v_common": voted(F.col("_common") >= 3, F.lit(False)),
     }
     return d.select(*docs.columns, "n_words", *[v.alias(k) for k, v in named.items()]), list(named)
 
@@ -65,6 +68,7 @@ def accuracies(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, np.n
         good, bad = (w * post) @ onehot.reshape(len(w), -1) + SMOOTH, (w * (1 - post)) @ onehot.reshape(len(w), -1) + SMOOTH
         good, bad = good.reshape(-1, 3), bad.reshape(-1, 3)
         odds = np.log(good / good.sum(1, keepdims=True)) - np.log(bad / bad.sum(1, keepdims=True))
+        odds[:, 1] = 0  # silence says nothing
         prior = min(max(float((w * post).sum() / w.sum()), 1e-6), 1 - 1e-6)
         z = (onehot * odds).sum((1, 2)) + math.log(prior / (1 - prior))
         post = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
