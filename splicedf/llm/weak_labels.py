@@ -28,8 +28,8 @@ def voted(good: Column, bad: Column) -> Column:
 
 
 def votes(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
-    """docs with n_words and a vote of each labeller. Labellers overlap on purpose. A fault says bad and its absence
-    nothing; what speaks for a text says good and its absence nothing."""
+    """docs with n_words and a vote of each labeller. Labellers overlap on purpose. One that looks for a fault
+    says bad or is silent, one that looks for what speaks for a text says good or is silent; what silence is worth is fitted."""
     d = quality_rules.base_columns(docs, text_col)
     text, n = F.coalesce(F.col(text_col), F.lit("")), F.greatest(F.col("n_words"), F.lit(1))
     known = F.array(*[F.xxhash64(F.lit(w)) for w in COMMON_WORDS])
@@ -46,9 +46,9 @@ def votes(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
         "v_shouts": voted(F.lit(False), F.col("_shouts") > 0.3),
         "v_word": voted(F.lit(False), (F.col("_mean") < 2) | (F.col("_mean") > 15)),
         "v_empty": voted(F.lit(False), F.col("n_words") < 2),
-        "v_plain": voted((F.col("_symbols") < 0.02) & (F.col("_upper") < 0.1) & (F.col("_shouts") < 0.05), F.lit(False)),
+        "v_plain": voted((F.col("_symbols") < 0.02) & (F.col("_upper") < 0.15) & (F.col("_shouts") < 0.05), F.lit(False)),
         "v_fresh": voted((F.col("_repeated") < 0.1) & (F.col("_lines") < 0.2), F.lit(False)),
-        "v_stops": voted(F.col("_stops").between(0.02, 0.3), F.lit(False)),
+        "v_stops": voted(F.col("_stops").between(0.02, 0.5), F.lit(False)),
         "v_common": voted(F.col("_common") >= 3, F.lit(False)),
     }
     return d.select(*docs.columns, "n_words", *[v.alias(k) for k, v in named.items()]), list(named)
@@ -61,14 +61,13 @@ def accuracies(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, np.n
     and the share of good documents, are fitted by expectation-maximisation. It starts from the belief that any bad vote is rather right: faults come singly.
     """
     v, w = np.array([p for p, _ in patterns]), np.array([c for _, c in patterns], float)
-    post = np.where((v < 0).any(1), 0.1, 0.9)
+    post = np.where((v < 0).any(1), 0.01, 0.99)
     onehot = np.stack([v == x for x in (-1, 0, 1)], 2).astype(float)
     odds, prior = np.zeros((v.shape[1], 3)), 0.5
     for _ in range(ROUNDS):
         good, bad = (w * post) @ onehot.reshape(len(w), -1) + SMOOTH, (w * (1 - post)) @ onehot.reshape(len(w), -1) + SMOOTH
         good, bad = good.reshape(-1, 3), bad.reshape(-1, 3)
         odds = np.log(good / good.sum(1, keepdims=True)) - np.log(bad / bad.sum(1, keepdims=True))
-        odds[:, 1] = 0  # silence says nothing
         prior = min(max(float((w * post).sum() / w.sum()), 1e-6), 1 - 1e-6)
         z = (onehot * odds).sum((1, 2)) + math.log(prior / (1 - prior))
         post = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
