@@ -53,5 +53,5 @@ def distributions(values: DataFrame) -> DataFrame:
     """(stat, value, weight) to a row a stat: total, average, mode, min, percentiles, max. All are weighted and exact."""
     ps = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
     w = values.groupBy("stat", "value").agg(F.sum("weight").alias("weight"))
-    d = w.groupBy("stat").agg(F.sum(F.col("value") * F.col("weight")).alias("total"), F.sum("weight").alias("n"), F.max(F.struct(F.col("weight"), (-F.col("value")).alias("v"))).alias("m"), F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", [float(p) for p in ps], "weight").alias("p"))
+    d = w.groupBy("stat").agg(F.sum(F.col("value") * F.col("weight")).alias("total"), F.sum("weight").alias("n"), F.max(F.struct(F.col("weight"), (-F.col("value")).alias("v"))).alias("m"), F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", [float(p) for p in ps], F.col("weight")).alias("p"))
     return d.select("stat", "total", "n", (F.col("total") / F.col("n")).alias("average"), (-F.col("m.v")).alias("mode"), "min", *[F.col("p")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(ps)], "max")
