@@ -1,4 +1,4 @@
-"""Connected components over an edge table: minimum labels along edges, with pointer jumping."""
+"""Connected components over an edge table, by contraction: every node steps to its smallest neighbour, edges follow."""
 
 from __future__ import annotations
 
@@ -7,24 +7,40 @@ from pyspark.sql import functions as F
 
 from splicedf.llm.common import written
 
-#: A path of 2 ** ROUNDS edges is followed to its end; a longer one raises rather than give a partial answer.
-ROUNDS = 40
+#: Rounds, each of which at least halves the nodes that have edges; more raise rather than give a partial answer.
+ROUNDS = 60
+
+
+def settled(step: DataFrame) -> DataFrame:
+    """(node, up) followed to its end: up is a node that steps to itself. Each jump doubles the way."""
+    for _ in range(ROUNDS):
+        nxt = step.join(step.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("up").alias("was"), F.col("top").alias("up"))
+        nxt = written(nxt, "cc-steps")
+        step = nxt.select("node", "up")
+        if nxt.filter("was <> up").isEmpty():
+            return step
+    raise RuntimeError("components: not settled")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of edges (a, b): comp is the smallest node that it can reach.
 
-    Each round joins labels to edges, takes the smallest by an aggregate that sums up before the shuffle, and then jumps
-    to the label of the label; it is written to the shared folder, so a lost executor costs one round at most.
+    A round takes each node's smallest neighbour, by an aggregate that sums up before the shuffle, and moves the edges to
+    where their ends went; equal ones merge and loops go, so later rounds have few rows. Every round is written to the
+    shared folder: a lost executor costs one round at most.
     """
-    both = written(edges.select("a", "b").unionAll(edges.select("b", "a")).distinct(), "cc-edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), "cc-labels")
+    e = written(edges.select("a", "b").unionAll(edges.select("b", "a")).filter("a <> b").distinct(), "cc-edges")
+    labels = None
     for _ in range(ROUNDS):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
-        low = labels.join(near, labels["node"] == near["a"]).select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
-        up = labels.select(F.col("node").alias("up"), F.col("comp").alias("top"))
-        nxt = written(low.join(up, low["comp"] == up["up"]).select("node", "was", F.least("comp", "top").alias("comp")), "cc-labels")
-        labels = nxt.select("node", "comp")
-        if nxt.filter("was <> comp").isEmpty():
+        step = written(e.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("up")), "cc-steps")
+        step = settled(step)
+        if labels is None:
+            labels = step.withColumnRenamed("up", "comp")
+        else:
+            s = step.select(F.col("node").alias("comp"), "up")
+            labels = written(labels.join(s, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "cc-labels")
+        to = lambda c: step.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up"))
+        e = written(e.join(to("a"), "a").join(to("b"), "b").filter("a_up <> b_up").select(F.col("a_up").alias("a"), F.col("b_up").alias("b")).distinct(), "cc-edges")
+        if e.isEmpty():
             return labels
     raise RuntimeError("components: not settled")

@@ -87,10 +87,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
     nodes = written(members.select(F.col("b").alias("cls")).distinct().join(classes, "cls").select("cls", "rep", "rep_th"), "nodes")
     d = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     texts = written(d.join(maybe_broadcast(nodes), F.col("_id").eqNullSafe(F.col("rep")) & (F.col("th") == F.col("rep_th"))).select("cls", "text").dropDuplicates(["cls"]), "texts")
-    links = star_links(first, texts, k, num, den)
-    comps = components(links)
-    links = links.unionAll(matrix_links(members, first, comps, texts, k, num, den))
-    comps = components(links)
+    comps = components(star_links(first, texts, k, num, den))
+    more = matrix_links(members, first, comps, texts, k, num, den)
+    for end in "ab":  # links between documents as links between components
+        more = labelled(more, comps, end).drop(end).withColumnRenamed("comp", end)
+    comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionAll(more.select("a", "b").distinct()))
     named = classes.join(comps, F.col("cls") == F.col("node")).select("cls", "rep", "comp")
     low = named.groupBy("comp").agg(F.min("rep").alias("component"))
     named = named.join(low, "comp").select("cls", "component")
