@@ -1,6 +1,6 @@
 """Named queries over the projected tables, and their SQL."""
 
-from splicedf.plans import evaluation, models, spatial  # noqa: F401
+from splicedf.plans import comparison, evaluation, models, spatial  # noqa: F401
 from splicedf.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
