@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +16,10 @@ from splicedf.llm.common import maybe_broadcast, written
 #: Bytes of text in a file, by mean.
 FILE_BYTES = 16 << 20
 #: Words that a Python worker remembers the ids of.
-WORDS_KEPT = 1_000_000
-#: White space beside white space, at an end, or other than space and line feed.
-ODD_SPACE = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
+WORDS_KEPT = 1_500_000
+#: White space beside white space, and white space other than space and line feed: texts with these go whole.
+BESIDE = ("  ", "\n\n", " \n", "\n ")
+OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _coders: dict[str, Coder] = {}
 
 
@@ -27,7 +27,8 @@ class Coder(dict):
     """A byte-level tokenizer that remembers words.
 
     Its pre-tokenizer always cuts before a single space, and before and after a single line feed, if no white space is
-    beside them; what lies between can be encoded on its own. Other texts go to the tokenizer whole.
+    beside them; what lies between can be encoded on its own. Other texts go to the tokenizer whole. A key is a word that
+    follows a space, or a line feed and the word that follows it.
     """
 
     def __init__(self, path: str):
@@ -36,30 +37,35 @@ class Coder(dict):
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
+        self.model = self.whole.model
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
         self.dtype = f"<u{self.width}"
         steps = self.whole.pre_tokenizer
         plain = self.whole.normalizer is None and self.whole.post_processor is None and type(steps).__name__ == "ByteLevel" and not steps.add_prefix_space
         self.steps = steps if plain else None
+        self.feed = self.coded("\n") if plain else b""
+
+    def coded(self, text: str) -> bytes:
+        ids = [t.id for piece, _ in self.steps.pre_tokenize_str(text) for t in self.model.tokenize(piece)]
+        return np.array(ids, self.dtype).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        ids = [t.id for piece, _ in self.steps.pre_tokenize_str(word) for t in self.whole.model.tokenize(piece)]
-        out = self[word] = np.array(ids, self.dtype).tobytes()
+        if word.isascii() and word.isalpha():  # one piece of letters, which stand for themselves; \u0120 is the space
+            out = np.array([t.id for t in self.model.tokenize("\u0120" + word)], self.dtype).tobytes()
+        else:
+            out = self.coded(word if word[0] == "\n" else " " + word)
+        self[word] = out
         return out
 
     def encoded(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.steps is None or ODD_SPACE.search(text):
+        if self.steps is None or text[0].isspace() or text[-1].isspace() or any(x in text for x in BESIDE) or any(c in text for c in OTHER_SPACE):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        # every word but the first keeps the space before it; a line feed is a word
-        out = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            out += [*map(self.__getitem__, words[:1]), *map(self.__getitem__, map(" ".__add__, words[1:])), self["\n"]]
-        return b"".join(out[:-1])
+        first, *words = text.replace("\n", " \n").split(" ")
+        return self["\n" + first][len(self.feed) :] + b"".join(map(self.__getitem__, words))
 
 
 def coder(path: str) -> Coder:
