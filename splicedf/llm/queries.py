@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splicedf.llm import decontaminate, jaccard_join, kd_sharding, license_scan, mixing, pii, quality_rules, token_tables, warc, weak_labels
 from splicedf.llm.common import read, scratch
+from splicedf.llm.oracles import ORACLE_SQL
 
 #: Name of the tokenizer's file among the public tokenizers.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -65,4 +66,6 @@ def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_tables, op2_weak_labels, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op7_license_scan, op8_source_mixing, op9_pii_boosting, op10_warc_segments)}
 
-ORACLE_SQL: dict[str, str] = {}
+
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
