@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BY_TID = Window.partitionBy("tid").orderBy("s")
-#: Along the transcript: by position on the plus strand, against it on the minus strand.
-ALONG = Window.partitionBy("tid").orderBy(F.when(F.col("strand") == "-", -F.col("s")).otherwise(F.col("s")))
+
+def by_tid():
+    return Window.partitionBy("tid").orderBy("s")
+
+
+def along():
+    """Along the transcript: by position on the plus strand, against it on the minus strand."""
+    return Window.partitionBy("tid").orderBy(F.when(F.col("strand") == "-", -F.col("s")).otherwise(F.col("s")))
 
 
 def transcript_bounds(exon: DataFrame) -> DataFrame:
@@ -21,7 +26,7 @@ def gene_bounds(transcript: DataFrame, coding: Column | None = None) -> DataFram
 
 
 def introns(exon: DataFrame) -> DataFrame:
-    d = exon.withColumn("_next", F.lead("s").over(BY_TID)).filter("_next IS NOT NULL")
+    d = exon.withColumn("_next", F.lead("s").over(by_tid())).filter("_next IS NOT NULL")
     return d.select("tid", "gid", "chrom", "strand", "is_ref", (F.col("e") + 1).alias("s"), (F.col("_next") - 1).alias("e"))
 
 
@@ -34,7 +39,7 @@ def splice_sites(intron: DataFrame) -> DataFrame:
 
 def cds_introns(cds: DataFrame, intron: DataFrame) -> DataFrame:
     """Introns between neighbouring coding segments that are introns of the transcript as well."""
-    d = cds.withColumn("_next", F.lead("s").over(BY_TID)).filter("_next IS NOT NULL").select("tid", (F.col("e") + 1).alias("s"), (F.col("_next") - 1).alias("e"))
+    d = cds.withColumn("_next", F.lead("s").over(by_tid())).filter("_next IS NOT NULL").select("tid", (F.col("e") + 1).alias("s"), (F.col("_next") - 1).alias("e"))
     return d.join(intron.select("tid", "s", "e"), ["tid", "s", "e"], "left_semi")
 
 
@@ -56,7 +61,7 @@ def utr_segments(exon: DataFrame, cds: DataFrame) -> DataFrame:
 
 
 def cds_running_length(cds: DataFrame) -> DataFrame:
-    before = ALONG.rowsBetween(Window.unboundedPreceding, -1)
+    before = along().rowsBetween(Window.unboundedPreceding, -1)
     return cds.withColumn("before", F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(before), F.lit(0)))
 
 
@@ -67,7 +72,7 @@ def cds_phase(cds: DataFrame, start_phase: int = 0) -> DataFrame:
 
 def exon_cumulative_offset(exon: DataFrame) -> DataFrame:
     """Bases of the transcript before each exon, along the strand."""
-    before = ALONG.rowsBetween(Window.unboundedPreceding, -1)
+    before = along().rowsBetween(Window.unboundedPreceding, -1)
     return exon.withColumn("offset", F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(before), F.lit(0)))
 
 
