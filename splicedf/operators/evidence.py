@@ -149,7 +149,8 @@ def requirement(section: dict) -> Column:
 
 
 def score(metric: Column, group: list[str], rescaling: str, value: float | None = None, multiplier: float = 1.0, passing: Column | None = None) -> Column:
-    """A metric rescaled within its group: max, min or target. Rows that do not pass score 0 and set no bounds."""
+    """A metric rescaled within its group: max, min or target. Rows that do not pass score 0 and set no bounds. Rounded to
+    two places, halves up, in plain double arithmetic."""
     w = Window.partitionBy(*group)
     m = F.when(passing, metric) if passing is not None else metric
     low, high = F.min(m).over(w), F.max(m).over(w)
@@ -159,7 +160,7 @@ def score(metric: Column, group: list[str], rescaling: str, value: float | None
     else:
         part = (m - low) / (high - low)
         s = F.when(high == low, F.lit(1.0)).otherwise(part if rescaling == "max" else 1 - part)
-    return F.round(F.coalesce(multiplier * s, F.lit(0.0)), 2)
+    return F.floor(F.coalesce(multiplier * s, F.lit(0.0)) * 100 + 0.5) / 100
 
 
 def choose_best(d: DataFrame, group: list[str], score_col: str = "score") -> DataFrame:

@@ -228,7 +228,7 @@ def external_valid_raw(t) -> DataFrame:
 
 
 def scored(expr: str) -> str:
-    return f"SELECT tid, gid, round(CASE WHEN hi IS NULL THEN 0 ELSE {expr} END, 2) AS score FROM (SELECT tid, gid, cdna, n_exons, min(cdna) OVER w AS lo, max(cdna) OVER w AS hi, max(abs(cdna - 700)) OVER w AS far FROM transcript WINDOW w AS (PARTITION BY gid))"
+    return f"SELECT tid, gid, floor((CASE WHEN hi IS NULL THEN 0 ELSE {expr} END) * 100 + CAST(0.5 AS DOUBLE)) / 100 AS score FROM (SELECT tid, gid, cdna, n_exons, min(cdna) OVER w AS lo, max(cdna) OVER w AS hi, max(abs(cdna - 700)) OVER w AS far FROM transcript WINDOW w AS (PARTITION BY gid))"
 
 
 @query(scored("CASE WHEN hi = lo THEN CAST(1 AS DOUBLE) ELSE (cdna - lo) / CAST(hi - lo AS DOUBLE) END"))
@@ -246,7 +246,7 @@ def score_target(t) -> DataFrame:
     return t.transcript.select("tid", "gid", evidence.score(F.col("cdna"), ["gid"], "target", 700).alias("score"))
 
 
-PASSING = "SELECT tid, gid, round(coalesce(CASE WHEN n_exons > 1 THEN CASE WHEN hi = lo THEN CAST(1 AS DOUBLE) ELSE (cdna - lo) / CAST(hi - lo AS DOUBLE) END END, CAST(0 AS DOUBLE)), 2) AS score FROM (SELECT tid, gid, cdna, n_exons, min(CASE WHEN n_exons > 1 THEN cdna END) OVER w AS lo, max(CASE WHEN n_exons > 1 THEN cdna END) OVER w AS hi FROM transcript WINDOW w AS (PARTITION BY gid))"
+PASSING = "SELECT tid, gid, floor(coalesce(CASE WHEN n_exons > 1 THEN CASE WHEN hi = lo THEN CAST(1 AS DOUBLE) ELSE (cdna - lo) / CAST(hi - lo AS DOUBLE) END END, CAST(0 AS DOUBLE)) * 100 + CAST(0.5 AS DOUBLE)) / 100 AS score FROM (SELECT tid, gid, cdna, n_exons, min(CASE WHEN n_exons > 1 THEN cdna END) OVER w AS lo, max(CASE WHEN n_exons > 1 THEN cdna END) OVER w AS hi FROM transcript WINDOW w AS (PARTITION BY gid))"
 
 
 @query(PASSING)

@@ -116,7 +116,7 @@ def rescaler_suggestion(t) -> DataFrame:
     return loci.rescaler_suggestion(t.transcript, primaries(t), "gid", ["n_exons", "cdna"])
 
 
-@query("SELECT tid, gid, round(CASE WHEN hi = lo THEN CAST(1 AS DOUBLE) ELSE (cdna - lo) / CAST(hi - lo AS DOUBLE) END, 2) + round(CASE WHEN h2 = l2 THEN CAST(1 AS DOUBLE) ELSE 1 - (n_exons - l2) / CAST(h2 - l2 AS DOUBLE) END, 2) + tid % 4 AS score FROM (SELECT *, min(cdna) OVER w AS lo, max(cdna) OVER w AS hi, min(n_exons) OVER w AS l2, max(n_exons) OVER w AS h2 FROM transcript WINDOW w AS (PARTITION BY gid))")
+@query("SELECT tid, gid, floor((CASE WHEN hi = lo THEN CAST(1 AS DOUBLE) ELSE (cdna - lo) / CAST(hi - lo AS DOUBLE) END) * 100 + CAST(0.5 AS DOUBLE)) / 100 + floor((CASE WHEN h2 = l2 THEN CAST(1 AS DOUBLE) ELSE 1 - (n_exons - l2) / CAST(h2 - l2 AS DOUBLE) END) * 100 + CAST(0.5 AS DOUBLE)) / 100 + tid % 4 AS score FROM (SELECT *, min(cdna) OVER w AS lo, max(cdna) OVER w AS hi, min(n_exons) OVER w AS l2, max(n_exons) OVER w AS h2 FROM transcript WINDOW w AS (PARTITION BY gid))")
 def score_total(t) -> DataFrame:
     a, b = evidence.score(F.col("cdna"), ["gid"], "max"), evidence.score(F.col("n_exons"), ["gid"], "min")
     return t.transcript.select("tid", "gid", (a + b + F.col("tid") % 4).alias("score"))
