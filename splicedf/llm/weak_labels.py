@@ -109,7 +109,8 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if sample.select("y").distinct().count() < 2:
         return table.select(id_col, "n_words", *names, label.alias("label"), label.alias("score"), (label >= keep).alias("kept"))
     model = LogisticRegression(featuresCol="_v", labelCol="y", weightCol="w", probabilityCol="_p", maxIter=30, regParam=1e-4).fit(sample)
-    v, names = votes(scored, text_col)
-    out = PipelineModel([*steps, model]).transform(words(v))
-    out = out.withColumn("score", vector_to_array("_p")[1])
-    return out.select(id_col, "n_words", *names, label.alias("label"), "score", (F.col("score") >= keep).alias("kept"))
+    # the second pass over the texts makes words and scores only; a score, as the votes, depends on the text alone
+    out = PipelineModel([*steps, model]).transform(words(scored)).select(F.xxhash64(text_col).alias("_t"), F.col(id_col).alias("_i"), vector_to_array("_p")[1].alias("score"))
+    out = out.dropDuplicates(["_i", "_t"])
+    d = table.join(out, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_th") == F.col("_t")), "left")
+    return d.select(id_col, "n_words", *names, label.alias("label"), "score", (F.col("score") >= keep).alias("kept"))
