@@ -15,6 +15,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 
 
+#: Folders of our own by application, where the cluster names none.
+_own: dict[str, str] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -24,8 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-splicedf-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        found = _own.setdefault(app, "") or tempfile.mkdtemp(prefix="spark-splicedf-", dir="/tmp")
+        _own[app] = found
     return found.rstrip("/")
 
 

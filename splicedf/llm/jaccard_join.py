@@ -101,7 +101,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with one document of each component: the one with the smallest id, once; documents without id stay."""
+    """docs with one document of each component: the one with the smallest id. Documents without id, and rows that repeat
+    that id, stay. The ids that go are broadcast if checked to be few."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
     gone = maybe_broadcast(written(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "gone"))
     kept = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
