@@ -166,3 +166,9 @@ def score(metric: Column, group: list[str], rescaling: str, value: float | None
 def choose_best(d: DataFrame, group: list[str], score_col: str = "score") -> DataFrame:
     """The row with the highest score of each group; ties go to the smallest tid."""
     return d.groupBy(*group).agg(F.max_by("tid", F.struct(F.col(score_col), (-F.col("tid")).alias("t"))).alias("tid"), F.max(score_col).alias(score_col))
+
+
+def attribute(name: str, default: float, percentage: bool = False) -> Column:
+    """A number from the map column attributes, or the default; a percentage is divided by 100."""
+    v = F.coalesce(F.expr(f"try_cast(attributes['{name}'] AS DOUBLE)"), F.lit(float(default)))
+    return v / 100.0 if percentage else v
