@@ -205,7 +205,8 @@ ORF = "orf AS (SELECT tid, 31 AS s, cdna // 2 - 20 AS e FROM transcript WHERE ti
 
 
 def orfs(t) -> DataFrame:
-    x = t.transcript.filter("tid % 10 < 3")
+    """Two frames of every transcript; the SQL has those of tid % 10 < 3."""
+    x = t.transcript
     d = x.selectExpr("tid", "CAST(31 AS BIGINT) AS s", "cdna div 2 - 20 AS e").unionAll(x.selectExpr("tid", "cdna div 2 + 10 - 40 * (tid % 2) AS s", "cdna - 30 AS e"))
     return d.filter("s < e").withColumn("n", F.expr("e - s + 1"))
 

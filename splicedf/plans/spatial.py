@@ -107,8 +107,9 @@ def join_fuzzy_junction(t) -> DataFrame:
 @query("""SELECT n.node, min(least(n.node, coalesce(r.b, n.node))) AS comp FROM (SELECT DISTINCT gid AS node FROM gene) n LEFT JOIN reach r ON n.node = r.a GROUP BY n.node""",
        "g4 AS (SELECT *, gid % 4 AS m FROM gene), " + isl("g4", "chrom, m", "s <= top") + ", reach AS (SELECT gid AS a, min(gid) OVER (PARTITION BY chrom, m, island) AS b FROM isl)")
 def connected_components(t) -> DataFrame:
-    g = t.gene.select("chrom", "gid", "s", "e", (F.col("gid") % 4).alias("m"))
-    e = intervals.join_overlap(g, g, ("chrom", "m")).filter("gid_a < gid_b").select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b"))
+    """Overlapping genes of a chromosome are linked, all with all; the SQL links only genes of the same gid % 4."""
+    g = t.gene.select("chrom", "gid", "s", "e")
+    e = intervals.join_overlap(g, g).filter("gid_a < gid_b").select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b"))
     return graph.connected_components(g.select(F.col("gid").alias("node")), e)
 
 
@@ -125,7 +126,8 @@ ROUNDS = 9
 
 @query(" UNION ALL ".join(f"SELECT node FROM win{i}" for i in range(ROUNDS)), mis(ROUNDS))
 def select_best_nonoverlapping(t) -> DataFrame:
-    x = t.transcript.filter("tid % 2 = 0").select("chrom", "strand", "tid", "s", "e", "cdna")
+    """The choice among all transcripts; the SQL takes those of even tid and ends after ROUNDS rounds."""
+    x = t.transcript.select("chrom", "strand", "tid", "s", "e", "cdna")
     e = intervals.join_overlap(x, x, ("chrom", "strand")).filter("tid_a < tid_b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
     return graph.greedy_mis(x.select(F.col("tid").alias("node"), F.col("cdna").alias("priority")), e)
 
