@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from splicedf.llm.common import filled, pieces, small, written
 
-#: Buckets of the two multinomials; SMOOTH is added to every bucket's count; weights are integers of 1 / SCALE.
-BUCKETS, SMOOTH, SCALE = 1 << 16, 1.0, 1 << 16
+#: Buckets of the two multinomials; PRIOR is added to a bucket's trusted count and to the count that its share of all
+#: n-grams lets expect, so a bucket without evidence weighs 0; weights are integers of 1 / SCALE.
+BUCKETS, PRIOR, SCALE = 1 << 16, 4.0, 1 << 16
 #: A document is kept if its mean log ratio per n-gram is at least this.
 THRESHOLD = -0.17
 MIN_WORDS, WINDOW, MAX_REPEATED = 10, 5, 20
@@ -31,24 +32,48 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return flags.filter("q = 1 AND t = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_trusted"))
 
 
-def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(b, w): BUCKETS rows of integer weights. Counts cover every n-gram of every document.
+def gram_counts(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(b, raw, good): the n-grams of all and of trusted documents by bucket; BUCKETS rows at most.
 
     Every task sums its own n-grams by bucket before the shuffle, so what is moved is at most BUCKETS rows a task, for
-    hot words as for rare ones. A bucket without counts gets the weight that smoothing alone gives.
+    hot words as for rare ones.
     """
-    ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
     d = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(ids, F.col("_id") == F.col("_trusted"), "left")
     d = d.select(F.col("_trusted").isNotNull().cast("long").alias("_good"), F.transform(filled(pieces(F.col("_t"))), lambda w: F.xxhash64(w)).alias("_h"))
     d = d.withColumn("_n", F.size("_h")).select("_good", gram_hashes("_h", "_n").alias("_g"))
     # outer: for inner generators the optimizer derives a filter and pushes it, with all that it is made of, to the scan
     d = d.select("_good", F.explode_outer("_g").alias("_x")).filter("_x IS NOT NULL").groupBy(F.pmod("_x", F.lit(BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good"))
-    counts = written(d, "gram-counts")
-    raw, good = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
-    all_ = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "b").join(counts, "b", "left").na.fill(0)
-    w = F.log((F.col("good") + SMOOTH) / (good + SMOOTH * BUCKETS)) - F.log((F.col("raw") + SMOOTH) / (raw + SMOOTH * BUCKETS))
-    each = all_.select("b", F.round(w * SCALE).cast("long").alias("w"))
-    return each
+    return written(d, "gram-counts")
+
+
+def numbers(values: list[int]) -> Column:
+    """An array literal, folded into one value."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def gram_score(grams: str, is_trusted: Column, counts: DataFrame) -> Column:
+    """The sum of the integer weights of the n-gram hashes in a column, as the other documents set them.
+
+    A document's own n-grams are left out of both multinomials. The hashes are sorted by bucket; a run of c equal buckets
+    is weighed once, times c. What the lambda needs of the row comes with the accumulator and is worked out once.
+    """
+    raw, good = [0] * BUCKETS, [0] * BUCKETS
+    for r in counts.collect():  # BUCKETS rows at most, whatever the input
+        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
+    n, g = F.size(grams), F.size(grams) * is_trusted.cast("int")
+    share = (F.lit(sum(good)) - g) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
+    raw, good = numbers(raw), numbers(good)
+
+    def closed(a: Column) -> Column:
+        trusted = F.get(good, a.b) - a.c * a.t + F.lit(PRIOR)
+        expected = a.share * (F.get(raw, a.b) - a.c) + F.lit(PRIOR)
+        return a.s + F.when(a.c > 0, a.c * F.round(F.log(trusted / expected) * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    part = lambda b, c, s, t, share: F.struct(b.alias("b"), c.alias("c"), s.alias("s"), t.alias("t"), share.alias("share"))
+    start = part(F.lit(-1), F.lit(0), F.lit(0).cast("long"), is_trusted.cast("int"), share)
+    same = lambda a, x: F.when(a.b == x, part(x, a.c + 1, a.s, a.t, a.share)).otherwise(part(x, F.lit(1), closed(a), a.t, a.share))
+    buckets = F.sort_array(F.transform(grams, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
+    return F.aggregate(buckets, start, same, closed)
 
 
 def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -76,16 +101,15 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """docs with the base columns, gram_score (sum of integer weights), mean_log_ratio and kept.
 
     The sum is of integers, so no order of rows changes it. A null or empty text has no words, fails the base and is not
-    kept; labels with nulls do not count as trusted; without any trusted document all buckets weigh as smoothing says.
+    kept; labels with nulls do not count as trusted; without any trusted document all weights are 0.
     Repeated rows are judged alike; columns of other names pass through.
     """
-    weights = gram_weights(docs, trusted_ids(labels), id_col, text_col)
-    d = base_columns(docs, text_col)
+    trusted = trusted_ids(labels)
+    ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
+    counts = gram_counts(docs, ids, id_col, text_col)
+    d = base_columns(docs.join(ids, F.col(id_col) == F.col("_trusted"), "left"), text_col)
     d = d.withColumn("_g", gram_hashes("_h", "n_words"))
-    # BUCKETS numbers whatever the input; folded into one array literal
-    w = F.split(F.lit(",".join(str(r["w"]) for r in weights.orderBy("b").collect())), ",").cast("array<bigint>")
-    score = F.aggregate("_g", F.lit(0).cast("long"), lambda a, x: a + F.get(w, F.pmod(x, F.lit(BUCKETS)).cast("int")))
-    d = d.withColumns({"gram_score": score, "_n": F.size("_g")}).drop("_g", "_h")
+    d = d.withColumns({"gram_score": gram_score("_g", F.col("_trusted").isNotNull(), counts), "_n": F.size("_g")}).drop("_g", "_h", "_trusted")
     limit = math.floor(threshold * SCALE)
     # the row number, always true, keeps a filter on the verdict from being pushed into the lambdas below
     d = d.withColumns({"mean_log_ratio": F.when(F.col("_n") > 0, F.col("gram_score") / F.col("_n") / SCALE), "kept": ~F.col("base_failed") & (F.col("gram_score") >= F.col("_n") * limit) & (F.monotonically_increasing_id() >= 0)})

@@ -1,8 +1,17 @@
 """Queries that once left rows out, against brute force over all rows."""
 
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
 from splicedf import plans
+from splicedf.llm import quality_rules
 from splicedf.sources import projection
 from tests.conftest import SF
+from tests.llm.test_operators import ws, xx, xx_pair
 
 
 def transcripts(spark):
@@ -51,3 +60,46 @@ def test_orfs_of_all_transcripts(spark):
     want = [(i, *f) for i, own in frames.items() for f in in_order(own, lambda f: (f[0] - f[1], f[0]), clash)]
     assert sorted(map(tuple, plans.QUERIES["orf_nonoverlapping"](spark, SF).collect())) == sorted(want)
     assert {i % 10 for i in frames} == set(range(10))
+
+
+def quality_scores(rows, labels):
+    """The scores by brute force, each document against all others."""
+    buckets = quality_rules.BUCKETS
+    trusted = {i for i, q, t in labels if q == 1 and not t}
+    grams = []
+    for _, text in rows:
+        h = [xx(w.encode()) for w in ws(text)]
+        grams.append(Counter(x % buckets for x in h + [xx_pair(a, b) for a, b in zip(h, h[1:])]))
+    out = []
+    for (i, _), own in zip(rows, grams):
+        raw, good = Counter(), Counter()
+        for (j, _), g in zip(rows, grams):
+            if g is not own:
+                raw += g
+                good += g if j in trusted else Counter()
+        share = sum(good.values()) / max(1, sum(raw.values()))
+        weight = lambda b: math.log((good[b] + quality_rules.PRIOR) / (share * raw[b] + quality_rules.PRIOR))  # noqa: B023, E731
+        out.append((i, sum(c * round(weight(b) * quality_rules.SCALE) for b, c in own.items())))
+    return out
+
+
+def test_quality_scores_leave_own_counts_out(spark):
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice("abcdefgh") * r.randint(1, 2) for _ in range(r.randint(0, 40)))) for i in range(30)]
+    rows += [(30, None), (31, ""), (32, rows[0][1]), (33, "own words alone here")]
+    labels = [(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(20)] + [(33, 1, 0)]
+    d, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = quality_rules.judged(d, lab).select("doc_id", "gram_score").collect()
+    assert sorted(map(tuple, got)) == sorted(quality_scores(rows, labels))
+    assert {x["gram_score"] for x in quality_rules.judged(d, lab.limit(0)).collect()} == {0}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("parts", [2, 5, 10])
+def test_quality_keeps_clean_documents(spark, sf, parts):
+    """One part of the labels is given; of the clean documents of the rest nearly all stay."""
+    d, lab = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0
+    out = quality_rules.judged(d.select("doc_id", "text"), lab.filter(part)).filter("NOT base_failed").join(lab.filter(~part), "doc_id")
+    n, kept = out.filter("quality = 1 AND toxic = 0").agg(F.count("*"), F.sum(F.col("kept").cast("int"))).first()
+    assert n > 20 and kept >= 0.97 * n
