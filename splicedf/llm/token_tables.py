@@ -27,7 +27,8 @@ class Coder(dict):
     """A byte-level tokenizer that remembers words.
 
     Its pre-tokenizer always cuts before a single space, and before and after a single line feed, if no white space is
-    beside them; what lies between can be encoded on its own. Other texts go to the tokenizer whole. A key is a word that
+    beside them; what lies between can be encoded on its own. Other texts, and those that hold an added token, go to the
+    tokenizer whole. A key is a word that
     follows a space, or a line feed and the word that follows it.
     """
 
@@ -36,7 +37,7 @@ class Coder(dict):
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = tuple(x.content for x in self.whole.get_added_tokens_decoder().values())
         self.model = self.whole.model
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
         self.dtype = f"<u{self.width}"
@@ -62,7 +63,7 @@ class Coder(dict):
     def encoded(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.steps is None or text[0].isspace() or text[-1].isspace() or any(x in text for x in BESIDE) or any(c in text for c in OTHER_SPACE):
+        if self.steps is None or text[0].isspace() or text[-1].isspace() or any(x in text for x in BESIDE) or any(c in text for c in OTHER_SPACE) or any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         first, *words = text.replace("\n", " \n").split(" ")
         return self["\n" + first][len(self.feed) :] + b"".join(map(self.__getitem__, words))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from splicedf import plans
-from splicedf.llm import quality_rules
+from splicedf.llm import quality_rules, token_tables
 from splicedf.sources import projection
 from tests.conftest import SF
 from tests.llm.test_operators import ws, xx, xx_pair
@@ -103,3 +103,14 @@ def test_quality_keeps_clean_documents(spark, sf, parts):
     out = quality_rules.judged(d.select("doc_id", "text"), lab.filter(part)).filter("NOT base_failed").join(lab.filter(~part), "doc_id")
     n, kept = out.filter("quality = 1 AND toxic = 0").agg(F.count("*"), F.sum(F.col("kept").cast("int"))).first()
     assert n > 20 and kept >= 0.97 * n
+
+
+def test_added_tokens_are_encoded_as_the_library_does():
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    t, c = Tokenizer.from_file(path), token_tables.Coder(path)
+    assert [*memoryview(c.encoded("a <|endoftext|> b")).cast("H")] == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "a\nb <|endoftext|>", "a <|endof text|> b", "it's 12,5 plain words\nand more", "a  <|endoftext|>\n\nb"):
+        assert [*memoryview(c.encoded(text)).cast("H")] == t.encode(text, add_special_tokens=False).ids
