@@ -61,18 +61,27 @@ RULES = (
     ("Unlicense", "public-domain", ("unlicense",)),
     ("LicenseRef-reserved", "reserved", ("reserved",)),
 )
-#: A text without any of these letters holds no known sentence.
+#: Of the SQL alone: its prefilter, and a line that goes on (no sentence ends before the line feed, a small letter follows).
 HINT = "(?i)licen|permission|warrant|redistribut|copyright|free software|general public|rights reserved"
-#: A line that goes on: no sentence ends before the line feed, and a small letter follows it.
-WRAPPED, SENTENCE_END = "([^.!?;:|\\n])\\n([a-z])", "[.!?;:]+[ \\t\\r\\n]+|\\n+"
+WRAPPED = "([^.!?;:|\\n])\\n([a-z])"
+#: The longest word of each sentence: a text without any of them holds no known sentence.
+WORDS = sorted({max(s.split(), key=len) for of in SENTENCES.values() for s in of})
+ANY_WORD = "(?i)" + "|".join(WORDS)
+SENTENCE_END = "[.!?;:]+[ \\t\\r\\n]+"
+#: A known sentence from one break to another, the longest first; between its words there may be breaks.
+KNOWN = "(?<=\\n)(?:" + "|".join(s.replace(" ", "[ \\n]") for s in sorted((s for of in SENTENCES.values() for s in of), key=len, reverse=True)) + ")(?=\\n)"
 
 
 def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in its order; other sentences are left out."""
+    """Identifiers of the known sentences of a text, in its order; other sentences are left out.
+
+    Line feeds and ends of sentences are breaks. A known sentence starts and ends at one and may run over others, so
+    wrapped lines count whatever they begin with; comment marks and indentation are no letters and fall away.
+    """
     known = F.create_map(*[F.lit(x) for i, of in SENTENCES.items() for s in of for x in (s, i)])
-    parts = F.split(F.regexp_replace(text, WRAPPED, "$1 $2"), SENTENCE_END, -1)
-    norm = lambda s: F.trim(F.regexp_replace(ascii_lower(s), "[^a-z0-9]+", " "))
-    return F.filter(F.transform(parts, lambda s: known[norm(s)]), lambda i: i.isNotNull())
+    plain = F.regexp_replace(ascii_lower(F.regexp_replace(text, SENTENCE_END, "\n")), "[^a-z0-9\\n]+", " ")
+    broken = F.regexp_replace(F.concat(F.lit("\n"), plain, F.lit("\n")), " ?\\n[ \\n]*", "\n")
+    return F.transform(F.regexp_extract_all(broken, F.lit(KNOWN), F.lit(0)), lambda s: known[F.translate(s, "\n", " ")])
 
 
 def licensed(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -83,7 +92,7 @@ def licensed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     'none'. Null and empty texts have no sentences. Every document is judged within its row: nothing is shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.withColumn("_seq", F.when(text.rlike(HINT), F.concat(F.lit(">"), F.array_join(sentence_ids(text), ">>"), F.lit(">"))).otherwise(">>"))
+    d = docs.withColumn("_seq", F.when(text.rlike(ANY_WORD), F.concat(F.lit(">"), F.array_join(sentence_ids(text), ">>"), F.lit(">"))).otherwise(">>"))
     d = d.withColumn("sentence_ids", F.regexp_replace(F.regexp_replace("_seq", ">>", ","), ">", ""))
     d = d.withColumns({"sentence_ids": F.trim(F.regexp_replace("sentence_ids", "^,$", "")), "_left": F.col("_seq")})
     names, kinds = [], []
