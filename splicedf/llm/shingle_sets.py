@@ -12,9 +12,12 @@ import xxhash
 PART_TOKENS, EXTRA_PARTS = 3.3, 16
 #: A signature holds parts of at least this many tokens where enough of them exist.
 PART_SIZES = (3, 2, 1)
+#: Of the tokens in which similar sets may differ, the part that is signed besides.
+MARGIN = 8
 #: Words that a task remembers the hash of.
 WORDS_KEPT = 1_000_000
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+ONE = np.uint64(1)
 S30, S27, S31, S32 = np.uint64(30), np.uint64(27), np.uint64(31), np.uint64(32)
 
 
@@ -62,39 +65,50 @@ def bounds(num: int, den: int, top: int = 1 << 33) -> np.ndarray:
 
 
 @cache
-def space(k: int, num: int, den: int) -> tuple[int, int]:
-    """(d, m) of space k, where sets of class k meet larger ones: similar ones differ in at most d tokens; m parts."""
+def parts_of(k: int, num: int, den: int) -> int:
+    """Parts of space k, where sets of class k meet those of class k and larger ones of class k + 1."""
     b = bounds(num, den)
     small = int(b[k + 1]) - 1
-    large = min(small * den // num, int(b[k + 2]) - 1)
-    return (small + large) * (den - num) // (den + num), int(large / PART_TOKENS) + 1 + EXTRA_PARTS
+    return int(min(small * den // num, int(b[k + 2]) - 1) / PART_TOKENS) + 1 + EXTRA_PARTS
 
 
-def part_signatures(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of parts of the set, so that similar sets, unless equal, share one.
+def part_signatures(tokens: np.ndarray, num: int, den: int) -> tuple[np.ndarray, list[int]]:
+    """Hashes of parts of the set, so that similar sets, unless equal, share some; and at least how many they share.
 
-    The range of hashes is cut into m parts. Two similar sets differ in at most d tokens, so in at most d parts; a set
-    that has more than d parts of at least s tokens shares one of these whole. s is the largest for which that holds; of
-    two sets the one with the larger s has such a part, and the other signs it too, as it signs smaller ones as well.
-    (A set of n tokens with no more than d parts in all would sign what it has; for the smallest sets where that can be,
-    7 tokens in 18 parts, its chance is below 1e-7, and it falls by an order with each token more.)
+    The range of hashes is cut into parts. A set differs from any similar one in at most d tokens, so in at most d parts;
+    if it has p parts of at least s tokens, p more than d, it shares p - d of these whole. s is the largest for which
+    that is an eighth of d. Of two sets the one with the larger s has such parts, and the other signs them too, as it
+    signs smaller ones as well: the two share at least the lesser of their p - d. A set with no more than d parts in all
+    signs all of them and each of its tokens besides: beside a set with more parts the above holds, and of two such sets,
+    which share a token if they are similar, both sign that. The last bit of a signature tells the parity of its space;
+    the second result has what must be shared in spaces of either parity.
     """
-    if not len(tokens):
-        return tokens
-    k = int(np.searchsorted(bounds(num, den), len(tokens), "right")) - 1
+    need = [1, 1]
+    n = len(tokens)
+    if not n:
+        return tokens, need
+    b = bounds(num, den)
+    k = int(np.searchsorted(b, n, "right")) - 1
     out = []
     for at in (k - 1, k) if k else (k,):
-        d, m = space(at, num, den)
+        other = int(b[k]) - 1 if at < k else min(n * den // num, int(b[k + 2]) - 1)
+        d, m = (n + other) * (den - num) // (den + num), parts_of(at, num, den)
         if d == 0:
             continue
         part = ((tokens >> S32) * np.uint64(m)) >> S32
         counts = np.bincount(part.astype(np.int64), minlength=m)
-        s = next((s for s in PART_SIZES if np.count_nonzero(counts >= s) > d), 1)
+        enough = d + max(1, d // MARGIN)
+        s = next((s for s in PART_SIZES if np.count_nonzero(counts >= s) >= enough), 1)
         used = np.flatnonzero(counts)
         sums = np.add.reduceat(tokens, np.concatenate(([0], np.cumsum(counts[used])[:-1])))
         big = counts[used] >= s
-        out.append(mixed(mixed(sums[big]) + used[big].astype(np.uint64) * C1 + C2 * np.array([at + 1], np.uint64)))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        space = C2 * np.array([at + 1], np.uint64)
+        own = mixed(mixed(sums[big]) + used[big].astype(np.uint64) * C1 + space)
+        if len(used) <= d:
+            own = np.concatenate((own, mixed(mixed(tokens + C3) + space)))
+        need[at % 2] = max(1, int(np.count_nonzero(big)) - d)
+        out.append(own & ~ONE | np.uint64(at % 2))
+    return np.concatenate(out) if out else np.empty(0, np.uint64), need
 
 
 def class_key(tokens: np.ndarray) -> int:
@@ -102,22 +116,24 @@ def class_key(tokens: np.ndarray) -> int:
 
 
 def sets_of(k: int, num: int, den: int):
-    """mapInArrow: (_id, text, th) to (_id, th, n, cls, sigs)."""
+    """mapInArrow: (_id, text, th) to (_id, th, n, cls, need0, need1, sigs)."""
 
     def run(batches):
         hashes = Hashes()
         for batch in batches:
-            n, cls, sigs, ends = [], [], [], [0]
+            n, cls, needs, sigs, ends = [], [], ([], []), [], [0]
             for text in batch.column(1).to_pylist():
                 t = token_set(text, k, hashes)
-                s = part_signatures(t, num, den)
+                s, need = part_signatures(t, num, den)
+                for x, of in zip(needs, need):
+                    x.append(of)
                 n.append(len(t))
                 cls.append(class_key(t))
                 sigs.append(s)
                 ends.append(ends[-1] + len(s))
             values = np.concatenate(sigs).view(np.int64) if sigs else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists], ["_id", "th", "n", "cls", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), *(pa.array(x, pa.int32()) for x in needs), lists], ["_id", "th", "n", "cls", "need0", "need1", "sigs"])
 
     return run
 
