@@ -1,15 +1,25 @@
-"""A corpus pipeline: quality rules, one text of each near-duplicate group, decontamination, mixing, sharding."""
+"""A corpus pipeline: quality rules, one text of each near-duplicate group, decontamination, mixing, sharding.
+
+Every stage takes nulls, empty and very long texts, repeated rows, empty tables and columns of any other name as its
+operator does: null and empty texts fail the quality rules, so later stages see texts with words only; rows of one id
+are judged each on its own; columns that documents has besides pass through all stages but the last.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from splicedf.llm import decontaminate, jaccard_join, kd_sharding, mixing, quality_rules
-from splicedf.llm.common import read, written
+from splicedf.llm.common import drop_owned, owned, read, written
 
 SHINGLE, SIMILAR = 5, (4, 5)
 SHARD_BYTES = 64 << 20
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.kept_only(docs, read(spark, sf_dir, "labels"))
@@ -32,14 +42,34 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kd_sharding.kd_shards(docs, target_bytes=SHARD_BYTES)
 
 
-STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontamination), ("source_mixing", mixture), ("kd_sharding", sharding)]
+def after_others(stage: Stage) -> Stage:
+    """The stage, which first deletes the scratch tables of the one before: by then that one's result is written."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_owned(spark, "stages")
+        with owned("stages"):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+WORK = (("quality_rules", quality), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontamination), ("source_mixing", mixture), ("kd_sharding", sharding))
+STAGES = [(name, after_others(stage)) for name, stage in WORK]
 
-#: The hashed multinomials of the first stage are not SQL; run() has no test yet, its stages are tested as operators.
+#: The hashed multinomials of the first stage are not SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages one after the other; a stage's scratch tables and its input go when its result is written."""
+    docs, mine, last = read(spark, sf_dir, "documents"), uuid.uuid4().hex, None
+    for name, stage in WORK[:-1]:
+        with owned(mine):
+            made = stage(spark, docs, sf_dir)
+        with owned(mine + name):
+            docs = written(made, name)
+        drop_owned(spark, mine)
+        if last:
+            drop_owned(spark, mine + last)
+        last = name
+    return WORK[-1][1](spark, docs, sf_dir)
