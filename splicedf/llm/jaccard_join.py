@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.llm import shingle_sets
-from splicedf.llm.common import Scratch, maybe_broadcast, written
+from splicedf.llm.common import Scratch, maybe_broadcast, renamed, written
 from splicedf.llm.components import components
 
 #: Members of a group of the matrix.
@@ -156,7 +156,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs with one document of each component: the one with the smallest id. Documents without id, and rows that repeat
-    that id, stay. The ids that go are broadcast if checked to be few."""
+    that id, stay; columns pass through, whatever their names. The ids that go are broadcast if checked to be few."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    gone = maybe_broadcast(written(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    gone = maybe_broadcast(written(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct(), "gone"))
+    d, cols = renamed(docs)
+    return d.join(gone, F.col(f"c{cols.index(id_col)}") == F.col("gone"), "left_anti").toDF(*cols)

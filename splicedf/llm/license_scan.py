@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from splicedf.llm.common import ascii_lower
+from splicedf.llm.common import ascii_lower, renamed
 
 #: Known licence sentences, normalised (lower case, what is not a-z or 0-9 as one space), by identifier.
 SENTENCES = {
@@ -89,10 +89,13 @@ def licensed(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Rules are tried in order on the sequence of identifiers; a rule that matches takes the sentences of its first match
     away from later rules and counts once. license_class is that of the first rule that matched; without any, it is
-    'none'. Null and empty texts have no sentences. Every document is judged within its row: nothing is shuffled.
+    'none'. Null and empty texts have no sentences; of rules that could match alike the first in the list counts; repeated
+    rows are judged alike and very long texts whole. Columns of docs pass through, but for those of the four names above,
+    which are replaced. Every document is judged within its row: nothing is shuffled.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.withColumn("_seq", F.when(text.rlike(ANY_WORD), F.concat(F.lit(">"), F.array_join(sentence_ids(text), ">>"), F.lit(">"))).otherwise(">>"))
+    d, cols = renamed(docs)
+    text = F.coalesce(F.col(f"c{cols.index(text_col)}"), F.lit(""))
+    d = d.withColumn("_seq", F.when(text.rlike(ANY_WORD), F.concat(F.lit(">"), F.array_join(sentence_ids(text), ">>"), F.lit(">"))).otherwise(">>"))
     d = d.withColumn("sentence_ids", F.regexp_replace(F.regexp_replace("_seq", ">>", ","), ">", ""))
     d = d.withColumns({"sentence_ids": F.trim(F.regexp_replace("sentence_ids", "^,$", "")), "_left": F.col("_seq")})
     names, kinds = [], []
@@ -104,4 +107,5 @@ def licensed(docs: DataFrame, text_col: str = "text") -> DataFrame:
         kinds.append(F.when(F.col(f"_m{i}"), F.lit(kind)))
     found = F.array_distinct(F.filter(F.array(*names), lambda x: x.isNotNull()))
     d = d.withColumns({"licenses": F.array_join(found, ","), "license_class": F.coalesce(*kinds, F.lit("none")), "n_licenses": F.size(found).cast("long")})
-    return d.select(*docs.columns, "sentence_ids", "licenses", "license_class", "n_licenses")
+    made = ("sentence_ids", "licenses", "license_class", "n_licenses")
+    return d.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols) if c not in made], *made)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.llm.common import SPACE_CLASS, maybe_broadcast
+from splicedf.llm.common import SPACE_CLASS, maybe_broadcast, renamed
 
 #: Weights by rank of the source, repeating; a target is at most CAP times its source's words.
 WEIGHTS, CAP, SEED = (5, 2, 1), 3, "mix-1"
@@ -47,7 +47,7 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null sources are one source, last in order; a null or empty text has size 0 and is taken as often as any other of
     its source; a source without words is taken 0 times. Rows with the same id draw the same number, so repeated rows
-    are repeated alike. Columns of other names pass through. The table of sources is broadcast if it is checked to be
+    are repeated alike. Columns of other names pass through; those of the four names above are replaced. The table of sources is broadcast if it is checked to be
     small; the documents are never shuffled then.
     """
     d = docs.withColumn("_size", word_count(F.col(text_col)))
@@ -58,7 +58,10 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return d.withColumn("_copies", (F.floor(rate) + (drawn(F.col(id_col), seed) < rate - F.floor(rate)).cast("int")).cast("long"))
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: each document as often as with_copies says, with the columns of docs."""
-    d = with_copies(docs, **how).filter("_copies > 0")
-    return d.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[d[f"`{c}`"] for c in docs.columns])
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: each document as often as with_copies says, with the columns and values of docs, whatever their names."""
+    d, cols = renamed(docs)
+    at = [f"c{cols.index(c)}" for c in (id_col, text_col, source_col)]
+    d = with_copies(d, *at, **how).filter("_copies > 0")
+    d = d.withColumn("_copy", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return d.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])

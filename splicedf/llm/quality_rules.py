@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from splicedf.llm.common import filled, pieces, small, written
+from splicedf.llm.common import filled, pieces, renamed, small, written
 
 #: Buckets of the two multinomials; PRIOR is added to a bucket's trusted count and to the count that its share of all
 #: n-grams lets expect, so a bucket without evidence weighs 0; weights are integers of 1 / SCALE.
@@ -102,7 +102,7 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The sum is of integers, so no order of rows changes it. A null or empty text has no words, fails the base and is not
     kept; labels with nulls do not count as trusted; without any trusted document all weights are 0.
-    Repeated rows are judged alike; columns of other names pass through.
+    Repeated rows are judged alike; columns of other names pass through, and those of the names above are replaced.
     """
     trusted = trusted_ids(labels)
     ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
@@ -116,6 +116,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return d.drop("_n")
 
 
-def kept_only(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    return judged(docs, labels, **how).filter("kept").select(*docs.columns)
+def kept_only(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The documents that are kept, with their own columns and values, whatever their names."""
+    d, cols = renamed(docs)
+    kept = judged(d, labels, f"c{cols.index(id_col)}", f"c{cols.index(text_col)}", **how).filter("kept")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
