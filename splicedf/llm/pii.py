@@ -1,4 +1,4 @@
-"""Personal data: base patterns, and candidates that boosted trees accept above thresholds set on held-out rows."""
+"""Personal data: base patterns, and candidates that boosted trees accept above thresholds calibrated on all candidates."""
 
 from __future__ import annotations
 
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from splicedf.llm import pii_spans
 from splicedf.llm.common import written
 
-#: Candidates that the trees are fitted and calibrated on, at most, by hash of place; every fourth is held out.
-TRAIN_ROWS, HOLD_OUT = 20_000, 4
+#: Candidates of each kind and label that the trees are fitted on, at most about so many, by hash of place.
+TRAIN_ROWS = 3_000
 TREES, DEPTH, SEED = 20, 4, 7
-#: A kind's threshold is the least score from which this share of the held-out candidates is right.
-PRECISION, MIN_HELD = 0.98, 5
+#: A kind's threshold is the lowest of BINS scores from which this share of its candidates outside the sample is right;
+#: kinds with fewer than MIN_HELD right ones there have FALLBACK.
+PRECISION, BINS, MIN_HELD, FALLBACK = 0.98, 200, 5, 0.95
 SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
 CANDIDATE = "array<struct<kind: string, start: bigint, end: bigint, label: double, base: boolean, features: array<double>>>"
 
@@ -24,28 +25,34 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(d.mapInArrow(pii_spans.rows, f"_id long, _th long, base {SPAN}, candidates {CANDIDATE}"), "pii")
 
 
-def fitted(cands: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
-    """The trees and the threshold of each kind, from a bounded sample; (None, {}) if it lacks either class."""
-    n = cands.count()
-    every = max(1, -(-n // TRAIN_ROWS))
-    place = F.xxhash64("_id", "_th", "start", "kind")
+def fitted(cands: DataFrame) -> GBTClassificationModel | None:
+    """The trees, from a bounded sample of candidates by kind and label; None if one of the labels has no candidate."""
+    counts = cands.groupBy("kind", "label").count().collect()  # two rows a kind at most
+    if {r["label"] for r in counts} != {0.0, 1.0}:
+        return None
+    own = F.coalesce(*[F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), F.lit(max(1, -(-r["count"] // TRAIN_ROWS)))) for r in counts])
     # one small partition, in a fixed order: the same rows give the same trees
-    sample = written(cands.filter(F.pmod(place, F.lit(every)) == 0).withColumn("fold", F.pmod(F.shiftright(place, 32), F.lit(HOLD_OUT))).orderBy("_id", "_th", "start", "kind").limit(2 * TRAIN_ROWS).coalesce(1), "pii-sample")
-    train = sample.filter("fold > 0")
-    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    if min(counts.get(0.0, 0), counts.get(1.0, 0)) < MIN_HELD:
-        return None, {}
-    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(train.withColumn("v", array_to_vector("features")))
-    held = scored(sample.filter("fold = 0"), model).select("kind", "label", "score").collect()
+    sample = written(cands.withColumn("every", own).filter("pmod(place, every) = 0").orderBy("_id", "_th", "start", "kind").coalesce(1), "pii-sample")
+    return GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(sample.withColumn("v", array_to_vector("features")))
+
+
+def thresholds(cands: DataFrame) -> dict[str, float]:
+    """The threshold of each kind, from the counts of right and wrong candidates by score, over all that are not in the sample."""
+    sizes = {(r["kind"], r["label"]): r["count"] for r in cands.groupBy("kind", "label").count().collect()}
+    own = F.coalesce(*[F.when((F.col("kind") == k) & (F.col("label") == x), F.lit(max(1, -(-n // TRAIN_ROWS)))) for (k, x), n in sizes.items()])
+    held = cands.withColumn("every", own).filter("pmod(place, every) <> 0 OR every = 1")  # a kind that is in the sample whole is judged by it
+    bins = held.groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()  # BINS + 1 rows a kind at most
     limits = {}
-    for kind in pii_spans.PROPOSE:
-        own = sorted(((r["score"], r["label"]) for r in held if r["kind"] == kind), reverse=True)
-        right = 0.0
-        for i, (score, label) in enumerate(own, 1):
-            right += label
-            if i >= MIN_HELD and right / i >= PRECISION and (i == len(own) or own[i][0] < score):
-                limits[kind] = score
-    return model, limits
+    for kind in pii_spans.KINDS:
+        n = right = 0.0
+        limits[kind] = 2.0
+        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
+            n, right = n + r["n"], right + r["right"]
+            if right >= MIN_HELD and right / n >= PRECISION:
+                limits[kind] = r["bin"] / BINS
+        if right < MIN_HELD:
+            limits[kind] = FALLBACK
+    return limits
 
 
 def scored(cands: DataFrame, model: GBTClassificationModel) -> DataFrame:
@@ -64,17 +71,19 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row a document: _id, _th, base spans and added spans.
 
     Base spans always stay. A candidate adds one if its score reaches its kind's threshold and no base span touches it;
-    of added ones that overlap, the higher score stays (then the longer, then the first). Null text counts as empty;
-    repeated rows each get a row; without candidates of either kind nothing is added.
+    of added ones that overlap, the higher score stays (then the longer, then the first). Null text counts as empty, very
+    long ones are read whole; repeated rows each get a row; without candidates of either label nothing is added. Other
+    columns of docs are left out, whatever their names.
     """
     table = scanned(docs, id_col, text_col)
     cands = table.select("_id", "_th", F.inline_outer("candidates")).filter("kind IS NOT NULL").dropDuplicates(["_id", "_th", "kind", "start"])
-    cands = written(cands, "pii-candidates")
-    model, limits = fitted(cands)
-    if not limits:
+    cands = written(cands.withColumn("place", F.xxhash64("_id", "_th", "start", "kind")), "pii-candidates")
+    model = fitted(cands)
+    if model is None:
         return table.select("_id", "_th", "base", F.array().cast(SPAN).alias("added"))
-    least = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in limits.items()], F.lit(2.0))
-    good = scored(cands.filter("NOT base"), model).filter(F.col("score") >= least)
+    cands = written(scored(cands, model).drop("features"), "pii-scores")
+    least = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in thresholds(cands).items()])
+    good = cands.filter(~F.col("base") & (F.col("score") >= least))
     own = good.groupBy("_id", "_th").agg(F.collect_list(F.struct("score", (F.col("end") - F.col("start")).alias("n"), (-F.col("start")).alias("first"), "kind", "start", "end")).alias("a"))
     beats = lambda x, y: (y.start < x.end) & (y.end > x.start) & (F.struct(y.score, y.n, y["first"], y.kind) > F.struct(x.score, x.n, x["first"], x.kind))
     own = own.select(F.col("_id").alias("_i"), F.col("_th").alias("_t"), F.transform(F.filter("a", lambda x: ~F.exists("a", lambda y: beats(x, y))), lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"))).alias("added"))
@@ -84,4 +93,4 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def report(docs: DataFrame, **how) -> DataFrame:
     d = personal_data(docs, **how)
     count = lambda k: F.size(F.filter("base", lambda s: s.kind == k)).cast("long").alias(f"n_{k}")
-    return d.select(F.col("_id").alias("doc_id"), *[count(k) for k in pii_spans.BASE], F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+    return d.select(F.col("_id").alias("doc_id"), *[count(k) for k in pii_spans.BASE], F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

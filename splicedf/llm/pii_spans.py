@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 #: Base kinds, in the order of results; the kinds that candidates add come after them.
 BASE, ADDED = ("email", "ip", "card", "phone"), ("number", "secret")
@@ -17,22 +19,20 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANY_DIGIT, NOT_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]")
 
-#: Generators propose; most of what they propose is not personal data.
-PROPOSE = {
-    "email": re.compile(r"[^\s@]{1,64}@[^\s@]{1,255}"),
-    "ip": re.compile(r"(?<![0-9.])[0-9]{1,9}(?:\.[0-9]{1,9}){2,7}(?![0-9])"),
-    "number": re.compile(r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,31}(?![0-9A-Za-z])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,128}(?![A-Za-z0-9+/_=-])"),
-}
+KINDS = ("email", "ip", "number", "secret")
+#: Generators propose; most of what they propose is not personal data. Runs are taken whole, however long: each is read once.
+DOTTED = re.compile(r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2,}+")
+DIGITS = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])*+")
+KEYLIKE = re.compile(r"[A-Za-z0-9+/_-]{16,}+={0,2}")
+LEAST_DIGITS = 7
 #: Words of the text before a candidate that speak for personal data, fixed values: by kind.
 CUES = {
     "email": re.compile(r"(?i)e-?mail|contact|write|address"),
     "ip": re.compile(r"(?i)\bip\b|host|server|address"),
     "number": re.compile(r"(?i)card|visa|account|iban|phone|tel|call|mobile|fax|ssn|passport"),
-    "secret": re.compile(r"(?i)token|key|secret|passw|pwd|auth"),
 }
 ASSIGNED = re.compile(r"(?i)(?:token|key|secret|passw\w*|pwd|auth\w*)\"?\s*[=:]\s*[\"']?$")
-FEATURES = ("kind_email", "kind_ip", "kind_number", "kind_secret", "length", "digits", "letters", "upper", "hex_share", "entropy", "separators", "groups", "plus", "dots", "octets", "luhn", "has_domain", "cue", "before", "after")
+FEATURES = ("kind_email", "kind_ip", "kind_number", "kind_secret", "length", "digits", "letters", "upper", "hex_share", "entropy", "separators", "groups", "dots", "cue", "before", "after")
 CONTEXT = 40
 
 
@@ -81,35 +81,58 @@ def shape(c: str) -> float:
 
 
 def features(kind: str, text: str, start: int, end: int) -> list[float]:
-    s, before = text[start:end], text[max(0, start - CONTEXT) : start]
-    digits = NOT_DIGIT.sub("", s)
-    parts = s.split(".")
-    letters = sum(c.isalpha() for c in s)
+    """What the trees see. The label is hidden from them: of a secret it is the text before, so they see its form alone;
+    of other kinds it is that a base pattern matches, so they see no checksum, range of parts, domain or plus sign."""
+    s = text[start:end]
+    digits, letters = len(NOT_DIGIT.sub("", s)), sum(c.isalpha() for c in s)
+    context = [0.0] * 3 if kind == "secret" else [float(bool(CUES[kind].search(text[max(0, start - CONTEXT) : start]))), shape(text[start - 1 : start]), shape(text[end : end + 1])]
     return [
-        *(float(kind == k) for k in PROPOSE), float(end - start), float(len(digits)), float(letters), float(sum(c.isupper() for c in s)),
-        sum(c in "0123456789abcdefABCDEF" for c in s) / len(s), entropy(s), float(len(s) - len(digits) - letters), float(len(re.findall("[0-9]+", s))),
-        float(s[0] == "+"), float(s.count(".")), float(len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)),
-        float(13 <= len(digits) <= 19 and luhn(digits)), float(bool(DOMAIN.match(s, s.find("@") + 1)) if "@" in s else False), float(bool(CUES[kind].search(before))),
-        shape(text[start - 1 : start]), shape(text[end : end + 1]),
+        *(float(kind == k) for k in KINDS), float(end - start), float(digits), float(letters), float(sum(c.isupper() for c in s)),
+        sum(c in "0123456789abcdefABCDEF" for c in s) / len(s), entropy(s), float(len(s) - digits - letters), float(len(re.findall("[0-9]+", s))), float(s.count(".")), *context,
     ]
 
 
+def mails(text: str) -> list[tuple[int, int]]:
+    """What stands around an @, up to white space or another @."""
+    out, at = [], text.find("@")
+    while at >= 0:
+        start = end = at
+        while start and not text[start - 1].isspace() and text[start - 1] != "@":
+            start -= 1
+        end = at + 1
+        while end < len(text) and not text[end].isspace() and text[end] != "@":
+            end += 1
+        if start < at and end > at + 1:
+            out.append((start, end))
+        at = text.find("@", max(at + 1, end))
+    return out
+
+
+def proposed(text: str) -> list[tuple[str, int, int]]:
+    out = [("email", *x) for x in mails(text)] if "@" in text else []
+    if ANY_DIGIT.search(text):
+        out += [("ip", *m.span()) for m in DOTTED.finditer(text)]
+        for m in DIGITS.finditer(text):
+            alone = not text[m.start() - 1 : m.start()].isalnum() and not text[m.end() : m.end() + 1].isalnum()
+            if alone and len(NOT_DIGIT.sub("", m[0])) >= LEAST_DIGITS:
+                out.append(("number", *m.span()))
+    out += [("secret", *m.span()) for m in KEYLIKE.finditer(text)]
+    return out
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     """Proposed spans with features and a weak label: whether a base span lies within, or a secret is assigned to a name."""
-    if "@" not in text and not ANY_DIGIT.search(text):
-        return []
+    spans = sorted((s, e) for _, s, e in base)
+    starts, reach = [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
     out = []
-    for kind, pattern in PROPOSE.items():
-        if kind == "email" and "@" not in text:
-            continue
-        for m in pattern.finditer(text):
-            start, end = m.span()
-            if kind == "secret" and (not ANY_DIGIT.search(m[0]) or not any(c.isalpha() for c in m[0])):
-                continue
-            inside = any(s >= start and e <= end for _, s, e in base)
-            label = bool(ASSIGNED.search(text[max(0, start - CONTEXT) : start])) if kind == "secret" else inside
-            touches = any(s < end and e > start for _, s, e in base)
-            out.append({"kind": kind, "start": start, "end": end, "label": float(label), "base": touches, "features": features(kind, text, start, end)})
+    for kind, start, end in proposed(text):
+        before = bisect_left(starts, end)
+        touches = before > 0 and reach[before - 1] > start
+        if kind == "secret":
+            label = bool(ASSIGNED.search(text[max(0, start - CONTEXT) : start]))
+        else:
+            label = any(e <= end for _, e in spans[bisect_left(starts, start) : before])
+        out.append({"kind": kind, "start": start, "end": end, "label": float(label), "base": touches, "features": features(kind, text, start, end)})
     return out
 
 
