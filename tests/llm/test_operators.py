@@ -5,11 +5,13 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from splicedf.llm.common import Scratch
 from splicedf.llm import decontaminate, jaccard_join, kd_sharding, license_scan, mixing, pii, pii_spans, quality_rules, sorted_tables, token_tables, warc, warc_records, weak_labels
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, slot string, n_words string"
@@ -181,8 +183,7 @@ def quality(rows, labels):
         for x in g:
             raw[x] += 1
             trust[x] += bool(i in good and all(good[i]))
-    n, t, add = sum(raw), sum(trust), quality_rules.BUCKETS
-    weight = [round((math.log((b + 1) / (t + add)) - math.log((a + 1) / (n + add))) * quality_rules.SCALE) for a, b in zip(raw, trust)]
+    n, t = sum(raw), sum(trust)
     out = []
     for (i, text, *_), g in zip(rows, grams):
         w, text = ws(text), text or ""
@@ -193,7 +194,12 @@ def quality(rows, labels):
         windows = [tuple(w[j : j + 5]) for j in range(len(w) - 4)]
         hit = {p for j, x in enumerate(windows) if windows.count(x) > 1 for p in range(j, j + 5)} if len(w) < 1000 else set()
         failed = len(w) < 10 or 100 * len(hit) > 20 * len(w)
-        score = sum(weight[x] for x in g)
+        mine = bool(i in good and all(good[i]))
+        share = (t - len(g) * mine) / max(n - len(g), 1)
+        score = 0
+        for x, c in Counter(g).items():  # a document's own n-grams are left out of both multinomials
+            ratio = (trust[x] - c * mine + quality_rules.PRIOR) / (share * (raw[x] - c) + quality_rules.PRIOR)
+            score += c * math.floor(math.log(ratio) * quality_rules.SCALE + 0.5)
         kept = not failed and score >= len(g) * math.floor(quality_rules.THRESHOLD * quality_rules.SCALE)
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit), failed, kept, score))
     return sorted(out, key=repr)
@@ -233,6 +239,45 @@ def test_kd_sharding(docs, empty):
     assert few.agg(F.max("shard")).first()[0] == math.ceil(sum(s for _, s, _ in want) / 20_000) - 1
 
 
+def tree(points, dims, shards, first=0):
+    """(key of point, leaf): the same cuts, made by sorting."""
+    if shards == 1:
+        return [(p[:2], first) for p in points]
+    if not points:
+        return []
+    spread = [max(p[3 + i] >> kd_sharding.TIE_BITS for p in points) - min(p[3 + i] >> kd_sharding.TIE_BITS for p in points) for i in range(dims)]
+    at = 3 + max(range(dims), key=lambda i: (spread[i], -i))
+    half = shards // 2
+    want, below = sum(p[2] for p in points) * half / shards, 0
+    by_key = {}
+    for p in points:
+        by_key[p[at]] = by_key.get(p[at], 0) + p[2]
+    for key in sorted(by_key):
+        upto = below + by_key[key]
+        if upto >= want or key == max(by_key):
+            cut = key if abs(upto - want) <= abs(below - want) else key - 1
+            break
+        below = upto
+    left, right = [p for p in points if p[at] <= cut], [p for p in points if p[at] > cut]
+    return tree(left, dims, half, first) + tree(right, dims, shards - half, first + half)
+
+
+@pytest.mark.parametrize("shards", [1, 5, 16])
+def test_kd_tree(spark, docs, shards):
+    flat = docs.select(F.col("doc_id").alias("_id"), (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("_size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), kd_sharding.place(F.col("n_chars"), True).alias("_d0"), kd_sharding.place(F.col("source"), False).alias("_d1"), kd_sharding.place(F.octet_length("text"), True).alias("_d9"))
+    dims = ["_d0", "_d1", "_d9"]
+    _, points = kd_sharding.points_of(flat, flat.agg(F.sum("_size")).first()[0] / shards, dims)
+    want = tree([tuple(r) for r in points.collect()], len(dims), shards)
+    got = kd_sharding.kd_leaves(points, dims, shards, Scratch(spark))
+    assert sorted(((r["_text"], r["_chunk"]), r["_leaf"]) for r in got.collect()) == sorted(want)
+
+
+def test_kd_copies_stay_together(spark):
+    """No text of less weight than a leaf lies in two shards."""
+    out = kd_sharding.kd_shards(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), shards=16)
+    assert out.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("k")).filter("k > 1").count() == 0
+
+
 def test_kd_balance(spark):
     r = random.Random(3)
     rows = [(i, "w" * r.randint(1, 300) if i % 3 else "same text for a third", "en", "hot" if i % 2 else f"s{i % 9}", i, "", "") for i in range(3000)]
@@ -336,7 +381,6 @@ def test_token_tables(spark, docs, empty, tmp_path):
     rows = fixture() + extra
     token_tables.write_tables(spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path / "t"), path)
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     want, at = [], 0
     enc = [(i, [*t.encode(x or "", add_special_tokens=False).ids, 2]) for i, x, *_ in rows]
     got = token_tables.read_tables(spark, str(tmp_path / "t")).collect()
@@ -388,6 +432,44 @@ def test_warc_broken_segments(spark):
         warc_records.dechunked(b"5\r\nabc")
 
 
+def clashing(df):
+    """df with columns of the names that operators make, all of them with the value 'mine'."""
+    names = ("_id", "_th", "spans", "items", "n_words", "word_chars", "kept", "gram_score", "_h", "sentence_ids", "licenses", "_seq", "_size", "_source", "_target", "_copies", "_copy", "gone", "c0", "c1", "_trusted", "comp", "component_id")
+    return df.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit("mine").alias(n) for n in names])
+
+
+def test_clashing_columns(spark, docs):
+    """What passes docs through keeps its columns and values; what reports is not disturbed by them."""
+    own, plain = clashing(docs), docs.drop("slot", "n_words")
+    b = spark.createDataFrame(bench_rows(fixture()), "item_id long, text string").withColumns({"len": F.lit(1), "h": F.lit(2), "_words": F.lit(3)})
+    lab = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    through = {
+        "quality": lambda d: quality_rules.kept_only(d, lab), "near": jaccard_join.one_of_each, "clean": lambda d: decontaminate.decontaminate(d, b),
+        "spans": lambda d: decontaminate.decontaminate(d, b, remove="spans"), "mix": mixing.mix,
+    }
+    for name, f in through.items():
+        got = f(own)
+        assert got.columns == own.columns, name
+        assert rows_of(got, "doc_id", "text") == rows_of(f(plain), "doc_id", "text"), name
+        assert got.filter(" OR ".join(f"`{c}` <> 'mine'" for c in own.columns[5:])).isEmpty(), name
+    scan = license_scan.licensed(own)
+    assert len(set(scan.columns)) == len(scan.columns) and rows_of(scan, "doc_id", "licenses") == rows_of(license_scan.licensed(plain), "doc_id", "licenses")
+    for f in (kd_sharding.kd_shards, pii.report, decontaminate_report(b), weak_labels.classified, jaccard_join.near_duplicates):
+        assert sorted(map(repr, f(own).collect())) == sorted(map(repr, f(plain).collect()))
+
+
+def decontaminate_report(b):
+    return lambda d: decontaminate.report(d, b)
+
+
+def test_license_sentences_reachable(spark):
+    """Every known sentence is found by itself, also over two lines and with other case."""
+    known = [(s, i) for i, of in license_scan.SENTENCES.items() for s in of]
+    rows = [(k, form(s) + ".", i) for k, (s, i) in enumerate(known) for form in (str, str.upper, lambda s: s.replace(" ", "\n", 1), lambda s: "# " + s.replace(" ", "\n# ", 2))]
+    got = license_scan.licensed(spark.createDataFrame(rows, "doc_id long, text string, want string"))
+    assert got.filter("NOT startswith(sentence_ids, want)").collect() == []
+
+
 def test_license_scan(spark, docs, empty):
     mit = "\n".join(["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files (the \"Software\"), to deal", "in the Software without restriction, including without limitation the rights", "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell", "copies of the Software, and to permit persons to whom the Software is", "furnished to do so, subject to the following conditions:", "", "The above copyright notice and this permission notice shall be included in all", "copies or substantial portions of the Software."])
     rows = [(1, "prose here.\nReleased under the MIT License."), (2, "x | y |\nLicensed under the Apache License, Version 2.0."), (3, mit), (4, "MIT is a school"), (5, None), (6, "Licensed under CC BY-NC 4.0. Released under the MIT License."), (7, "All rights reserved. " * 3), (8, "")]
@@ -403,3 +485,69 @@ def test_weak_labels(spark, docs, empty):
     found = weak_labels.classified(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     n, right, clean, kept = found.agg(F.count("*"), F.sum((F.col("kept") == (F.col("quality") == 1)).cast("int")), F.sum("quality"), F.sum(F.when(F.col("quality") == 1, F.col("kept").cast("int")))).first()
     assert right / n > 0.95 and kept / clean > 0.95
+
+
+def test_weak_label_accuracies():
+    """Expectation-maximisation over patterns against the same over single documents, written out."""
+    r = random.Random(12)
+    docs = []
+    for _ in range(400):
+        good = r.random() < 0.8
+        docs.append(tuple((r.choice([0, 1]) if good else -1) if r.random() < 0.7 else 0 for _ in range(4)))
+    prior, odds = weak_labels.accuracies(sorted(Counter(docs).items()))
+    post = [0.01 if min(v) < 0 else 0.99 for v in docs]
+    for _ in range(weak_labels.ROUNDS):
+        table = []
+        for j in range(4):
+            row = []
+            for side in (lambda p: p, lambda p: 1 - p):
+                c = [sum(side(p) for p, v in zip(post, docs) if v[j] == x) + weak_labels.SMOOTH for x in (-1, 0, 1)]
+                row.append([math.log(x / sum(c)) for x in c])
+            table.append([a - b for a, b in zip(*row)])
+        share = min(max(sum(post) / len(docs), 1e-6), 1 - 1e-6)
+        post = [1 / (1 + math.exp(-max(-50, min(50, math.log(share / (1 - share)) + sum(table[j][x + 1] for j, x in enumerate(v)))))) for v in docs]
+    assert prior == pytest.approx(share, rel=1e-6)
+    for a, b in zip(odds, table):
+        assert list(a) == pytest.approx(b, rel=1e-6)
+
+
+def test_weak_label_scores(spark):
+    """The scorer is learnt from posteriors alone and agrees with labels that it never saw."""
+    sf = "/root/testdata/sf0.001"
+    out = weak_labels.classified(spark.read.parquet(f"{sf}/documents.parquet"))
+    n, near = out.agg(F.count("*"), F.sum(((F.col("score") >= 0.5) == (F.col("label") >= 0.5)).cast("int"))).first()
+    assert near / n > 0.9
+
+
+def test_personal_data_added(spark):
+    """Added spans by brute force from the scored candidates."""
+    sf = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("doc_id", F.col("doc_id") + 10**6)).limit(10**6)
+    seen = {}
+    keep = pii.thresholds
+
+    def watched(cands):
+        limits = keep(cands)
+        for c in cands.collect():
+            seen.setdefault(c["_id"], []).append((c, limits[c["kind"]]))
+        return limits
+
+    pii.thresholds = watched
+    try:
+        got = {r["_id"]: {(s.kind, s.start, s.end) for s in r["added"]} for r in pii.personal_data(sf).collect()}
+    finally:
+        pii.thresholds = keep
+    for i, spans in got.items():
+        ok = [(c["score"], c["end"] - c["start"], -c["start"], c["kind"], c["start"], c["end"]) for c, least in seen.get(i, []) if not c["base"] and c["score"] >= least]
+        want = {x[3:] for x in ok if not any(y > x and y[4] < x[5] and y[5] > x[4] for y in ok)}
+        assert spans == want
+    assert sum(map(len, got.values())) > 0
+
+
+def test_candidates_are_whole():
+    """Generators have no caps: long secrets, local parts and numbers are proposed whole, in time that grows with the text."""
+    long = "a1" * 5_000
+    assert ("secret", 8, 8 + len(long)) in pii_spans.proposed(f"token = {long}")
+    assert ("email", 0, 10_006) in pii_spans.proposed("x" * 10_000 + "@ab.cd")
+    assert ("number", 0, 500) in pii_spans.proposed("12345" * 100)
+    assert ("secret", 9, 29) in pii_spans.proposed("password=" + "abcdefghijklmnopqrst")
+    assert len(pii_spans.proposed("1 " * 100_000 + "x")) <= 1
