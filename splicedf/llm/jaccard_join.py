@@ -99,22 +99,26 @@ def with_links(comps: DataFrame, links: DataFrame, work: Scratch) -> DataFrame:
 def matrix_links(open_: DataFrame, first: DataFrame, texts: DataFrame, work: Scratch, k: int, num: int, den: int) -> DataFrame:
     """Links between different components, at least one for each two components that have any.
 
-    The classes of open signatures are dealt into groups of about GROUP_SIZE, by component where that is large, else by
-    the class that they were compared with first. Two groups meet once, if between different components they share as
-    many signatures as their least demanding members need; what is joined is groups, never pairs of documents.
+    The classes of open signatures form clusters, by component where that is large, else by the class that they were
+    compared with first. Two clusters meet if between different components they share as many signatures as their least
+    demanding members need; each of their groups of about GROUP_SIZE classes then meets each of the other's once, unless
+    both are of one and the same component. What is joined is clusters and groups, never pairs of documents.
     """
     nodes = open_.select("cls", "comp").distinct().join(first.select(F.col("b").alias("cls"), "a"), "cls", "left")
     large = nodes.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= GROUP_SIZE // 2).select("comp", "n")
     nodes = nodes.join(maybe_broadcast(large), "comp", "left").withColumn("f", F.when(F.col("n").isNotNull(), F.xxhash64("comp", F.lit(1))).otherwise(F.coalesce("a", "cls")))
     nodes = work.written(nodes.select("cls", "comp", "f"), "group-nodes")
-    sizes = nodes.groupBy("f").agg(F.ceil(F.count(F.lit(1)) / GROUP_SIZE).cast("long").alias("k"))
-    nodes = work.written(nodes.join(maybe_broadcast(sizes), "f").select("cls", "comp", F.xxhash64("f", F.pmod(F.xxhash64("cls"), F.col("k"))).alias("g")), "group-members")
     space = F.col("sig").bitwiseAND(F.lit(1)).alias("space")
-    by_sig = work.written(open_.select("sig", "cls", "need", "like").join(nodes, "cls").groupBy("sig", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("need").alias("need"), F.min("like").alias("like")), "group-sigs")
-    other = by_sig.select("sig", F.col("g").alias("h"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("need").alias("need2"))
-    met = by_sig.join(other, "sig").filter("g <= h AND least(lo, lo2) < greatest(hi, hi2)").groupBy("g", "h", space)
-    met = met.agg(F.sum("like").alias("shared"), F.min(F.least("need", "need2")).alias("need")).filter("shared >= need").select("g", "h").distinct()
-    groups = work.written(nodes.join(texts, "cls").groupBy("g").agg(F.collect_list(F.struct("cls", "comp", "text")).alias("docs")), "groups")
+    by_sig = work.written(open_.select("sig", "cls", "need", "like").join(nodes, "cls").groupBy("sig", "f").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("need").alias("need"), F.min("like").alias("like")), "cluster-sigs")
+    other = by_sig.select("sig", F.col("f").alias("f2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("need").alias("need2"))
+    met = by_sig.join(other, "sig").filter("f <= f2 AND least(lo, lo2) < greatest(hi, hi2)").groupBy("f", "f2", space)
+    met = work.written(met.agg(F.sum("like").alias("shared"), F.min(F.least("need", "need2")).alias("need")).filter("shared >= need").select("f", "f2").distinct(), "met-clusters")
+    sizes = nodes.groupBy("f").agg(F.ceil(F.count(F.lit(1)) / GROUP_SIZE).cast("long").alias("k"))
+    nodes = work.written(nodes.join(maybe_broadcast(sizes), "f").select("f", "cls", "comp", F.xxhash64("f", F.pmod(F.xxhash64("cls"), F.col("k"))).alias("g")), "group-members")
+    of = work.written(nodes.groupBy("f", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "groups-of")
+    met = met.join(of, "f").join(of.select(F.col("f").alias("f2"), F.col("g").alias("h"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), "f2")
+    met = met.filter("(f < f2 OR g <= h) AND least(lo, lo2) < greatest(hi, hi2)").select("g", "h")
+    groups = work.written(nodes.select("g", "cls", "comp").join(texts, "cls").groupBy("g").agg(F.collect_list(F.struct("cls", "comp", "text")).alias("docs")), "groups")
     both = met.join(groups.select("g", F.col("docs").alias("q")), "g").join(groups.select(F.col("g").alias("h"), F.col("docs").alias("d")), "h")
     return work.written(both.select("h", "q", "d").mapInArrow(shingle_sets.opened(k, num, den), "a long, b long"), "matrix-links")
 
