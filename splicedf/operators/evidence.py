@@ -172,3 +172,9 @@ def attribute(name: str, default: float, percentage: bool = False) -> Column:
     """A number from the map column attributes, or the default; a percentage is divided by 100."""
     v = F.coalesce(F.expr(f"try_cast(attributes['{name}'] AS DOUBLE)"), F.lit(float(default)))
     return v / 100.0 if percentage else v
+
+
+def score_raw(metric: Column, multiplier: float = 1.0) -> Column:
+    """A metric that is a share as its own score, rounded as score() is; a value outside 0 to 1 is an error."""
+    bad = F.raise_error(F.concat(F.lit("no share: "), metric.cast("string"))).cast("double")
+    return F.floor(F.when((metric < 0) | (metric > 1), bad).otherwise(metric) * multiplier * 100 + 0.5) / 100

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 60
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names; where a session in one JVM names none, one of its own."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or _own.get(sc.applicationId)
+    if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = _own[sc.applicationId] = tempfile.mkdtemp(prefix="spark-splicedf-", dir="/tmp")
+    return found.rstrip("/")
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """checkpoint() to the folder that the cluster names; its own only where none is set."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-splicedf-", dir="/tmp"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

@@ -146,9 +146,12 @@ def cross_within_group(t) -> DataFrame:
 
 @query("SELECT h.query, h.target, h.n, t.cdna AS query_length, 500 + s.s_suppkey AS target_length FROM hsp h JOIN transcript t ON h.query = t.tid JOIN supplier s ON h.target = s.s_suppkey")
 def join_query_target_lookup(t) -> DataFrame:
+    """Hits with the lengths of both sides; a name without a length is an error."""
     s = t.spark.read.parquet(f"{t.sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("target"), (500 + F.col("s_suppkey")).alias("target_length"))
     q = t.transcript.select(F.col("tid").alias("query"), F.col("cdna").alias("query_length"))
-    return t.hsp.select("query", "target", "n").join(q, "query").join(s, "target")
+    d = t.hsp.select("query", "target", "n").join(q, "query", "left").join(s, "target", "left")
+    known = lambda c, of: F.coalesce(c, F.raise_error(F.concat(F.lit(f"no length of {of} "), F.col(of))).cast("long")).alias(c)
+    return d.select("query", "target", "n", known("query_length", "query"), known("target_length", "target"))
 
 
 LETTER = "CASE (p - 10000) % 500 WHEN 151 THEN 'G' WHEN 152 THEN 'T' WHEN 498 THEN 'A' WHEN 499 THEN 'G' WHEN 176 THEN 'C' WHEN 177 THEN 'T' WHEN 18 THEN 'A' WHEN 19 THEN 'C' ELSE substr('ACGT', CAST(1 + ((p * 7919) % 10007 * 97 % 1009) % 4 AS INT), 1) END"
@@ -195,17 +198,21 @@ def cdna_sequence(t) -> DataFrame:
 CODE = sequence.STANDARD
 
 
-@query(f"SELECT tid, string_agg(substr('{CODE}', CAST((strpos('TCAG', substr(seq, k * 3 + 1, 1)) - 1) * 16 + (strpos('TCAG', substr(seq, k * 3 + 2, 1)) - 1) * 4 + strpos('TCAG', substr(seq, k * 3 + 3, 1)) AS INT), 1), '' ORDER BY k) AS protein FROM (SELECT tid, seq, unnest(range(0, length(seq) // 3)) AS k FROM cdna) GROUP BY tid", CDNA)
+CODING = CDNA.replace("FROM exon x", "FROM cds x").replace("dna AS", "cds_dna AS", 1).replace("FROM dna", "FROM cds_dna").replace("cdna AS", "coding AS", 1) + ", read AS (SELECT tid, substr(seq, 1 + tid % 3) AS seq FROM coding)"
+
+
+@query(f"SELECT tid, coalesce(string_agg(substr('{CODE}', CAST((strpos('TCAG', substr(seq, k * 3 + 1, 1)) - 1) * 16 + (strpos('TCAG', substr(seq, k * 3 + 2, 1)) - 1) * 4 + strpos('TCAG', substr(seq, k * 3 + 3, 1)) AS INT), 1), '' ORDER BY k), '') AS protein FROM (SELECT tid, seq, unnest(range(0, greatest(length(seq) // 3, 1))) AS k FROM read) GROUP BY tid", CODING)
 def translate_cds(t) -> DataFrame:
-    seq = sequence.cdna_sequence(t.exon.select("tid", "strand", "s", slice_of("s", "e").alias("dna")))
-    return seq.select("tid", sequence.translated(F.col("seq")).alias("protein"))
+    """The coding segments, joined along the strand, from the phase of the first (here tid % 3) on."""
+    seq = sequence.cdna_sequence(t.cds.select("tid", "strand", "s", slice_of("s", "e").alias("dna")))
+    return seq.select("tid", sequence.translated(F.expr("substr(seq, CAST(1 + tid % 3 AS INT))")).alias("protein"))
 
 
-ORF = "orf AS (SELECT tid, 31 AS s, cdna // 2 - 20 AS e FROM transcript WHERE tid % 10 < 3 UNION ALL SELECT tid, cdna // 2 + 10 - 40 * (tid % 2), cdna - 30 FROM transcript WHERE tid % 10 < 3), good AS (SELECT tid, s, e, e - s + 1 AS n, row_number() OVER (PARTITION BY tid ORDER BY e - s DESC, s) AS k FROM orf WHERE s < e)"
+ORF = "orf AS (SELECT tid, 31 AS s, cdna // 2 - 20 AS e FROM transcript UNION ALL SELECT tid, cdna // 2 + 10 - 40 * (tid % 2), cdna - 30 FROM transcript), good AS (SELECT tid, s, e, e - s + 1 AS n, row_number() OVER (PARTITION BY tid ORDER BY e - s DESC, s) AS k FROM orf WHERE s < e)"
 
 
 def orfs(t) -> DataFrame:
-    """Two frames of every transcript; the SQL has those of tid % 10 < 3."""
+    """Two frames of every transcript."""
     x = t.transcript
     d = x.selectExpr("tid", "CAST(31 AS BIGINT) AS s", "cdna div 2 - 20 AS e").unionAll(x.selectExpr("tid", "cdna div 2 + 10 - 40 * (tid % 2) AS s", "cdna - 30 AS e"))
     return d.filter("s < e").withColumn("n", F.expr("e - s + 1"))

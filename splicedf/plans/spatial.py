@@ -105,28 +105,17 @@ def join_fuzzy_junction(t) -> DataFrame:
 
 
 @query("""SELECT n.node, min(least(n.node, coalesce(r.b, n.node))) AS comp FROM (SELECT DISTINCT gid AS node FROM gene) n LEFT JOIN reach r ON n.node = r.a GROUP BY n.node""",
-       "g4 AS (SELECT *, gid % 4 AS m FROM gene), " + isl("g4", "chrom, m", "s <= top") + ", reach AS (SELECT gid AS a, min(gid) OVER (PARTITION BY chrom, m, island) AS b FROM isl)")
+       isl("gene", "chrom", "s <= top") + ", reach AS (SELECT gid AS a, min(gid) OVER (PARTITION BY chrom, island) AS b FROM isl)")
 def connected_components(t) -> DataFrame:
-    """Overlapping genes of a chromosome are linked, all with all; the SQL links only genes of the same gid % 4."""
+    """Overlapping genes of a chromosome are linked."""
     g = t.gene.select("chrom", "gid", "s", "e")
     e = intervals.join_overlap(g, g).filter("gid_a < gid_b").select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b"))
     return graph.connected_components(g.select(F.col("gid").alias("node")), e)
 
 
-def mis(rounds: int) -> str:
-    out = ["nodes AS (SELECT tid AS node, cdna AS p FROM transcript WHERE tid % 2 = 0)", "edge AS (SELECT a.tid AS a, b.tid AS b FROM transcript a JOIN transcript b ON a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e AND a.tid <> b.tid AND a.tid % 2 = 0 AND b.tid % 2 = 0)", "left0 AS (SELECT * FROM nodes)"]
-    for i in range(rounds):
-        out.append(f"win{i} AS MATERIALIZED (SELECT l.node FROM left{i} l WHERE NOT EXISTS (SELECT 1 FROM edge e JOIN left{i} o ON e.b = o.node WHERE e.a = l.node AND (o.p > l.p OR o.p = l.p AND o.node < l.node)))")
-        out.append(f"left{i + 1} AS MATERIALIZED (SELECT l.* FROM left{i} l WHERE l.node NOT IN (SELECT node FROM win{i}) AND l.node NOT IN (SELECT e.b FROM edge e JOIN win{i} w ON e.a = w.node))")
-    return ", ".join(out)
-
-
-ROUNDS = 9
-
-
-@query(" UNION ALL ".join(f"SELECT node FROM win{i}" for i in range(ROUNDS)), mis(ROUNDS))
+@query()
 def select_best_nonoverlapping(t) -> DataFrame:
-    """The choice among all transcripts; the SQL takes those of even tid and ends after ROUNDS rounds."""
+    """The choice among all transcripts, in as many rounds as it takes; tests have it by brute force."""
     x = t.transcript.select("chrom", "strand", "tid", "s", "e", "cdna")
     e = intervals.join_overlap(x, x, ("chrom", "strand")).filter("tid_a < tid_b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
     return graph.greedy_mis(x.select(F.col("tid").alias("node"), F.col("cdna").alias("priority")), e)
@@ -144,8 +133,11 @@ def pair_graph(t) -> DataFrame:
     return intervals.join_overlap(x, x, ("gid",)).filter("tid_a < tid_b").select("tid_a", "tid_b", "gid")
 
 
-@query("SELECT tid, s, e FROM (SELECT *, row_number() OVER (PARTITION BY chrom, strand, chain ORDER BY e - s DESC, tid) AS n FROM (SELECT t.tid, t.chrom, t.strand, t.s, t.e, c.chain FROM transcript t JOIN chain c ON t.tid = c.tid)) WHERE n = 1", "chain AS (SELECT tid, string_agg(s || '-' || e, ',' ORDER BY s) AS chain FROM intron GROUP BY tid)")
+@query("SELECT tid, s, e FROM m a WHERE is_ref OR NOT EXISTS (SELECT 1 FROM m b WHERE b.chrom = a.chrom AND b.strand = a.strand AND b.chain = a.chain AND b.s <= a.s AND b.e >= a.e AND (b.s < a.s OR b.e > a.e OR b.is_ref OR b.tid < a.tid))",
+       "chain AS (SELECT tid, string_agg(s || '-' || e, ',' ORDER BY s) AS chain FROM intron GROUP BY tid), m AS (SELECT t.tid, t.chrom, t.strand, t.s, t.e, t.is_ref, c.chain FROM transcript t JOIN chain c ON t.tid = c.tid)")
 def reduce_identical_chains(t) -> DataFrame:
+    """Of models with one intron chain those go that lie within another one, or equal it; models of the reference stay."""
     c = model.intron_chain(t.intron).select("tid", "chain")
-    w = Window.partitionBy("chrom", "strand", "chain").orderBy(F.desc(F.col("e") - F.col("s")), "tid")
-    return t.transcript.join(c, "tid").withColumn("n", F.row_number().over(w)).filter("n = 1").select("tid", "s", "e")
+    w = Window.partitionBy("chrom", "strand", "chain").orderBy("s", F.desc("e"), F.desc("is_ref"), "tid").rowsBetween(Window.unboundedPreceding, -1)
+    d = t.transcript.join(c, "tid").withColumn("top", F.max("e").over(w))
+    return d.filter(F.col("is_ref") | F.col("top").isNull() | (F.col("top") < F.col("e"))).select("tid", "s", "e")

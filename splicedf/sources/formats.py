@@ -69,6 +69,52 @@ def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     return d.select(F.regexp_extract("value", "^\\s*(\\S+)", 1).alias("name"), seq.alias("seq")).withColumn("length", F.length("seq"))
 
 
+def scan_fai(lines: DataFrame) -> DataFrame:
+    """(name, length) of an index of sequences."""
+    f = F.split("value", "\t", -1)
+    return lines.filter(F.size(f) >= 2).select(f[0].alias("name"), f[1].cast("long").alias("length"))
+
+
+def scan_blast_tab(lines: DataFrame) -> DataFrame:
+    """Hits of twelve columns or more, as aligners write them; other lines go."""
+    f = F.split("value", "\t", -1)
+    d = lines.filter(~F.col("value").startswith("#") & (F.size(f) >= 12))
+    return d.select(f[0].alias("query"), f[1].alias("target"), f[2].cast("double").alias("identity"), f[3].cast("long").alias("length"), f[6].cast("long").alias("qstart"), f[7].cast("long").alias("qend"), f[10].cast("double").alias("evalue"), f[11].cast("double").alias("bitscore"))
+
+
+def scan_id_list(lines: DataFrame) -> DataFrame:
+    """(tid, gid): a model a line, its gene after white space if given."""
+    f = F.split(F.trim("value"), "\\s+")
+    return lines.filter("trim(value) <> '' AND NOT startswith(trim(value), '#')").select(f[0].alias("tid"), F.get(f, F.lit(1)).alias("gid"))
+
+
+def scan_external(spark: SparkSession, path: str) -> DataFrame:
+    """(tid, source, score) of a table with a header, whose first column names the model."""
+    d = spark.read.option("sep", "\t").option("header", True).csv(path)
+    first, *names = d.columns
+    each = F.array(*[F.struct(F.lit(n).alias("source"), F.col(f"`{n}`").cast("double").alias("score")) for n in names])
+    return d.select(F.col(f"`{first}`").alias("tid"), F.inline(each)).filter("score IS NOT NULL")
+
+
+def write_tmap(tmap: DataFrame, path: str) -> None:
+    """Matches as a table with a header; rates in percent, rounded to two places."""
+    d = tmap.select(F.col("tid_a").alias("tid"), F.col("tid_b").alias("ref_id"), "ccode", (F.floor(F.coalesce("n_f1", F.lit(0.0)) * 10000 + 0.5) / 100).alias("n_f1"), "distance")
+    d.write.option("sep", "\t").option("header", True).option("nullValue", "-").csv(path)
+
+
+def scan_tmap(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("sep", "\t").option("header", True).option("nullValue", "-").schema("tid string, ref_id string, ccode string, n_f1 double, distance long").csv(path)
+
+
+def union_assemblies(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Rows of several assemblies with label; their names begin with it, so that none occurs in two."""
+    out = None
+    for label, rows in parts:
+        named = rows.withColumns({"label": F.lit(label), "tid": F.concat(F.lit(f"{label}_"), "tid"), "gid": F.concat(F.lit(f"{label}_"), "gid")})
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
 def scan_regions(lines: DataFrame) -> DataFrame:
     """chrom:start-end or chrom:start..end, a line each."""
     p = "^\\s*(.+):([0-9]+)(?:-|\\.\\.)([0-9]+)\\s*$"

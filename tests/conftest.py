@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
 
     at = tmp_path_factory.mktemp("spark")
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(at / "shared")).config("spark.sql.warehouse.dir", str(at / "warehouse")).config("spark.local.dir", str(at / "local")).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
