@@ -1,6 +1,6 @@
 """Named queries over the projected tables, and their SQL."""
 
-from splicedf.plans import comparison, evaluation, files, functions, loci, models, reports, selection, spatial, text  # noqa: F401
+from splicedf.plans import comparison, evaluation, files, functions, loci, models, picking, reports, selection, spatial, text  # noqa: F401
 from splicedf.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
