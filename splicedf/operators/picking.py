@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from splicedf.operators import graph
 from splicedf.operators.intervals import join_contained, merged
+from splicedf.operators.model import exon_cumulative_offset
 
 #: Class codes that make a putative fragment one.
 FRAGMENT_CODES = ("p", "P", "x", "X", "i", "m", "_", "e", "o")
 #: Codes of predictions on the other strand or beside the reference, which come last.
 LAST_CODES = ("x", "X", "P", "p")
+#: Codes of an isoform that repeats another.
+REDUNDANT_CODES = ("c", "m", "_", "=", "n")
 
 
 def reduce_contained(transcript: DataFrame, exon: DataFrame) -> DataFrame:
@@ -63,3 +67,27 @@ def splicing_metrics(transcript: DataFrame, checked: DataFrame) -> DataFrame:
     d = d.select("tid", "n_exons", F.when(minus, F.col("minus")).otherwise(F.col("plus")).alias("own"), F.when(minus, F.col("plus")).otherwise(F.col("minus")).alias("other"))
     multi: Column = F.col("n_exons") > 1
     return d.select("tid", F.when(multi, F.col("own") / (F.col("n_exons") - 1)).otherwise(0.0).alias("canonical_intron_proportion"), (multi & (F.col("other") > 0)).alias("suspicious_splicing"), (multi & (F.col("own") == 0)).alias("only_non_canonical_splicing"))
+
+
+def selected_metrics(exon: DataFrame, orf: DataFrame) -> DataFrame:
+    """Metrics of the longest reading frame (ties: the first) of each model; orf has tid, s, e on the transcript, has_start
+    and has_stop. highest_cds_exon_number is the largest over all frames. Models without a frame have 0 and false."""
+    n = F.col("e") - F.col("s") + 1
+    x = exon_cumulative_offset(exon).select("tid", "offset", n.alias("len"))
+    o = orf.select("tid", F.col("s").alias("os"), F.col("e").alias("oe"), "has_start", "has_stop")
+    part = o.join(x, "tid").filter("os <= offset + len AND oe > offset").groupBy("tid", "os", "oe", "has_start", "has_stop").agg(F.count(F.lit(1)).alias("num"))
+    best = part.groupBy("tid").agg(F.min(F.struct((F.col("os") - F.col("oe") - 1).alias("n"), "os", "num", "has_start", "has_stop")).alias("b"), F.max("num").alias("most"))
+    d = exon.groupBy("tid").agg(F.sum(n).alias("cdna"), F.count(F.lit(1)).alias("exons")).join(best, "tid", "left")
+    length, num, most = F.coalesce(-F.col("b.n"), F.lit(0)), F.coalesce("b.num", F.lit(0)), F.coalesce("most", F.lit(0))
+    start, stop = (F.coalesce(f"b.{c}", F.lit(False)) for c in ("has_start", "has_stop"))
+    return d.select("tid", length.alias("selected_cds_length"), num.alias("selected_cds_num"), (length / F.col("cdna")).alias("selected_cds_fraction"), (num / F.col("exons")).alias("selected_cds_number_fraction"),
+                    most.alias("highest_cds_exon_number"), (most / F.col("exons")).alias("selected_cds_exons_fraction"), start.alias("has_start_codon"), stop.alias("has_stop_codon"), (start & stop).alias("is_complete"))
+
+
+def as_redundant(candidates: DataFrame, pairs: DataFrame, codes: tuple = REDUNDANT_CODES) -> DataFrame:
+    """Tids that stay of candidates (tid, locus, score): the pass in order of (score desc, tid) drops a model that one of the
+    codes ties, as the prediction, to a model of its locus that stays. pairs: (tid_a, tid_b, ccode)."""
+    a, b = (candidates.select(F.col("tid").alias(f"tid_{k}"), F.col("locus").alias(f"locus_{k}"), F.col("score").alias(f"score_{k}")) for k in "ab")
+    d = pairs.filter(F.col("ccode").isin(*codes)).select("tid_a", "tid_b").join(a, "tid_a").join(b, "tid_b")
+    d = d.filter("locus_a = locus_b AND (score_b > score_a OR (score_b = score_a AND tid_b < tid_a))")
+    return graph.greedy_mis(candidates.select(F.col("tid").alias("node"), F.col("score").alias("priority")), d.select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))).withColumnRenamed("node", "tid")

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from splicedf.operators import compare, evidence, picking, sequence
 from splicedf.plans.comparison import pair_sql, sides
-from splicedf.plans.loci import INTRON_ENDS, hinted
+from splicedf.plans.loci import INTRON_ENDS, ORF, hinted, orfs
 from splicedf.plans.models import SPAN, isl
 from splicedf.plans.registry import query
 
-WITHIN = """inside AS (SELECT a.tid AS tid_a, b.tid AS tid_b, a.is_ref AS ref_a, b.is_ref AS ref_b FROM transcript a JOIN transcript b ON a.chrom = b.chrom AND a.strand = b.strand AND a.s >= b.s AND a.e <= b.e AND a.tid <> b.tid
-  WHERE a.cdna = (SELECT sum(greatest(0, least(x.e, y.e) - greatest(x.s, y.s) + 1)) FROM exon x, exon y WHERE x.tid = a.tid AND y.tid = b.tid)
-  AND a.n_exons - 1 = (SELECT count(*) FROM intron x, intron y WHERE x.tid = a.tid AND y.tid = b.tid AND x.s = y.s AND x.e = y.e)),
-gone AS (SELECT tid_a FROM inside i WHERE NOT ref_a AND (ref_b OR tid_b < tid_a OR NOT EXISTS (SELECT 1 FROM inside o WHERE o.tid_a = i.tid_b AND o.tid_b = i.tid_a)))"""
+WITHIN = """near AS (SELECT a.tid AS tid_a, b.tid AS tid_b, a.is_ref AS ref_a, b.is_ref AS ref_b, a.cdna AS bases, a.n_exons - 1 AS n FROM transcript a JOIN transcript b ON a.chrom = b.chrom AND a.strand = b.strand AND a.s >= b.s AND a.e <= b.e AND a.tid <> b.tid),
+shared AS (SELECT p.tid_a, p.tid_b, sum(greatest(0, least(x.e, y.e) - greatest(x.s, y.s) + 1)) AS bases FROM near p JOIN exon x ON x.tid = p.tid_a JOIN exon y ON y.tid = p.tid_b GROUP BY 1, 2),
+common AS (SELECT p.tid_a, p.tid_b, count(*) AS n FROM near p JOIN intron x ON x.tid = p.tid_a JOIN intron y ON y.tid = p.tid_b AND x.s = y.s AND x.e = y.e GROUP BY 1, 2),
+inside AS MATERIALIZED (SELECT p.* FROM near p JOIN shared x USING (tid_a, tid_b) LEFT JOIN common c USING (tid_a, tid_b) WHERE x.bases = p.bases AND coalesce(c.n, 0) = p.n),
+gone AS (SELECT i.tid_a FROM inside i LEFT JOIN inside o ON o.tid_a = i.tid_b AND o.tid_b = i.tid_a WHERE NOT i.ref_a AND (i.ref_b OR i.tid_b < i.tid_a OR o.tid_a IS NULL))"""
 
 
 @query("SELECT tid FROM transcript WHERE tid NOT IN (SELECT tid_a FROM gone)", WITHIN)
@@ -67,3 +68,25 @@ def stop_codon_fix(t) -> DataFrame:
   FROM transcript t LEFT JOIN (SELECT tid, count(CASE WHEN hint = strand THEN 1 END) AS own, count(CASE WHEN hint <> strand THEN 1 END) AS other FROM hinted GROUP BY tid) h ON t.tid = h.tid""", INTRON_ENDS)
 def metrics_splicing(t) -> DataFrame:
     return picking.splicing_metrics(t.transcript, sequence.strand_check(hinted(t)))
+
+
+PLACED = ORF + """, place AS (SELECT tid, e - s + 1 AS n, coalesce(sum(e - s + 1) OVER (PARTITION BY tid ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM exon),
+parts AS (SELECT g.tid, g.s, g.e, g.n, g.k, count(*) AS num FROM good g JOIN place p ON p.tid = g.tid AND g.s <= p.before + p.n AND g.e > p.before GROUP BY 1, 2, 3, 4, 5),
+most AS (SELECT tid, max(num) AS num FROM parts GROUP BY tid)"""
+
+
+@query("""SELECT t.tid, coalesce(p.n, 0) AS selected_cds_length, coalesce(p.num, 0) AS selected_cds_num, CAST(coalesce(p.n, 0) AS DOUBLE) / t.cdna AS selected_cds_fraction, CAST(coalesce(p.num, 0) AS DOUBLE) / t.n_exons AS selected_cds_number_fraction,
+  coalesce(m.num, 0) AS highest_cds_exon_number, CAST(coalesce(m.num, 0) AS DOUBLE) / t.n_exons AS selected_cds_exons_fraction, coalesce((t.tid + p.s) % 2 = 0, false) AS has_start_codon, coalesce((t.tid + p.e) % 3 <> 1, false) AS has_stop_codon,
+  coalesce((t.tid + p.s) % 2 = 0 AND (t.tid + p.e) % 3 <> 1, false) AS is_complete FROM transcript t LEFT JOIN parts p ON t.tid = p.tid AND p.k = 1 LEFT JOIN most m ON t.tid = m.tid""", PLACED)
+def metrics_cds_selected(t) -> DataFrame:
+    d = orfs(t).withColumns({"has_start": F.expr("(tid + s) % 2 = 0"), "has_stop": F.expr("(tid + e) % 3 <> 1")})
+    return picking.selected_metrics(t.exon, d)
+
+
+@query()
+def as_redundant(t) -> DataFrame:
+    """Models of a gene beside its longest, without those that repeat a longer one that stays."""
+    w = Window.partitionBy("gid").orderBy(F.desc("cdna"), "tid")
+    rest = t.transcript.withColumn("_k", F.row_number().over(w)).filter("_k > 1").drop("_k")
+    side = (rest, *[x.join(rest.select("tid"), "tid", "left_semi") for x in (t.exon, t.intron)])
+    return picking.as_redundant(rest.select("tid", F.col("gid").alias("locus"), F.col("cdna").alias("score")), compare.compare_pairs(side, side))
