@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.operators import compare, graph, sequence
@@ -106,3 +106,36 @@ def union_assemblies(t) -> DataFrame:
         rows = formats.scan_gtf(lines_of(t, formats.gtf_lines(t.transcript.filter(own), t.exon.filter(own)), f"assembly-{label}"))
         parts.append((label, rows.filter("feature = 'exon'")))
     return formats.union_assemblies(parts).select("tid", "gid", "label", "chrom", "s", "e")
+
+
+def by_file(t, lines: DataFrame, name: str) -> DataFrame:
+    """Lines (source, value), a folder a source, written as text and read again as (file, value)."""
+    path = fresh(t, name)
+    lines.select(F.col("source").alias("file"), "value").write.partitionBy("file").text(path)
+    return t.spark.read.text(path)
+
+
+def tabbed(name: str, total, mean) -> Column:
+    return F.concat_ws("\t", F.lit(name), total if isinstance(total, Column) else F.lit(total), mean)
+
+
+@query("SELECT source AS file, CAST(count(DISTINCT gid) AS DOUBLE) AS genes, CAST(count(DISTINCT CASE WHEN top = 1 THEN gid END) AS DOUBLE) AS monoexonic_genes, CAST(count(*) AS DOUBLE) AS transcripts, CAST(count(*) AS DOUBLE) / count(DISTINCT gid) AS transcripts_per_gene, CAST(sum(cdna) AS DOUBLE) / count(*) AS transcript_len_mean, CAST(count(CASE WHEN n_exons = 1 THEN 1 END) AS DOUBLE) AS monoexonic_transcripts, CAST(sum(n_exons) AS DOUBLE) AS exons, CAST(sum(n_exons) AS DOUBLE) / count(*) AS exons_per_transcript, CAST(sum(cdna) AS DOUBLE) / sum(n_exons) AS exon_len_mean FROM (SELECT *, max(n_exons) OVER (PARTITION BY source, gid) AS top FROM transcript) GROUP BY source")
+def assembly_summary(t) -> DataFrame:
+    """Statistics files, one a source, collected to a row each."""
+    genes = t.transcript.groupBy("source", "gid").agg(F.count(F.lit(1)).alias("n"), F.sum("n_exons").alias("x"), F.max("n_exons").alias("top"), F.sum("cdna").alias("b"), F.count(F.when(F.col("n_exons") == 1, 1)).alias("m"))
+    d = genes.groupBy("source").agg(F.count(F.lit(1)).alias("g"), F.count(F.when(F.col("top") == 1, 1)).alias("mg"), F.sum("n").alias("n"), F.sum("x").alias("x"), F.sum("b").alias("b"), F.sum("m").alias("m"))
+    text, na = (lambda c: F.format_number(c, 0)), F.lit("NA")
+    mean = lambda a, b: (F.col(a) / F.col(b)).cast("string")
+    rows = [F.lit("Stat\tTotal\tAverage"), tabbed("Number of genes", text("g"), na), tabbed("Number of monoexonic genes", text("mg"), na), tabbed("Transcripts per gene", text("n"), mean("n", "g")), tabbed("CDNA lengths", text("b"), mean("b", "n")),
+            tabbed("Monoexonic transcripts", text("m"), na), tabbed("Exons per transcript", text("x"), mean("x", "n")), tabbed("Exon lengths", "NA", mean("b", "x"))]
+    return formats.assembly_summary(by_file(t, d.select("source", F.explode(F.array(*rows)).alias("value")), "stats"))
+
+
+@query("SELECT source AS file, count(*) AS sequences, count(CASE WHEN n_exons > 1 THEN 1 END) AS reads_mapped, CAST(0 AS BIGINT) AS reads_mapped_and_paired, count(CASE WHEN n_exons = 1 THEN 1 END) AS reads_unmapped, CAST(0 AS BIGINT) AS reads_properly_paired, CAST(0 AS BIGINT) AS reads_paired, CAST(0 AS BIGINT) AS reads_duplicated, count(CASE WHEN cdna < 300 THEN 1 END) AS \"reads_MQ0\" FROM transcript GROUP BY source")
+def alignment_summary(t) -> DataFrame:
+    """Counters of models in the form of alignment statistics, one file a source; other lines do not count."""
+    n = lambda c: F.count(F.when(F.expr(c), 1)).cast("string")
+    d = t.transcript.groupBy("source").agg(*[n(c).alias(k) for k, c in (("a", "true"), ("m", "n_exons > 1"), ("u", "n_exons = 1"), ("q", "cdna < 300"))])
+    line = lambda name, c: F.concat_ws("\t", F.lit("SN"), F.lit(name), F.col(c), F.lit("# note"))
+    rows = [F.lit("# statistics"), line("sequences:", "a"), line("reads mapped:", "m"), line("reads unmapped:", "u"), line("reads MQ0:", "q"), F.concat_ws("\t", F.lit("FFQ"), F.lit("sequences:"), F.lit("9"))]
+    return formats.alignment_summary(by_file(t, d.select("source", F.explode(F.array(*rows)).alias("value")), "alignments"))

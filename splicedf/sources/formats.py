@@ -159,3 +159,27 @@ def write_lines(lines: DataFrame, path: str) -> None:
 def fasta_lines(seqs: DataFrame, width: int = 60) -> DataFrame:
     """(name, value): a record with its sequence wrapped."""
     return seqs.select("name", F.concat(F.lit(">"), "name", F.lit("\n"), F.rtrim(F.regexp_replace("seq", f"(.{{{width}}})", "$1\n"))).alias("value"))
+
+
+#: Columns of an assembly's summary, each with the row of its statistics file and the column there.
+ASSEMBLY = (("genes", "Number of genes", 1), ("monoexonic_genes", "Number of monoexonic genes", 1), ("transcripts", "Transcripts per gene", 1), ("transcripts_per_gene", "Transcripts per gene", 2), ("transcript_len_mean", "CDNA lengths", 2),
+            ("monoexonic_transcripts", "Monoexonic transcripts", 1), ("exons", "Exons per transcript", 1), ("exons_per_transcript", "Exons per transcript", 2), ("exon_len_mean", "Exon lengths", 2))
+#: Columns of an alignment's summary, each with its counter.
+ALIGNMENT = (("sequences", "sequences:"), ("reads_mapped", "reads mapped:"), ("reads_mapped_and_paired", "reads mapped and paired:"), ("reads_unmapped", "reads unmapped:"), ("reads_properly_paired", "reads properly paired:"), ("reads_paired", "reads paired:"), ("reads_duplicated", "reads duplicated:"), ("reads_MQ0", "reads MQ0:"))
+
+
+def assembly_summary(lines: DataFrame) -> DataFrame:
+    """A row a file of lines (file, value) of statistics: tabs part a row's name, total and average. Commas within numbers
+    go, NA is 0; what a file lacks is 0."""
+    part = F.split("value", "\t")
+    number = lambda k: F.coalesce(F.expr(f"try_cast(replace(nullif(get(part, {k}), 'NA'), ',', '') AS DOUBLE)"), F.lit(0.0))
+    d = lines.select("file", part.alias("part")).select("file", F.expr("get(part, 0)").alias("name"), number(1).alias("c1"), number(2).alias("c2"))
+    return d.groupBy("file").agg(*[F.coalesce(F.max(F.when(F.col("name") == name, F.col(f"c{k}"))), F.lit(0.0)).alias(c) for c, name, k in ASSEMBLY])
+
+
+def alignment_summary(lines: DataFrame) -> DataFrame:
+    """A row a file of lines (file, value) of alignment statistics: the counters of lines that start with SN; others are 0."""
+    d = lines.select("file", F.split("value", "\t").alias("part"))
+    n = F.when((F.col("part")[0] == "SN") & (F.size("part") > 2), F.expr("try_cast(get(part, 2) AS BIGINT)"))
+    d = d.select("file", F.expr("get(part, 1)").alias("name"), n.alias("n"))
+    return d.groupBy("file").agg(*[F.coalesce(F.max(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).alias(c) for c, name in ALIGNMENT])
