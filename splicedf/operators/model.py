@@ -198,10 +198,14 @@ def utr_metrics(exon: DataFrame, cds: DataFrame) -> DataFrame:
     return cds.select("tid").distinct().join(u, "tid", "left").na.fill(0)
 
 
-def end_distance_from_junction(exon: DataFrame, cds: DataFrame) -> DataFrame:
-    """(tid, distance): bases from the stop to the last junction, 0 if the stop is in the last exon."""
+def cds_distances(exon: DataFrame, cds: DataFrame) -> DataFrame:
+    """A row a model: exonic bases from its start to the coding part, from that one's end to the model's end, and to the last
+    junction; 0 without a coding part."""
     span = cds.groupBy("tid").agg(F.min("s").alias("cs"), F.max("e").alias("ce"))
     w = Window.partitionBy("tid").orderBy(F.when(F.col("strand") == "-", F.col("s")).otherwise(-F.col("s")))
-    d = exon.withColumn("_last", F.row_number().over(w) == 1).join(span, "tid")
-    after = F.when(F.col("strand") == "-", F.greatest(F.lit(0), F.least("e", F.col("cs") - 1) - F.col("s") + 1)).otherwise(F.greatest(F.lit(0), F.col("e") - F.greatest("s", F.col("ce") + 1) + 1))
-    return d.groupBy("tid").agg(F.sum(F.when(F.col("_last"), 0).otherwise(after)).alias("distance"))
+    d = exon.withColumn("_last", F.row_number().over(w) == 1).join(span, "tid", "left")
+    low = F.greatest(F.lit(0), F.least("e", F.col("cs") - 1) - F.col("s") + 1)
+    high = F.greatest(F.lit(0), F.col("e") - F.greatest("s", F.col("ce") + 1) + 1)
+    known, minus = F.col("cs").isNotNull(), F.col("strand") == "-"
+    before, after = (F.when(known, F.when(minus, a).otherwise(b)).otherwise(0) for a, b in ((high, low), (low, high)))
+    return d.groupBy("tid").agg(F.sum(before).alias("start_distance_from_tss"), F.sum(after).alias("end_distance_from_tes"), F.sum(F.when(F.col("_last"), 0).otherwise(after)).alias("end_distance_from_junction"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from splicedf.operators import graph
-from splicedf.operators.intervals import join_contained, merged
+from splicedf.operators.intervals import interval_union_length, join_contained, join_overlap, merged
 from splicedf.operators.model import exon_cumulative_offset
 
 #: Class codes that make a putative fragment one.
@@ -91,3 +93,87 @@ def as_redundant(candidates: DataFrame, pairs: DataFrame, codes: tuple = REDUNDA
     d = pairs.filter(F.col("ccode").isin(*codes)).select("tid_a", "tid_b").join(a, "tid_a").join(b, "tid_b")
     d = d.filter("locus_a = locus_b AND (score_b > score_a OR (score_b = score_a AND tid_b < tid_a))")
     return graph.greedy_mis(candidates.select(F.col("tid").alias("node"), F.col("score").alias("priority")), d.select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))).withColumnRenamed("node", "tid")
+
+
+def requirements_filter(models: DataFrame, section: Column, measure: Callable[[DataFrame], DataFrame], check_references: bool = False) -> DataFrame:
+    """Models that stay: measure gives each of them its metrics among those that are left; those that fail the section go, and
+    the rest is measured again until none fails. A metric that is null fails. References stay unless check_references."""
+    left = graph._cut(models)
+    for _ in range(graph.ROUNDS):
+        fails = ~F.coalesce(section, F.lit(False)) & (F.lit(check_references) | ~F.col("is_ref"))
+        gone = graph._cut(measure(left).filter(fails).select("tid"))
+        if gone.isEmpty():
+            return left
+        left = graph._cut(left.join(gone, "tid", "left_anti"))
+    raise RuntimeError("requirements_filter: not settled")
+
+
+def locus_fractions(exon: DataFrame, intron: DataFrame, cds_intron: DataFrame, locus: str) -> DataFrame:
+    """A row a model: its share of its locus' exons, introns and introns between coding segments; 0 where the locus has none.
+    All three carry tid, s, e and the column `locus`."""
+    d = exon.select("tid", locus).distinct()
+    for name, x in (("exon_fraction", exon), ("intron_fraction", intron), ("combined_cds_intron_fraction", cds_intron)):
+        own = x.select(locus, "tid", "s", "e").distinct().groupBy(locus, "tid").agg(F.count(F.lit(1)).alias("n"))
+        of = x.select(locus, "s", "e").distinct().groupBy(locus).agg(F.count(F.lit(1)).alias("k"))
+        d = d.join(own.join(of, locus).select("tid", (F.col("n") / F.col("k")).alias(name)), "tid", "left")
+    return d.drop(locus).na.fill(0.0)
+
+
+def prefer_reference(models: DataFrame, locus: str, score: str, only_reference: bool = False) -> DataFrame:
+    """(locus, tid): the best model of each locus, references before others, then by score, then the smallest tid. With
+    only_reference loci without a reference have none."""
+    d = models.groupBy(locus).agg(F.min(F.struct((~F.col("is_ref")).alias("new"), (-F.col(score)).alias("p"), "tid")).alias("b"))
+    return (d.filter("NOT b.new") if only_reference else d).select(locus, "b.tid")
+
+
+def as_min_score(candidates: DataFrame, scored: DataFrame, share: float = 0.5) -> DataFrame:
+    """Candidates (tid, locus) whose score is at least this share of that of the primary, whose tid is the locus."""
+    own, top = scored.select("tid", F.col("score").alias("_own")), scored.select(F.col("tid").alias("locus"), F.col("score").alias("_top"))
+    return candidates.join(own, "tid").join(top, "locus").filter(F.col("_own") >= share * F.col("_top")).select("tid", "locus")
+
+
+def monoholders(winners: DataFrame, flank: int) -> DataFrame:
+    """(tid, holder): winners of one strand that overlap, or lie within the flank, directly or through others; a holder is
+    named by its smallest tid."""
+    x = winners.select("chrom", "strand", "tid", "s", "e")
+    e = join_overlap(x, x, ("chrom", "strand"), slack=flank).filter("tid_a < tid_b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
+    return graph.connected_components(x.select(F.col("tid").alias("node")), e).select(F.col("node").alias("tid"), F.col("comp").alias("holder"))
+
+
+def best_of_groups(models: DataFrame, group: str, score: Column) -> DataFrame:
+    """Models that the pass in order of (score desc, tid) keeps: one goes if it overlaps a kept one of its group. The score may
+    look at the group, by windows."""
+    d = models.withColumn("_score", score)
+    x = d.select(group, "tid", "s", "e")
+    e = join_overlap(x, x, (group,)).filter("tid_a < tid_b").select(F.col("tid_a").alias("a"), F.col("tid_b").alias("b"))
+    kept = graph.greedy_mis(d.select(F.col("tid").alias("node"), F.col("_score").alias("priority")), e)
+    return models.join(kept.select(F.col("node").alias("tid")), "tid", "left_semi")
+
+
+def loci(models: DataFrame, subloci: DataFrame, score: Callable[[str], Column], flank: int) -> DataFrame:
+    """(tid, holder): the primary models. Each sublocus keeps its best models that do not overlap; those are put into holders,
+    scored anew among them, and chosen again. score makes the score from the name of the group's column."""
+    first = graph._cut(best_of_groups(models.join(subloci, "tid"), "sublocus", score("sublocus")))
+    held = graph._cut(first.join(monoholders(first, flank), "tid"))
+    return best_of_groups(held, "holder", score("holder")).select("tid", "holder")
+
+
+def frame_metrics(orf: DataFrame) -> DataFrame:
+    """(tid, number_internal_orfs, cds_not_maximal, cds_not_maximal_fraction): frames (tid, s, e) on the transcript, and how
+    much of the bases in any frame the longest one leaves out; 0 with a single frame."""
+    n = orf.groupBy("tid").agg(F.count(F.lit(1)).alias("number_internal_orfs"), F.max(F.col("e") - F.col("s") + 1).alias("top"))
+    d = n.join(interval_union_length(orf.select("tid", "s", "e"), ["tid"]), "tid")
+    left = F.when(F.col("number_internal_orfs") > 1, F.col("bases") - F.col("top")).otherwise(0)
+    return d.select("tid", "number_internal_orfs", left.alias("cds_not_maximal"), (left / F.col("bases")).alias("cds_not_maximal_fraction"))
+
+
+def frame_distances(exon: DataFrame, orf: DataFrame) -> DataFrame:
+    """A row a model: bases from its start to the longest frame's (ties: the first), from that one's end to the model's end, and
+    to the last junction; 0 without a frame."""
+    last = F.max_by(F.col("e") - F.col("s") + 1, F.when(F.col("strand") == "-", -F.col("s")).otherwise(F.col("s")))
+    x = exon.groupBy("tid").agg(F.sum(F.col("e") - F.col("s") + 1).alias("cdna"), last.alias("last"))
+    best = orf.groupBy("tid").agg(F.min(F.struct((F.col("s") - F.col("e")).alias("n"), "s", "e")).alias("b"))
+    d = x.join(best, "tid", "left")
+    zero = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    after = F.when(F.col("b.e").isNotNull(), F.greatest(F.lit(0), F.col("cdna") - F.col("last") - F.col("b.e")))
+    return d.select("tid", zero(F.col("b.s") - 1, "selected_start_distance_from_tss"), zero(F.col("cdna") - F.col("b.e"), "selected_end_distance_from_tes"), zero(after, "selected_end_distance_from_junction"))

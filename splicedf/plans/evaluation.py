@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators import evaluate, evidence, intervals, model
+from splicedf.operators import evaluate, evidence, intervals, model, picking
 from splicedf.plans.models import CHAIN, SITE, isl
 from splicedf.plans.registry import query
 
@@ -283,14 +283,18 @@ def score_vs_primary(t) -> DataFrame:
     return t.transcript.withColumn("best", F.max("cdna").over(Window.partitionBy("gid"))).filter("cdna >= 0.5 * best").select("tid", "gid")
 
 
-FRACTION = "x AS (SELECT DISTINCT gid, tid, s, e FROM exon), own AS (SELECT gid, tid, count(*) AS n FROM x GROUP BY 1, 2), loc AS (SELECT gid, count(*) AS k FROM (SELECT DISTINCT gid, s, e FROM exon) GROUP BY gid)"
+def share_sql(name: str, source: str) -> str:
+    return f"{name}0 AS (SELECT DISTINCT gid, tid, s, e FROM {source}), {name} AS (SELECT tid, CAST(n AS DOUBLE) / k AS share FROM (SELECT gid, tid, count(*) AS n FROM {name}0 GROUP BY 1, 2) JOIN (SELECT gid, count(*) AS k FROM (SELECT DISTINCT gid, s, e FROM {name}0) GROUP BY gid) USING (gid))"
 
 
-@query("SELECT tid, CAST(n AS DOUBLE) / k AS exon_fraction FROM own JOIN loc USING (gid)", FRACTION)
+INNER = "inners AS (SELECT i.gid, i.tid, i.s, i.e FROM intron i JOIN (SELECT tid, e + 1 AS s, lead(s) OVER (PARTITION BY tid ORDER BY s) - 1 AS e FROM cds) c ON i.tid = c.tid AND i.s = c.s AND i.e = c.e)"
+
+
+@query("SELECT t.tid, x.share AS exon_fraction, coalesce(i.share, 0) AS intron_fraction, coalesce(c.share, 0) AS combined_cds_intron_fraction FROM transcript t JOIN fx x USING (tid) LEFT JOIN fi i USING (tid) LEFT JOIN fc c USING (tid)",
+       f"{INNER}, {share_sql('fx', 'exon')}, {share_sql('fi', 'intron')}, {share_sql('fc', 'inners')}")
 def metrics_locus_fraction(t) -> DataFrame:
-    own = t.exon.select("gid", "tid", "s", "e").distinct().groupBy("gid", "tid").agg(F.count(F.lit(1)).alias("n"))
-    loc = t.exon.select("gid", "s", "e").distinct().groupBy("gid").agg(F.count(F.lit(1)).alias("k"))
-    return own.join(loc, "gid").select("tid", (F.col("n") / F.col("k")).alias("exon_fraction"))
+    inner = model.cds_introns(t.cds, t.intron).join(t.transcript.select("tid", "gid"), "tid")
+    return picking.locus_fractions(t.exon, t.intron, inner, "gid")
 
 
 @query("SELECT c.tid, CAST(c.n AS DOUBLE) / u.bases AS combined_cds_locus_fraction FROM (SELECT tid, gid, sum(e - s + 1) AS n FROM cds GROUP BY 1, 2) c JOIN (SELECT gid, sum(greatest(0, e - greatest(s - 1, coalesce(top, s - 1)))) AS bases FROM isl0 GROUP BY gid) u ON c.gid = u.gid", isl("cds", "gid", "true"))

@@ -208,10 +208,11 @@ def metrics_utr(t) -> DataFrame:
     return model.utr_metrics(t.exon, t.cds)
 
 
-@query("""SELECT tid, CAST(sum(CASE WHEN last THEN 0 WHEN strand = '-' THEN greatest(0, least(e, cs - 1) - s + 1) ELSE greatest(0, e - greatest(s, ce + 1) + 1) END) AS BIGINT) AS distance FROM
-  (SELECT x.*, p.cs, p.ce, row_number() OVER (PARTITION BY x.tid ORDER BY CASE WHEN x.strand = '-' THEN x.s ELSE -x.s END) = 1 AS last FROM exon x JOIN span p ON x.tid = p.tid) GROUP BY tid""", SPAN)
+@query("""SELECT tid, CAST(coalesce(sum(before), 0) AS BIGINT) AS start_distance_from_tss, CAST(coalesce(sum(after), 0) AS BIGINT) AS end_distance_from_tes, CAST(coalesce(sum(CASE WHEN NOT last THEN after END), 0) AS BIGINT) AS end_distance_from_junction FROM
+  (SELECT x.tid, CASE WHEN x.strand = '-' THEN greatest(0, x.e - greatest(x.s, p.ce + 1) + 1) ELSE greatest(0, least(x.e, p.cs - 1) - x.s + 1) END * CASE WHEN p.tid IS NULL THEN 0 ELSE 1 END AS before, CASE WHEN x.strand = '-' THEN greatest(0, least(x.e, p.cs - 1) - x.s + 1) ELSE greatest(0, x.e - greatest(x.s, p.ce + 1) + 1) END * CASE WHEN p.tid IS NULL THEN 0 ELSE 1 END AS after,
+  row_number() OVER (PARTITION BY x.tid ORDER BY CASE WHEN x.strand = '-' THEN x.s ELSE -x.s END) = 1 AS last FROM exon x LEFT JOIN span p ON x.tid = p.tid) GROUP BY tid""", SPAN)
 def metrics_distances(t) -> DataFrame:
-    return model.end_distance_from_junction(t.exon, t.cds)
+    return model.cds_distances(t.exon, t.cds)
 
 
 @query("""SELECT t.tid, t.n_exons, t.cdna, CAST(coalesce(i.n, 0) AS BIGINT) AS intronic, CAST(coalesce(p.n, 0) AS BIGINT) AS cds FROM transcript t LEFT JOIN (SELECT tid, sum(e - s) AS n FROM intron GROUP BY tid) i ON t.tid = i.tid LEFT JOIN span p ON t.tid = p.tid""", SPAN)
