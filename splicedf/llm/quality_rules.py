@@ -23,7 +23,7 @@ def gram_hashes(h: str, n: str) -> Column:
     """Hashes of the words and of the pairs of neighbours, from the words' hashes in column h."""
     rest = F.greatest(F.col(n) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(h, 1, rest), F.slice(h, 2, rest), lambda a, b: F.xxhash64(a, b))
-    return F.concat(F.col(h), F.when(F.col(n) > 1, pairs).otherwise(F.array().cast("array<bigint>")))
+    return F.concat(F.col(h), F.when(F.col(n) > 1, pairs).otherwise(F.slice(h, 1, F.lit(0))))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -51,16 +51,20 @@ def numbers(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def gram_score(grams: str, is_trusted: Column, counts: DataFrame) -> Column:
-    """The sum of the integer weights of the n-gram hashes in a column, as the other documents set them.
+def gram_buckets(grams: Column) -> Column:
+    """The buckets of n-gram hashes, sorted. As a column of its own, without nulls, Spark sorts it as plain integers."""
+    return F.sort_array(F.transform(grams, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
 
-    A document's own n-grams are left out of both multinomials. The hashes are sorted by bucket; a run of c equal buckets
-    is weighed once, times c. What the lambda needs of the row comes with the accumulator and is worked out once.
+
+def gram_score(buckets: str, is_trusted: Column, counts: DataFrame) -> Column:
+    """The sum of the integer weights of the n-grams in a column of sorted buckets, as the other documents set them.
+
+    A document's own n-grams are left out of both multinomials. A run of c equal buckets is weighed once, times c. What the lambda needs of the row comes with the accumulator and is worked out once.
     """
     raw, good = [0] * BUCKETS, [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most, whatever the input
         raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
-    n, g = F.size(grams), F.size(grams) * is_trusted.cast("int")
+    n, g = F.size(buckets), F.size(buckets) * is_trusted.cast("int")
     share = (F.lit(sum(good)) - g) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
     raw, good = numbers(raw), numbers(good)
 
@@ -72,7 +76,6 @@ def gram_score(grams: str, is_trusted: Column, counts: DataFrame) -> Column:
     part = lambda b, c, s, t, share: F.struct(b.alias("b"), c.alias("c"), s.alias("s"), t.alias("t"), share.alias("share"))
     start = part(F.lit(-1), F.lit(0), F.lit(0).cast("long"), is_trusted.cast("int"), share)
     same = lambda a, x: F.when(a.b == x, part(x, a.c + 1, a.s, a.t, a.share)).otherwise(part(x, F.lit(1), closed(a), a.t, a.share))
-    buckets = F.sort_array(F.transform(grams, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
     return F.aggregate(buckets, start, same, closed)
 
 
@@ -108,8 +111,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
     counts = gram_counts(docs, ids, id_col, text_col)
     d = base_columns(docs.join(ids, F.col(id_col) == F.col("_trusted"), "left"), text_col)
-    d = d.withColumn("_g", gram_hashes("_h", "n_words"))
-    d = d.withColumns({"gram_score": gram_score("_g", F.col("_trusted").isNotNull(), counts), "_n": F.size("_g")}).drop("_g", "_h", "_trusted")
+    d = d.withColumn("_b", gram_buckets(gram_hashes("_h", "n_words")))
+    d = d.withColumns({"gram_score": gram_score("_b", F.col("_trusted").isNotNull(), counts), "_n": F.size("_b")}).drop("_b", "_h", "_trusted")
     limit = math.floor(threshold * SCALE)
     # the row number, always true, keeps a filter on the verdict from being pushed into the lambdas below
     d = d.withColumns({"mean_log_ratio": F.when(F.col("_n") > 0, F.col("gram_score") / F.col("_n") / SCALE), "kept": ~F.col("base_failed") & (F.col("gram_score") >= F.col("_n") * limit) & (F.monotonically_increasing_id() >= 0)})
