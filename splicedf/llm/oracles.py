@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from splicedf.llm import license_scan, mixing
+from splicedf.llm import license_scan, mixing, simplex_clusters, vector_codes
 
 WORD = r"[^\x20\x09-\x0D]+"
 TEST_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,4 +61,45 @@ def license_sql() -> str:
     return f"WITH {', '.join(parts)} SELECT doc_id, coalesce(ids, '') AS sentence_ids, coalesce(names, '') AS licenses, coalesce(kind, 'none') AS license_class, CAST(CASE WHEN coalesce(names, '') = '' THEN 0 ELSE len(string_split(names, ',')) END AS BIGINT) AS n_licenses FROM d LEFT JOIN {last} USING (rid)"
 
 
-ORACLE_SQL = {"op3_jaccard_join": OP3, "op4_decontamination": OP4, "op7_license_scan": license_sql(), "op8_source_mixing": OP8, "op10_warc_segments": OP10}
+SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+#: s / n rounded down, for integers of either sign.
+FLOOR_DIV = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+
+
+def vector_code_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Vectors of one length that parts divides; the number of a nearest entry rides below its distance."""
+    gap = "list_sum(list_transform(range(1, len(v.x) + 1), lambda i: CAST((v.x[i] - b.x[i]) * (v.x[i] - b.x[i]) AS BIGINT)))"
+    steps = [
+        f"k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {SOUND})",
+        f"v AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM (SELECT vec_id, v, unnest(range({parts})) AS p FROM k))",
+        f"b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM v WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT v.vec_id, v.p, min(CAST({gap} AS BIGINT) * {entries} + b.e) AS m FROM v JOIN b{r} b ON v.p = b.p GROUP BY v.vec_id, v.p)")
+        if r < rounds:
+            steps.append(f"m{r} AS (SELECT p, m % {entries} AS e, i, {FLOOR_DIV} AS t FROM (SELECT v.p, a.m % {entries} AS m, i, CAST(sum(v.x[i]) AS BIGINT) AS s, count(*) AS n FROM a{r} a JOIN (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM v) v ON a.vec_id = v.vec_id AND a.p = v.p GROUP BY v.p, a.m % {entries}, i))")
+            steps.append(f"b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.x, b.x) AS x FROM b{r} b LEFT JOIN (SELECT p, e, list(t ORDER BY i) AS x FROM m{r} GROUP BY p, e) n ON b.p = n.p AND b.e = n.e)")
+    steps.append(f"o AS (SELECT k.vec_id, k.label, string_agg(format('{{:02x}}', a.m % {entries}), '' ORDER BY a.p) AS code, CAST(sum(a.m // {entries}) AS BIGINT) AS error FROM a{rounds} a JOIN k ON k.vec_id = a.vec_id GROUP BY k.vec_id, k.label)")
+    books = f"(SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds})"
+    return f"WITH {', '.join(steps)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, {books} AS codebooks_sha256 FROM o"
+
+
+def cluster_sql(clusters: int, rounds: int, dims: int, scale: int, seed: int) -> str:
+    gap = "list_sum(list_transform(range(1, len(k.v) + 1), lambda i: CAST((k.v[i] - c.x[i]) * (k.v[i] - c.x[i]) AS BIGINT)))"
+    steps = [
+        f"k AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {SOUND} AND len(embedding) = {dims})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR))) - 1 AS c, v AS x FROM k ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR)) LIMIT {clusters})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT k.vec_id, min(CAST({gap} AS BIGINT) * {clusters} + c.c) AS m FROM k CROSS JOIN c{r} c GROUP BY k.vec_id)")
+        if r < rounds:
+            steps.append(f"m{r} AS (SELECT c, i, {FLOOR_DIV} AS t FROM (SELECT a.m % {clusters} AS c, i, CAST(sum(k.v[i]) AS BIGINT) AS s, count(*) AS n FROM a{r} a JOIN (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM k) k ON a.vec_id = k.vec_id GROUP BY a.m % {clusters}, i))")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.x, o.x) AS x FROM c{r} o LEFT JOIN (SELECT c, list(t ORDER BY i) AS x FROM m{r} GROUP BY c) n ON o.c = n.c)")
+    return f"WITH {', '.join(steps)} SELECT vec_id, CAST(a.m % {clusters} AS INT) AS cluster, a.m // {clusters} AS distance, CAST(sum(a.m // {clusters}) OVER (PARTITION BY a.m % {clusters}) AS BIGINT) AS cluster_inertia, CAST(sum(a.m // {clusters}) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.c = a.m % {clusters}"
+
+
+ORACLE_SQL = {
+    "op3_jaccard_join": OP3, "op4_decontamination": OP4, "op7_license_scan": license_sql(), "op8_source_mixing": OP8, "op10_warc_segments": OP10,
+    "op12_vector_codes": vector_code_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE),
+    "op13_simplex_clusters": cluster_sql(simplex_clusters.CLUSTERS, simplex_clusters.ROUNDS, simplex_clusters.DIMS, simplex_clusters.SCALE, simplex_clusters.SEED),
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splicedf.llm import decontaminate, jaccard_join, kd_sharding, license_scan, mixing, pii, quality_rules, token_tables, warc, weak_labels
+from splicedf.llm import decontaminate, jaccard_join, kd_sharding, license_scan, mixing, pii, quality_rules, simplex_clusters, token_tables, toxicity, vector_codes, warc, weak_labels
 from splicedf.llm.common import read, scratch
 from splicedf.llm.oracles import ORACLE_SQL
 
@@ -64,8 +64,20 @@ def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_tables, op2_weak_labels, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op7_license_scan, op8_source_mixing, op9_pii_boosting, op10_warc_segments)}
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).withColumnRenamed("_id", "doc_id")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, books = vector_codes.compressed(read(spark, sf_dir, "embeddings"))
+    return d.select(F.col("_id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clusters.report(read(spark, sf_dir, "embeddings")).withColumnRenamed("_id", "vec_id").drop("compared")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_tables, op2_weak_labels, op3_jaccard_join, op4_decontamination, op5_quality_rules, op6_kd_sharding, op7_license_scan, op8_source_mixing, op9_pii_boosting, op10_warc_segments, op11_toxicity, op12_vector_codes, op13_simplex_clusters)}
+
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
