@@ -12,66 +12,60 @@ PAIR = ["tid_a", "tid_b"]
 
 
 def candidate_pairs(pred: DataFrame, ref: DataFrame, distance: int) -> DataFrame:
-    """Pairs (a predicted, b reference) at most `distance` apart, with bounds, strand, exon number and spliced length."""
-    cols = ["chrom", "tid", "strand", "s", "e", "n_exons", "cdna"]
-    return join_within_distance(pred.select(*cols), ref.select(*cols), distance).drop("overlap")
-
-
-def pair_nucleotide_stats(pairs: DataFrame, exon_a: DataFrame, exon_b: DataFrame) -> DataFrame:
-    """pairs with n_common: bases that the exons of both share."""
+    """Pairs (tid_a predicted, tid_b reference) at most `distance` apart."""
     cols = ["chrom", "tid", "s", "e"]
-    n = join_overlap(exon_a.select(*cols), exon_b.select(*cols), width=1024).groupBy(*PAIR).agg(F.sum("overlap").alias("n_common"))
-    return pairs.join(n, PAIR, "left").withColumn("n_common", F.coalesce("n_common", F.lit(0)))
+    return join_within_distance(pred.select(*cols), ref.select(*cols), distance).select(*PAIR)
 
 
-def pair_exon_stats(pairs: DataFrame, exon_a: DataFrame, exon_b: DataFrame) -> DataFrame:
-    """pairs with e_common: exons that are the same in both."""
-    a, b = (d.select("chrom", "s", "e", F.col("tid").alias(f"tid_{k}")) for d, k in ((exon_a, "a"), (exon_b, "b")))
-    n = a.join(b, ["chrom", "s", "e"]).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("e_common"))
-    return pairs.join(n, PAIR, "left").withColumn("e_common", F.coalesce("e_common", F.lit(0)))
+def _code(s: Column, e: Column) -> Column:
+    """An interval as one number, for coordinates below 2^31."""
+    return F.shiftleft(s.cast("long"), 31) + (e - s)
 
 
-def _ends(intron: DataFrame) -> DataFrame:
-    return intron.select("tid", "chrom", F.inline(F.array(F.struct(F.col("s").alias("pos"), F.lit(0).alias("side")), F.struct(F.col("e").alias("pos"), F.lit(1).alias("side")))))
+def models(transcript: DataFrame, exon: DataFrame) -> DataFrame:
+    """Transcripts with what is compared, as arrays of numbers: exons x, introns i, splice sites j with their side, their
+    positions p; and the introns themselves, sorted."""
+    xs = exon.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("xs"))
+    d = transcript.select("tid", "gid", "chrom", "strand", "s", "e", "n_exons", "cdna").join(xs, "tid")
+    rest = F.size("xs") - 1
+    gaps = F.zip_with(F.slice("xs", 1, rest), F.slice("xs", 2, rest), lambda a, b: F.struct((a.e + 1).alias("s"), (b.s - 1).alias("e")))
+    d = d.withColumn("gaps", gaps)
+    ends = lambda f: F.concat(F.transform("gaps", lambda g: f(g.s, 0)), F.transform("gaps", lambda g: f(g.e, 1)))
+    return d.select(
+        "tid", "gid", "chrom", "strand", "s", "e", "n_exons", "cdna", "gaps", F.transform("xs", lambda x: _code(x.s, x.e)).alias("x"), F.transform("gaps", lambda g: _code(g.s, g.e)).alias("i"),
+        F.array_distinct(ends(lambda pos, side: pos * 2 + side)).alias("j"), F.array_distinct(ends(lambda pos, side: pos)).alias("p"),
+    )
 
 
-def pair_junction_stats(pairs: DataFrame, intron_a: DataFrame, intron_b: DataFrame) -> DataFrame:
-    """pairs with j_common (splice sites of a that b has on the same side), j_a, j_b (sites of each), and what class codes ask:
+def pair_features(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """pairs with both models' columns and what they share: e_common exons, i_common introns, j_common splice sites on the
+    same side (of j_a and j_b), and what class codes ask.
 
-    i_common introns in common; i_touch introns that overlap by more than a base; new_inside and new_within: sites of a
-    that b lacks, between b's outermost sites or within b; missed: introns of b that a lacks and could have shown.
+    new_inside and new_within: positions of sites of a that b lacks, between b's outermost sites or within b; missed:
+    introns of b that a lacks and could have shown; of a monoexonic a, m_n introns of b that it reaches into, by m_first and
+    m_second bases, the first of length m_len.
     """
-    a, b = _ends(intron_a), _ends(intron_b)
-    count = lambda d, k: d.select("tid", "pos", "side").distinct().groupBy(F.col("tid").alias(f"tid_{k}")).agg(F.count(F.lit(1)).alias(f"j_{k}"), F.min("pos").alias(f"low_{k}"), F.max("pos").alias(f"high_{k}"))
-    side = lambda d, k: d.select("chrom", "pos", "side", F.col("tid").alias(f"tid_{k}"))
-    common = side(a, "a").join(side(b, "b"), ["chrom", "pos", "side"]).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("j_common"))
-    x = lambda d, k: d.select("chrom", "s", "e", F.col("tid").alias(f"tid_{k}"))
-    same = x(intron_a, "a").join(x(intron_b, "b"), ["chrom", "s", "e"]).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("i_common"))
+    side = lambda d, k: d.select(*[F.col(c).alias(c if c == "chrom" and k == "a" else f"{c}_{k}") for c in d.columns if c != "chrom" or k == "a"])
+    d = pairs.join(side(a, "a"), "tid_a").join(side(b, "b"), "tid_b")
+    same = lambda c: F.size(F.array_intersect(f"{c}_a", f"{c}_b")).cast("long")
+    multi = (F.col("n_exons_a") > 1) & (F.col("n_exons_b") > 1)
+    counted = lambda c: F.when(multi, F.size(c)).otherwise(0).cast("long")
+    new = F.array_except("p_a", "p_b")
+    d = d.withColumns({"e_common": same("x"), "i_common": same("i"), "j_common": same("j"), "j_a": F.size("j_a").cast("long"), "j_b": F.size("j_b").cast("long"), "distance": F.greatest(F.lit(0), F.greatest("s_a", "s_b") - F.least("e_a", "e_b"))})
+    low_a, high_a, low_b, high_b = F.array_min("p_a"), F.array_max("p_a"), F.array_min("p_b"), F.array_max("p_b")
+    gone = F.filter("gaps_b", lambda g: (((F.col("s_a") < g.s) & (g.e < low_a)) | ((F.col("e_a") > g.e) & (g.s > high_a))) & ~F.array_contains(F.col("i_a"), _code(g.s, g.e)))
+    bases = lambda g: F.least(g.e, F.col("e_a")) - F.greatest(g.s, F.col("s_a"))
+    d = d.withColumns({"new_inside": counted(F.filter(new, lambda x: (x > low_b) & (x < high_b))), "new_within": counted(F.filter(new, lambda x: (x > F.col("s_b")) & (x < F.col("e_b")))), "missed": counted(gone)})
+    mono = (F.col("n_exons_a") == 1) & (F.col("n_exons_b") > 1)
+    d = d.withColumn("_m", F.when(mono, F.transform(F.filter("gaps_b", lambda g: bases(g) > 0), lambda g: F.struct(bases(g).alias("bases"), (g.e - g.s + 1).alias("n")))))
+    at = lambda k, c: F.coalesce(F.get("_m", F.lit(k))[c], F.lit(0))
+    return d.withColumns({"m_n": F.coalesce(F.size("_m"), F.lit(0)), "m_first": at(0, "bases"), "m_second": at(1, "bases"), "m_len": at(0, "n")}).drop("_m", "p_a", "p_b", "x_a", "x_b", "i_a", "i_b")
+
+
+def common_bases(exon_a: DataFrame, exon_b: DataFrame) -> DataFrame:
+    """(tid_a, tid_b, n_common): bases that the exons of both share."""
     cols = ["chrom", "tid", "s", "e"]
-    touch = join_overlap(intron_a.select(*cols), intron_b.select(*cols), width=1024).filter("overlap > 1").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("i_touch"))
-    d = pairs.join(count(a, "a"), "tid_a", "left").join(count(b, "b"), "tid_b", "left")
-    for more in (common, same, touch):
-        d = d.join(more, PAIR, "left")
-    # sites of a that b does not have on either side
-    multi = d.filter("n_exons_a > 1 AND n_exons_b > 1")
-    on_b = b.select(F.col("tid").alias("tid_b"), "pos").distinct().withColumn("known", F.lit(True))
-    new = multi.select(*PAIR, "low_b", "high_b", "s_b", "e_b").join(a.select(F.col("tid").alias("tid_a"), "pos").distinct(), "tid_a").join(on_b, ["tid_b", "pos"], "left").filter("known IS NULL")
-    new = new.groupBy(*PAIR).agg(F.count(F.when((F.col("pos") > F.col("low_b")) & (F.col("pos") < F.col("high_b")), 1)).alias("new_inside"), F.count(F.when((F.col("pos") > F.col("s_b")) & (F.col("pos") < F.col("e_b")), 1)).alias("new_within"))
-    gone = multi.select(*PAIR, "s_a", "e_a", "low_a", "high_a").join(intron_b.select(F.col("tid").alias("tid_b"), "s", "e"), "tid_b").join(intron_a.select(F.col("tid").alias("tid_a"), "s", "e"), ["tid_a", "s", "e"], "left_anti")
-    gone = gone.filter("(s_a < s AND e < low_a) OR (e_a > e AND s > high_a)").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("missed"))
-    d = d.join(new, PAIR, "left").join(gone, PAIR, "left")
-    zero = ["j_common", "i_common", "i_touch", "new_inside", "new_within", "missed", "j_a", "j_b"]
-    return d.na.fill(0, zero)
-
-
-def mono_intron_overlaps(pairs: DataFrame, intron_b: DataFrame) -> DataFrame:
-    """pairs with what a monoexonic a shares with the introns of b: m_n of them, m_first and m_second bases, m_len of the first."""
-    p = pairs.filter("n_exons_a = 1 AND n_exons_b > 1 AND n_common > 0").select(*PAIR, "s_a", "e_a")
-    bases = F.least("e", "e_a") - F.greatest("s", "s_a")
-    d = p.join(intron_b.select(F.col("tid").alias("tid_b"), "s", "e"), "tid_b").withColumn("bases", bases).filter("bases > 0")
-    got = F.array_sort(F.collect_list(F.struct("s", "bases", (F.col("e") - F.col("s") + 1).alias("n"))))
-    d = d.groupBy(*PAIR).agg(F.size(got).alias("m_n"), got.alias("g")).select(*PAIR, "m_n", F.get("g", F.lit(0)).bases.alias("m_first"), F.get("g", F.lit(1)).bases.alias("m_second"), F.get("g", F.lit(0)).n.alias("m_len"))
-    return pairs.join(d, PAIR, "left").na.fill(0, ["m_n", "m_first", "m_second", "m_len"])
+    return join_overlap(exon_a.select(*cols), exon_b.select(*cols), width=1024).groupBy(*PAIR).agg(F.sum("overlap").alias("n_common"))
 
 
 def class_code_multi() -> Column:
@@ -109,15 +103,16 @@ def class_code(strict_strand: bool = False) -> Column:
     return F.when(other, demoted).otherwise(code)
 
 
-def compare_pairs(pred: tuple, ref: tuple, distance: int = 0, strict_strand: bool = False) -> DataFrame:
+def compare_pairs(pred: tuple, ref: tuple, distance: int = 0, strict_strand: bool = False, pairs: DataFrame | None = None) -> DataFrame:
     """A row a pair: shared bases, exons and splice sites with recall, precision and F1 of each, distance and ccode.
 
-    pred and ref are (transcript, exon, intron). Each kind of feature is joined on its own and summed up by pair, so no
-    pair ever carries its lists of exons.
+    pred and ref are (transcript, exon, ...); pairs (tid_a, tid_b and other columns, which stay) are those at most `distance`
+    apart unless given. A model's exons meet it once, as arrays of numbers; only shared bases are joined feature by feature.
     """
-    d = pair_nucleotide_stats(candidate_pairs(pred[0], ref[0], distance), pred[1], ref[1])
-    d = pair_exon_stats(d, pred[1], ref[1])
-    d = mono_intron_overlaps(pair_junction_stats(d, pred[2], ref[2]), ref[2])
+    pairs = candidate_pairs(pred[0], ref[0], distance) if pairs is None else pairs
+    d = pair_features(pairs, models(*pred[:2]), models(*ref[:2])).join(common_bases(pred[1], ref[1]), PAIR, "left").withColumn("n_common", F.coalesce("n_common", F.lit(0)))
+    touch = (F.col("j_common") == 0) & (F.col("n_common") > 0) & F.exists("gaps_a", lambda x: F.exists("gaps_b", lambda y: F.least(x.e, y.e) > F.greatest(x.s, y.s)))
+    d = d.withColumn("i_touch", touch.cast("int")).drop("gaps_a", "gaps_b")
     both_mono = (F.col("n_exons_a") == 1) & (F.col("n_exons_b") == 1) & (F.col("n_common") > 0)
     share = lambda n, of: F.when(F.col(of) > 0, F.col(n) / F.col(of)).otherwise(0.0)
     d = d.withColumns({"n_prec": share("n_common", "cdna_a"), "n_recall": share("n_common", "cdna_b"), "e_prec": share("e_common", "n_exons_a"), "e_recall": share("e_common", "n_exons_b"), "j_prec": F.when(both_mono, 1.0).otherwise(share("j_common", "j_a")), "j_recall": F.when(both_mono, 1.0).otherwise(share("j_common", "j_b"))})
@@ -125,23 +120,74 @@ def compare_pairs(pred: tuple, ref: tuple, distance: int = 0, strict_strand: boo
     return d.withColumn("ccode", class_code(strict_strand))
 
 
+def by_f1(other: str) -> list[Column]:
+    """Best first: junction and base F1, then distance, then a code on the same strand, then ids."""
+    return [F.desc("j_f1"), F.desc("n_f1"), F.asc("distance"), F.col("ccode").isin("x", "X").asc(), F.asc(other)]
+
+
 def best_by_f1(pairs: DataFrame, key: str = "tid_a") -> DataFrame:
-    """The best pair of each key: by junction and base F1, then distance, then a code on the same strand, then ids."""
-    other = "tid_b" if key == "tid_a" else "tid_a"
-    w = Window.partitionBy(key).orderBy(F.desc("j_f1"), F.desc("n_f1"), "distance", F.col("ccode").isin("x", "X"), other)
+    """The best pair of each key."""
+    w = Window.partitionBy(key).orderBy(*by_f1("tid_b" if key == "tid_a" else "tid_a"))
     return pairs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def tmap(pred: tuple, ref: tuple, distance: int = 2000) -> DataFrame:
-    """A row a predicted transcript: its best match, or code u without any within distance.
+def genes_of(transcript: DataFrame) -> DataFrame:
+    """transcript with gene: what a gene has on one strand is a gene of its own."""
+    return transcript.withColumn("gene", F.concat_ws("", F.col("gid").cast("string"), F.coalesce("strand", F.lit("."))))
 
-    Matches that overlap come before those beside; of those beside, only the nearest count.
+
+def candidate_genes(pred: DataFrame, ref: DataFrame, distance: int) -> DataFrame:
+    """(tid_a, gene, gs, ge, mode): the genes that a prediction is held against, and how.
+
+    beside: none overlaps, so the nearest one. one: those of one place (bounds). many: those of several places; where some
+    are on the prediction's strand, the others do not count. Of several places of which none is on the prediction's
+    strand the first counts alone.
+    """
+    g = genes_of(ref).groupBy("gene").agg(F.min("chrom").alias("chrom"), F.min("strand").alias("strand"), F.min("s").alias("s"), F.max("e").alias("e"))
+    d = join_within_distance(pred.select("chrom", "tid", "strand", "s", "e"), g, distance)
+    w = Window.partitionBy("tid_a")
+    place, same = F.struct("s_b", "e_b"), F.col("strand_a").isNotNull() & F.col("strand_a").eqNullSafe(F.col("strand_b"))
+    fits = F.col("strand_b").isNull() | same
+    d = d.withColumn("_near", F.min("distance").over(w)).filter("distance = _near")
+    d = d.withColumns({"_n": F.size(F.collect_set(place).over(w)), "_m": F.size(F.collect_set(F.when(fits, place)).over(w)), "_k": F.row_number().over(w.orderBy("s_b", "e_b", "gene_b")), "_first": F.min(place).over(w), "_fits": F.max(fits).over(Window.partitionBy("tid_a", "s_b", "e_b"))})
+    beside, plain = F.col("distance") > 0, F.col("strand_a").isNull()
+    keep = F.when(beside, F.col("_k") == 1).when((F.col("_n") == 1) | plain, True).when(F.col("_m") == 0, F.col("_first") == place).otherwise(F.col("_fits"))
+    several = F.when(plain, F.col("_n")).otherwise(F.col("_m")) > 1
+    d = d.filter(keep).withColumn("mode", F.when(beside, "beside").when(several, "many").otherwise("one")).withColumn("_same", F.max(same).over(w))
+    return d.filter((F.col("mode") != "many") | ~F.col("_same") | same).select("tid_a", F.col("gene_b").alias("gene"), F.col("s_b").alias("gs"), F.col("e_b").alias("ge"), "mode")
+
+
+#: The columns of a table of matches.
+TMAP = ("ref_id", "ref_gene", "ccode", "tid", "gid", "tid_num_exons", "ref_num_exons", "n_prec", "n_recall", "n_f1", "j_prec", "j_recall", "j_f1", "e_prec", "e_recall", "e_f1", "distance", "location")
+RATES = TMAP[7:16]
+
+
+def tmap(pred: tuple, ref: tuple, distance: int = 2000, report_fusions: bool = True) -> DataFrame:
+    """The matches of every predicted transcript: one row, or one for each gene that it fuses; code u without a gene near.
+
+    Of genes beside a prediction (run-on) the nearest one's nearest transcript matches, of overlapping ones the transcript
+    that is best by F1. A prediction over several places fuses those whose best transcript shares a splice site with it or
+    has a tenth of its bases covered; two or more such give a row each, with f before the code. Where there is one, it
+    matches alone; where there is none, the best of what there is.
     """
-    p = compare_pairs(pred, ref, distance)
-    near = F.min("distance").over(Window.partitionBy("tid_a"))
-    best = best_by_f1(p.withColumn("_near", near).filter(F.col("distance") == F.col("_near")))
-    out = pred[0].select(F.col("tid").alias("tid_a")).join(best.select("tid_a", "tid_b", "ccode", "n_f1", "j_f1", "e_f1", "distance"), "tid_a", "left")
-    return out.withColumn("ccode", F.coalesce("ccode", F.lit("u")))
+    own = genes_of(ref[0]).select("gene", F.col("tid").alias("tid_b"))
+    c = compare_pairs(pred, ref, pairs=candidate_genes(pred[0], ref[0], distance).join(own, "gene"))
+    many = F.col("mode") == "many"
+    order = [F.when(F.col("mode") == "beside", F.col("distance")).otherwise(0), *by_f1("tid_b")]
+    c = c.withColumn("_g", F.row_number().over(Window.partitionBy("tid_a", "gene").orderBy(*order))).filter("_g = 1")
+    c = c.withColumn("_weak", many & (F.col("j_f1") == 0) & (F.col("n_recall") < 0.1))
+    c = c.withColumn("_p", F.row_number().over(Window.partitionBy("tid_a", "gs", "ge").orderBy("_weak", *order)))
+    w = Window.partitionBy("tid_a")
+    c = c.withColumn("_good", many & ~F.col("_weak") & (F.col("_p") == 1)).withColumns({"_n": F.sum(F.col("_good").cast("int")).over(w), "_t": F.row_number().over(w.orderBy("_weak", *order))})
+    fused = F.lit(report_fusions) & F.col("_good") & (F.col("_n") > 1)
+    c = c.withColumn("_fused", fused).filter(fused | (F.col("_t") == 1) & ~(F.lit(report_fusions) & (F.col("_n") > 1)))
+    low, high = F.min(F.least("s_a", "s_b")).over(w), F.max(F.greatest("e_a", "e_b")).over(w)
+    place = F.concat(F.col("chrom"), F.lit(":"), low.cast("string"), F.lit(".."), high.cast("string"))
+    c = c.select(F.col("tid_a").alias("tid"), F.col("tid_b").alias("ref_id"), F.col("gid_b").alias("ref_gene"), F.when(F.col("_fused"), F.concat(F.lit("f,"), "ccode")).otherwise(F.col("ccode")).alias("ccode"), F.col("n_exons_b").alias("ref_num_exons"), *RATES, "distance", place.alias("_at"))
+    own = F.concat(F.col("chrom"), F.lit(":"), F.col("s").cast("string"), F.lit(".."), F.col("e").cast("string"))
+    d = pred[0].select("tid", "gid", F.col("n_exons").alias("tid_num_exons"), own.alias("_own")).join(c, "tid", "left")
+    d = d.withColumns({"ccode": F.coalesce("ccode", F.lit("u")), "location": F.coalesce("_at", "_own"), **{r: F.coalesce(r, F.lit(0.0)) for r in RATES}})
+    return d.select(*TMAP)
 
 
 def refmap(pairs: DataFrame, ref: DataFrame) -> DataFrame:

@@ -11,12 +11,14 @@ from splicedf.plans.registry import query
 COUNTS = ("n_common", "e_common", "j_common", "i_common")
 
 
-def pair_sql(distance: int, a: str = "NOT is_ref", b: str = "is_ref", on: str = "true") -> str:
-    """Common table expressions up to `coded`, by correlated counts over each pair: another way than the joins."""
+def pair_sql(distance: int, a: str = "NOT is_ref", b: str = "is_ref", on: str = "true", held: str = "") -> str:
+    """Common table expressions up to `coded`, by correlated counts over each pair: another way than the joins. `held` makes a
+    table held (tid_a, tid_b) of the only pairs that count."""
+    which = f"held h JOIN ta a ON a.tid = h.tid_a JOIN tb b ON b.tid = h.tid_b WHERE {on}" if held else f"ta a JOIN tb b ON a.chrom = b.chrom AND greatest(a.s, b.s) - least(a.e, b.e) <= {distance} AND {on}"
     ends = lambda t: f"SELECT s AS pos, 0 AS side FROM intron WHERE tid = p.{t} UNION SELECT e, 1 FROM intron WHERE tid = p.{t}"
-    return f"""ta AS (SELECT * FROM transcript WHERE {a}), tb AS (SELECT * FROM transcript WHERE {b}),
+    return f"""ta AS (SELECT * FROM transcript WHERE {a}), tb AS (SELECT * FROM transcript WHERE {b}),{held and " " + held + ","}
 pair AS (SELECT a.tid AS tid_a, b.tid AS tid_b, a.s AS s_a, a.e AS e_a, b.s AS s_b, b.e AS e_b, a.n_exons AS n_exons_a, b.n_exons AS n_exons_b, a.cdna AS cdna_a, b.cdna AS cdna_b, a.strand AS strand_a, b.strand AS strand_b,
-  greatest(0, greatest(a.s, b.s) - least(a.e, b.e)) AS distance FROM ta a JOIN tb b ON a.chrom = b.chrom AND greatest(a.s, b.s) - least(a.e, b.e) <= {distance} AND {on}),
+  greatest(0, greatest(a.s, b.s) - least(a.e, b.e)) AS distance FROM {which}),
 exa AS (SELECT p.tid_a, p.tid_b, CAST(sum(greatest(0, least(x.e, y.e) - greatest(x.s, y.s) + 1)) AS BIGINT) AS n_common, count(CASE WHEN x.s = y.s AND x.e = y.e THEN 1 END) AS e_common FROM pair p JOIN exon x ON x.tid = p.tid_a JOIN exon y ON y.tid = p.tid_b GROUP BY 1, 2),
 site AS (SELECT DISTINCT * FROM (SELECT tid, s AS pos, 0 AS side FROM intron UNION ALL SELECT tid, e, 1 FROM intron)),
 ends AS (SELECT tid, count(*) AS j, min(pos) AS low, max(pos) AS high FROM site GROUP BY tid),
@@ -56,6 +58,8 @@ def best_sql(key: str, other: str) -> str:
 
 
 def sides(t) -> tuple:
+    """Predicted and reference models; their exons are written once and read from there."""
+    t.keep("exon")
     pick = lambda c: (t.transcript.filter(c), t.exon.filter(c), t.intron.filter(c))
     return pick("NOT is_ref"), pick("is_ref")
 
@@ -95,9 +99,29 @@ def class_code_location(t) -> DataFrame:
     return compare.compare_pairs(*sides(t), distance=2000).filter("distance > 0").select("tid_a", "tid_b", "distance", "ccode")
 
 
-@query("SELECT a.tid AS tid_a, b.tid_b, coalesce(b.ccode, 'u') AS ccode, b.n_f1, b.j_f1, b.e_f1, b.distance FROM ta a LEFT JOIN best b ON a.tid = b.tid_a",
-       pair_sql(2000) + ", near AS (SELECT * FROM (SELECT *, min(distance) OVER (PARTITION BY tid_a) AS d FROM coded) WHERE distance = d), " + best_sql("tid_a", "tid_b"))
+HELD = """genes AS (SELECT CAST(gid AS VARCHAR) || strand AS gene, min(chrom) AS chrom, min(strand) AS strand, min(s) AS s, max(e) AS e FROM tb GROUP BY 1),
+cand AS (SELECT a.tid AS tid_a, a.strand AS sa, g.*, greatest(0, greatest(a.s, g.s) - least(a.e, g.e)) AS d FROM ta a JOIN genes g ON a.chrom = g.chrom AND greatest(a.s, g.s) - least(a.e, g.e) <= 2000),
+near0 AS MATERIALIZED (SELECT *, s || '-' || e AS place, row_number() OVER (PARTITION BY tid_a ORDER BY s, e, gene) AS k FROM (SELECT *, min(d) OVER (PARTITION BY tid_a) AS dm FROM cand) WHERE d = dm),
+tally AS (SELECT tid_a, count(DISTINCT place) AS n, count(DISTINCT CASE WHEN sa = strand THEN place END) AS m, max(CASE WHEN k = 1 THEN place END) AS first_ FROM near0 GROUP BY 1),
+fit AS (SELECT DISTINCT tid_a, place FROM near0 WHERE sa = strand),
+choice AS (SELECT x.*, t.n, t.m, CASE WHEN d > 0 THEN 'beside' WHEN t.m > 1 THEN 'many' ELSE 'one' END AS mode FROM near0 x JOIN tally t ON t.tid_a = x.tid_a LEFT JOIN fit f ON f.tid_a = x.tid_a AND f.place = x.place WHERE CASE WHEN d > 0 THEN k = 1 WHEN t.n = 1 THEN true WHEN t.m = 0 THEN x.place = first_ ELSE f.place IS NOT NULL END),
+pick AS MATERIALIZED (SELECT tid_a, gene, place, mode FROM choice WHERE mode <> 'many' OR sa = strand),
+held AS (SELECT p.tid_a, b.tid AS tid_b FROM pick p JOIN tb b ON CAST(b.gid AS VARCHAR) || b.strand = p.gene)"""
+BEST = "CASE WHEN mode = 'beside' THEN distance ELSE 0 END, j_f1 DESC, n_f1 DESC, distance, ccode IN ('x', 'X'), tid_b"
+MATCHES = (
+    pair_sql(0, held=HELD)
+    + f""", m0 AS (SELECT c.*, p.gene, p.place, p.mode, b.gid AS gid_b, row_number() OVER (PARTITION BY c.tid_a, p.gene ORDER BY {BEST}) AS g FROM coded c JOIN tb b ON b.tid = c.tid_b JOIN pick p ON p.tid_a = c.tid_a AND p.gene = CAST(b.gid AS VARCHAR) || b.strand),
+m1 AS (SELECT *, mode = 'many' AND j_f1 = 0 AND n_recall < CAST(0.1 AS DOUBLE) AS weak FROM m0 WHERE g = 1), m2 AS (SELECT *, row_number() OVER (PARTITION BY tid_a, place ORDER BY weak, {BEST}) AS p, row_number() OVER (PARTITION BY tid_a ORDER BY weak, {BEST}) AS t FROM m1),
+m3 AS (SELECT *, mode = 'many' AND NOT weak AND p = 1 AS good FROM m2), m4 AS (SELECT *, count(CASE WHEN good THEN 1 END) OVER (PARTITION BY tid_a) AS n FROM m3),
+m5 AS (SELECT *, n > 1 AS fused FROM m4 WHERE CASE WHEN n > 1 THEN good ELSE t = 1 END),
+m6 AS (SELECT *, min(least(s_a, s_b)) OVER (PARTITION BY tid_a) AS low, max(greatest(e_a, e_b)) OVER (PARTITION BY tid_a) AS high FROM m5),
+tm AS (SELECT m.tid_b AS ref_id, m.gid_b AS ref_gene, CASE WHEN fused THEN 'f,' || ccode ELSE coalesce(ccode, 'u') END AS ccode, a.tid, a.gid, a.n_exons AS tid_num_exons, m.n_exons_b AS ref_num_exons, {", ".join(f"coalesce({r}, CAST(0 AS DOUBLE)) AS {r}" for r in compare.RATES)}, m.distance, a.chrom || ':' || coalesce(low, a.s) || '..' || coalesce(high, a.e) AS location FROM ta a LEFT JOIN m6 m ON m.tid_a = a.tid)"""
+)
+
+
+@query("SELECT * FROM tm", MATCHES)
 def tmap(t) -> DataFrame:
+    """Every prediction's matches, a row for each gene that it fuses."""
     return compare.tmap(*sides(t))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.operators import compare, graph, sequence
-from splicedf.plans.comparison import best_sql, pair_sql, sides
+from splicedf.plans.comparison import MATCHES, sides
 from splicedf.plans.loci import CDNA, slice_of
 from splicedf.plans.registry import query
 from splicedf.sources import formats
@@ -79,23 +79,24 @@ def scan_external_tsv(t) -> DataFrame:
     return formats.scan_external(t.spark, path)
 
 
-TMAP = pair_sql(2000) + ", near AS (SELECT * FROM (SELECT *, min(distance) OVER (PARTITION BY tid_a) AS d FROM coded) WHERE distance = d), " + best_sql("tid_a", "tid_b")
+WHOLE = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("ref_id", "ref_gene", "tid", "gid"))
+PERCENT = ", ".join(f"floor({r} * 10000 + 0.5) / 100 AS {r}" for r in formats.TMAP_RATES)
 
 
-@query("SELECT CAST(a.tid AS VARCHAR) AS tid, CAST(b.tid_b AS VARCHAR) AS ref_id, coalesce(b.ccode, 'u') AS ccode, floor(coalesce(b.n_f1, 0) * 10000 + 0.5) / 100 AS n_f1, b.distance FROM ta a LEFT JOIN best b ON a.tid = b.tid_a", TMAP)
+@query(f"SELECT {WHOLE}, ccode, CAST(tid_num_exons AS INT) AS tid_num_exons, CAST(ref_num_exons AS INT) AS ref_num_exons, {PERCENT}, distance, location FROM tm", MATCHES)
 def sink_tmap(t) -> DataFrame:
-    """The best match of each prediction as a table with a header, in percent of two places; missing values are '-'."""
+    """The matches of each prediction as a table of eighteen columns with a header, written and read back."""
     path = fresh(t, "tmap")
     formats.write_tmap(compare.tmap(*sides(t)), path)
     return formats.scan_tmap(t.spark, path)
 
 
-@query("SELECT ccode, count(*) AS n FROM (SELECT coalesce(b.ccode, 'u') AS ccode FROM ta a LEFT JOIN best b ON a.tid = b.tid_a) GROUP BY ccode", TMAP)
+@query("SELECT ccode, ref_gene IS NULL AS unmatched, count(*) AS n, round(avg(floor(n_f1 * 10000 + 0.5) / 100), 6) AS mean_n_f1 FROM tm GROUP BY 1, 2", MATCHES)
 def scan_tmap(t) -> DataFrame:
-    """Class codes of a written table, counted."""
+    """Class codes of a written table, counted, with the mean F1 of bases."""
     path = fresh(t, "tmap")
     formats.write_tmap(compare.tmap(*sides(t)), path)
-    return formats.scan_tmap(t.spark, path).groupBy("ccode").agg(F.count(F.lit(1)).alias("n"))
+    return formats.scan_tmap(t.spark, path).groupBy("ccode", F.col("ref_gene").isNull().alias("unmatched")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_f1"), 6).alias("mean_n_f1"))
 
 
 @query("SELECT 'a_' || tid AS tid, 'a_' || gid AS gid, 'a' AS label, chrom, s, e FROM exon WHERE tid % 2 = 0 UNION ALL SELECT 'b_' || tid, 'b_' || gid, 'b', chrom, s, e FROM exon WHERE tid % 3 = 0")

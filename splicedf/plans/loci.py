@@ -95,7 +95,7 @@ def best_by_f1(t) -> DataFrame:
     return compare.best_by_f1(compare.compare_pairs(*sides(t))).select("tid_a", "tid_b", "ccode", "n_f1", "j_f1")
 
 
-@query("SELECT tid_a, tid_b, ccode, n_f1 FROM coded WHERE tid_a < tid_b", pair_sql(0, "true", "true", "a.gid = b.gid AND a.tid < b.tid"))
+@query("SELECT tid_a, tid_b, ccode, n_f1 FROM coded WHERE tid_a < tid_b", pair_sql(0, "true", "true", held="held AS (SELECT a.tid AS tid_a, b.tid AS tid_b FROM ta a JOIN tb b ON a.gid = b.gid AND a.tid < b.tid AND greatest(a.s, b.s) <= least(a.e, b.e))"))
 def compare_internal(t) -> DataFrame:
     """Pairs of transcripts of one gene: the gene stands in the place of the chromosome, so only its own pairs meet."""
     x, e, i = (d.withColumn("chrom", F.col("gid").cast("string")) for d in (t.transcript, t.exon, t.intron))

@@ -96,14 +96,19 @@ def scan_external(spark: SparkSession, path: str) -> DataFrame:
     return d.select(F.col(f"`{first}`").alias("tid"), F.inline(each)).filter("score IS NOT NULL")
 
 
+#: Columns of a table of matches that hold rates, in percent with two places; the others.
+TMAP_RATES = ("n_prec", "n_recall", "n_f1", "j_prec", "j_recall", "j_f1", "e_prec", "e_recall", "e_f1")
+TMAP_SCHEMA = "ref_id string, ref_gene string, ccode string, tid string, gid string, tid_num_exons int, ref_num_exons int, n_prec double, n_recall double, n_f1 double, j_prec double, j_recall double, j_f1 double, e_prec double, e_recall double, e_f1 double, distance long, location string"
+
+
 def write_tmap(tmap: DataFrame, path: str) -> None:
-    """Matches as a table with a header; rates in percent, rounded to two places."""
-    d = tmap.select(F.col("tid_a").alias("tid"), F.col("tid_b").alias("ref_id"), "ccode", (F.floor(F.coalesce("n_f1", F.lit(0.0)) * 10000 + 0.5) / 100).alias("n_f1"), "distance")
-    d.write.option("sep", "\t").option("header", True).option("nullValue", "-").csv(path)
+    """Matches as a table with a header; rates in percent, rounded to two places; what is missing is a dash."""
+    percent = {r: F.floor(F.col(r) * 10000 + 0.5) / 100 for r in TMAP_RATES}
+    tmap.withColumns(percent).write.option("sep", "\t").option("header", True).option("nullValue", "-").csv(path)
 
 
 def scan_tmap(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("sep", "\t").option("header", True).option("nullValue", "-").schema("tid string, ref_id string, ccode string, n_f1 double, distance long").csv(path)
+    return spark.read.option("sep", "\t").option("header", True).option("nullValue", "-").schema(TMAP_SCHEMA).csv(path)
 
 
 def union_assemblies(parts: list[tuple[str, DataFrame]]) -> DataFrame:
