@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators.model import islands
+from splicedf.operators.model import by_range, carried, islands
 
 
 def _sided(d: DataFrame, keys: list[str], tag: str) -> DataFrame:
@@ -64,21 +64,29 @@ def merged(d: DataFrame, keys: list[str]) -> DataFrame:
     return islands(d, keys, F.col("s") <= F.col("_top") + 1).groupBy(*keys, "island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("island")
 
 
+def _with_next(gene: DataFrame) -> DataFrame:
+    """gene, range by range, with next: the gene that follows by (s, e, gid) on its chromosome."""
+    d, cells = by_range(gene, ["chrom"])
+    own = F.struct("s", "e", "gid")
+    d = carried(d, ["chrom"], after=True, _far=(F.min(own), F.min))
+    return d.withColumn("next", F.coalesce(F.lead(own).over(Window.partitionBy(*cells).orderBy("s", "e", "gid")), "_far")).drop("_far")
+
+
 def gene_flank_distances(gene: DataFrame) -> DataFrame:
     """Each gene's neighbours by start on its chromosome, and the gaps to them; 0 if they overlap.
 
-    The gap before a gene is to the largest end so far. Genes of a chromosome are a window: there are some 10^5 at most.
+    The gap before a gene is to the largest end so far. A chromosome is swept range by range.
     """
-    w = Window.partitionBy("chrom").orderBy("s", "e", "gid")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    d = gene.withColumns({"prev_gid": F.max_by("gid", F.struct("e", "gid")).over(before), "_pe": F.max("e").over(before), "next_gid": F.lead("gid").over(w), "_ns": F.lead("s").over(w)})
-    return d.select("gid", "chrom", "prev_gid", F.greatest(F.lit(0), F.col("s") - F.col("_pe")).alias("prev_distance"), "next_gid", F.greatest(F.lit(0), F.col("_ns") - F.col("e")).alias("next_distance"))
+    d, end = _with_next(gene), F.struct("e", "gid")
+    d = carried(d, ["chrom"], _far=(F.max(end), F.max))
+    near = F.max(end).over(Window.partitionBy("chrom", "_cell").orderBy("s", "e", "gid").rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_near", near).withColumn("_prev", F.when(F.col("_near").isNull() | (F.col("_far") > F.col("_near")), F.col("_far")).otherwise(F.col("_near")))
+    return d.select("gid", "chrom", F.col("_prev.gid").alias("prev_gid"), F.greatest(F.lit(0), F.col("s") - F.col("_prev.e")).alias("prev_distance"), F.col("next.gid").alias("next_gid"), F.greatest(F.lit(0), F.col("next.s") - F.col("e")).alias("next_distance"))
 
 
 def intergenic_distances(gene: DataFrame) -> DataFrame:
     """Gap from each gene's end to the next gene's start; negative where they overlap."""
-    w = Window.partitionBy("chrom").orderBy("s", "e", "gid")
-    return gene.withColumn("distance", F.lead("s").over(w) - F.col("e")).filter("distance IS NOT NULL").select("chrom", "gid", "distance")
+    return _with_next(gene).filter("next IS NOT NULL").select("chrom", "gid", (F.col("next.s") - F.col("e")).alias("distance"))
 
 
 def covered_bases(a: DataFrame, b: DataFrame, keys: tuple = ("chrom",)) -> DataFrame:

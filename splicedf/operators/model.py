@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,12 +96,49 @@ def cdna_to_genome(exon: DataFrame, intervals: DataFrame) -> DataFrame:
     return d.select("tid", F.when(minus, F.col("e") - b + 1).otherwise(F.col("s") + a - 1).alias("s"), F.when(minus, F.col("e") - a + 1).otherwise(F.col("s") + b - 1).alias("e"))
 
 
+#: Bases of a range: what is swept along a chromosome is swept range by range.
+RANGE = 1 << 16
+
+
+def by_range(d: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """d with _cell, the range of its start, and the keys with it."""
+    return d.withColumn("_cell", F.floor(F.col("s") / RANGE)), [*keys, "_cell"]
+
+
+def carried(d: DataFrame, keys: list[str], after: bool = False, **values: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
+    """d (of by_range) with a column for each value, which (aggregate, function over windows) sums up all ranges before, or
+    all after.
+
+    A range is one row of the table that the window runs over, however many rows of d it has.
+    """
+    over = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(*((1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)))
+    table = d.groupBy(*keys, "_cell").agg(*[a.alias(f"_{k}") for k, (a, _) in values.items()])
+    table = table.select(*[F.col(k).alias(f"_key_{k}") for k in (*keys, "_cell")], *[f(F.col(f"_{k}")).over(over).alias(k) for k, (_, f) in values.items()])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in (*keys, "_cell")]
+    return d.join(table, reduce(lambda x, y: x & y, same)).drop(*[f"_key_{k}" for k in (*keys, "_cell")])
+
+
 def islands(d: DataFrame, keys: list[str], joins: Column) -> DataFrame:
     """d with island: rows of a key in order of s; a row starts an island unless `joins` holds. joins may use _top, the
-    largest e before it."""
-    w = Window.partitionBy(*keys).orderBy("s", "e")
-    d = d.withColumn("_top", F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    return d.withColumn("island", F.sum(F.when(F.col("_top").isNotNull() & joins, 0).otherwise(1)).over(w)).drop("_top")
+    largest e before it. Along chromosomes the sweep runs range by range, with the top and the count before each carried over."""
+    order = lambda w: w.orderBy("s", "e")
+    if "tid" in keys or "chrom" not in keys:
+        w = order(Window.partitionBy(*keys))
+        d = d.withColumn("_top", F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        return d.withColumn("island", F.sum(F.when(F.col("_top").isNotNull() & joins, 0).otherwise(1)).over(w)).drop("_top")
+    d, cells = by_range(d, keys)
+    w = order(Window.partitionBy(*cells))
+    d = carried(d, keys, _before=(F.max("e"), F.max)).withColumn("_top", F.greatest(F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_before"))
+    d = d.withColumn("_new", F.when(F.col("_top").isNotNull() & joins, 0).otherwise(1)).drop("_top", "_before")
+    d = carried(d, keys, _base=(F.sum("_new"), F.sum))
+    return d.withColumn("island", F.coalesce("_base", F.lit(0)) + F.sum("_new").over(w)).drop("_new", "_base", "_cell")
+
+
+def numbered(d: DataFrame, keys: list[str], *order: str, name: str = "n") -> DataFrame:
+    """d with its rows' numbers from 1 on in order of s and then `order`, by key, counted range by range."""
+    d, cells = by_range(d, keys)
+    d = carried(d, keys, _base=(F.count(F.lit(1)), F.sum))
+    return d.withColumn(name, F.coalesce("_base", F.lit(0)) + F.row_number().over(Window.partitionBy(*cells).orderBy("s", *order))).drop("_base", "_cell")
 
 
 def exons_from_cds_utr(segments: DataFrame) -> tuple[DataFrame, DataFrame]:

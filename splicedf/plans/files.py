@@ -38,12 +38,12 @@ def scan_fasta(t) -> DataFrame:
     return formats.scan_fasta(t.spark, fasta_file(t))
 
 
-@query("SELECT 't' || tid AS name, CAST(1 + length(seq) // 60 + CASE WHEN length(seq) % 60 > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_lines FROM cdna", CDNA)
+@query("SELECT 't' || tid AS name, CAST(1 + length(seq) // 60 + CASE WHEN length(seq) % 60 > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_lines, rtrim(regexp_replace(seq, '(.{60})', '\\1|', 'g'), '|') AS text FROM cdna", CDNA)
 def sink_fasta(t) -> DataFrame:
     """Lines of each record of the file: a header, and sequence lines of 60."""
-    d = t.spark.read.option("lineSep", ">").text(fasta_file(t)).filter("length(trim(value)) > 0")
-    n = F.size(F.filter(F.split("value", "\n"), lambda x: F.length(F.trim(x)) > 0))
-    return d.select(F.regexp_extract("value", "^(\\S+)", 1).alias("name"), n.cast("long").alias("n_lines"))
+    d = t.spark.read.option("lineSep", "\n>").text(fasta_file(t)).withColumn("value", F.ltrim("value", F.lit(">")))
+    lines = F.filter(F.split("value", "\n"), lambda x: F.length(F.trim(x)) > 0)
+    return d.select(F.regexp_extract("value", "^(\\S+)", 1).alias("name"), F.size(lines).cast("long").alias("n_lines"), F.array_join(F.slice(lines, 2, F.size(lines) - 1), "|").alias("text"))
 
 
 @query("SELECT 't' || tid AS name, cdna AS length FROM transcript")
@@ -53,12 +53,12 @@ def scan_fai(t) -> DataFrame:
     return formats.scan_fai(lines_of(t, d, "fai"))
 
 
-@query("SELECT CAST(query AS VARCHAR) AS query, CAST(target AS VARCHAR) AS target, CAST(90.5 AS DOUBLE) AS identity, qend - qstart + 1 AS length, qstart, qend, CAST('1e-' || nlog AS DOUBLE) AS evalue, CAST(bitscore AS DOUBLE) AS bitscore FROM hsp")
+@query("SELECT CAST(query AS VARCHAR) AS query, CAST(target AS VARCHAR) AS target, CAST(90.5 AS DOUBLE) AS identity, qend - qstart + 1 AS length, qstart, qend, CAST(1 AS BIGINT) AS tstart, n + 9 AS tend, CAST('1e-' || nlog AS DOUBLE) AS evalue, CAST(bitscore AS DOUBLE) AS bitscore, CASE WHEN n % 2 = 0 THEN CAST(95 AS DOUBLE) END AS ppos, CASE WHEN n % 2 = 0 THEN '10AB' || n END AS btop FROM hsp")
 def scan_blast_tab(t) -> DataFrame:
-    """Tabular hits; comment lines and lines of too few columns go."""
+    """Tabular hits, every second one with positives and a trace; comment lines and lines of too few columns go."""
     h = t.hsp
     text = lambda c: F.col(c).cast("string")
-    d = h.select(F.col("query").alias("tid"), F.concat_ws("\t", text("query"), text("target"), F.lit("90.5"), (F.col("qend") - F.col("qstart") + 1).cast("string"), F.lit("0"), F.lit("0"), text("qstart"), text("qend"), F.lit("1"), F.lit("9"), F.concat(F.lit("1e-"), text("nlog")), F.col("bitscore").cast("double").cast("string"), F.lit("95.0"), F.lit("10")).alias("value"))
+    d = h.select(F.col("query").alias("tid"), F.concat_ws("\t", text("query"), text("target"), F.lit("90.5"), (F.col("qend") - F.col("qstart") + 1).cast("string"), F.lit("0"), F.lit("0"), text("qstart"), text("qend"), F.lit("1"), (F.col("n") + 9).cast("string"), F.concat(F.lit("1e-"), text("nlog")), F.col("bitscore").cast("double").cast("string"), F.when(F.col("n") % 2 == 0, F.concat(F.lit("95.0\t10AB"), text("n")))).alias("value"))
     odd = t.transcript.select("tid", F.when(F.col("tid") % 2 == 0, "# hits of a query").otherwise("too\tfew").alias("value"))
     return formats.scan_blast_tab(lines_of(t, d.unionAll(odd), "hits"))
 
@@ -70,12 +70,12 @@ def scan_id_list(t) -> DataFrame:
     return formats.scan_id_list(lines_of(t, t.transcript.select("tid", own.alias("value")), "ids"))
 
 
-@query("SELECT CAST(tid AS VARCHAR) AS tid, 'length' AS source, CAST(cdna AS DOUBLE) AS score FROM transcript UNION ALL SELECT CAST(tid AS VARCHAR), 'exons', CAST(n_exons AS DOUBLE) FROM transcript WHERE tid % 7 <> 0")
+@query("SELECT CAST(tid AS VARCHAR) AS tid, 'length' AS source, CAST(cdna AS DOUBLE) AS score FROM transcript UNION ALL SELECT CAST(tid AS VARCHAR), 'exons', CASE WHEN tid % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(n_exons AS DOUBLE) END FROM transcript WHERE tid % 7 <> 0")
 def scan_external_tsv(t) -> DataFrame:
-    """A table with a header: the first column names the model, each other is a score; blank ones are left out."""
+    """A table with a header: the first column names the model, each other is a score; blank ones are left out, NaN is 0."""
     path = fresh(t, "external")
-    wide = t.transcript.select("tid", F.col("cdna").alias("length"), F.when(F.col("tid") % 7 != 0, F.col("n_exons")).alias("exons"))
-    wide.write.option("sep", "\t").option("header", True).csv(path)
+    exons = F.when(F.col("tid") % 7 == 0, None).when(F.col("tid") % 3 == 0, "NaN").otherwise(F.col("n_exons").cast("string"))
+    t.transcript.select("tid", F.col("cdna").alias("length"), exons.alias("exons")).write.option("sep", "\t").option("header", True).csv(path)
     return formats.scan_external(t.spark, path)
 
 
@@ -99,11 +99,12 @@ def scan_tmap(t) -> DataFrame:
     return formats.scan_tmap(t.spark, path).groupBy("ccode", F.col("ref_gene").isNull().alias("unmatched")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_f1"), 6).alias("mean_n_f1"))
 
 
-@query("SELECT 'a_' || tid AS tid, 'a_' || gid AS gid, 'a' AS label, chrom, s, e FROM exon WHERE tid % 2 = 0 UNION ALL SELECT 'b_' || tid, 'b_' || gid, 'b', chrom, s, e FROM exon WHERE tid % 3 = 0")
+@query("SELECT source || '_' || tid AS tid, source || '_' || gid AS gid, source AS label, chrom, s, e FROM exon")
 def union_assemblies(t) -> DataFrame:
-    """Two assemblies as files, read under labels that make their names unique."""
+    """An assembly of each source as a file, read under labels that make their names unique."""
     parts = []
-    for label, own in (("a", "tid % 2 = 0"), ("b", "tid % 3 = 0")):
+    for label in ("src0", "src1", "src2", "src3"):
+        own = F.col("source") == label
         rows = formats.scan_gtf(lines_of(t, formats.gtf_lines(t.transcript.filter(own), t.exon.filter(own)), f"assembly-{label}"))
         parts.append((label, rows.filter("feature = 'exon'")))
     return formats.union_assemblies(parts).select("tid", "gid", "label", "chrom", "s", "e")

@@ -121,10 +121,11 @@ def select_best_nonoverlapping(t) -> DataFrame:
     return graph.greedy_mis(x.select(F.col("tid").alias("node"), F.col("cdna").alias("priority")), e)
 
 
-@query("SELECT tid, chrom, strand, prefix || '.' || chrom || 'G' || CAST(n AS VARCHAR) AS final_id FROM (SELECT tid, chrom, strand, 'locus' AS prefix, row_number() OVER (PARTITION BY chrom ORDER BY s, e, tid) AS n FROM transcript WHERE n_exons > 1)")
+@query("SELECT tid, chrom, strand, prefix || '.' || chrom || 'G' || CAST(n AS VARCHAR) AS final_id FROM (SELECT tid, chrom, strand, 'locus' AS prefix, row_number() OVER (PARTITION BY chrom ORDER BY s, e, tid) AS n FROM transcript)")
 def locus_gene_numbering(t) -> DataFrame:
-    w = Window.partitionBy("chrom").orderBy("s", "e", "tid")
-    return t.transcript.filter("n_exons > 1").select("tid", "chrom", "strand", F.concat(F.lit("locus."), "chrom", F.lit("G"), F.row_number().over(w).cast("string")).alias("final_id"))
+    """All models, numbered along their chromosomes."""
+    d = model.numbered(t.transcript.select("tid", "chrom", "strand", "s", "e"), ["chrom"], "e", "tid")
+    return d.select("tid", "chrom", "strand", F.concat(F.lit("locus."), "chrom", F.lit("G"), F.col("n").cast("string")).alias("final_id"))
 
 
 @query("SELECT a.tid AS tid_a, b.tid AS tid_b, a.gid FROM transcript a JOIN transcript b ON a.gid = b.gid AND a.tid < b.tid AND a.s <= b.e AND b.s <= a.e")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from splicedf.operators.model import cds_phase
+
 FIELDS = ("chrom", "source", "feature", "s", "e", "score", "strand", "phase")
 
 
@@ -16,20 +18,61 @@ def _rows(lines: DataFrame) -> DataFrame:
     return d.select(F.col("_f")[0].alias("chrom"), blank(1).alias("source"), F.col("_f")[2].alias("feature"), F.col("_f")[3].cast("long").alias("s"), F.col("_f")[4].cast("long").alias("e"), blank(5).cast("double").alias("score"), F.when(F.col("_f")[6].isin("+", "-"), F.col("_f")[6]).alias("strand"), blank(7).cast("int").alias("phase"), F.col("_f")[8].alias("_a"))
 
 
+def _folded(keys: Column, values: Column) -> Column:
+    """A map of keys to values; the values of a repeated key are joined by commas, in order."""
+    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    return F.map_from_entries(F.transform(F.array_distinct(keys), lambda k: F.struct(k, F.array_join(F.transform(F.filter(pairs, lambda p: p.k == k), lambda p: p.v), ","))))
+
+
 def scan_gtf(lines: DataFrame) -> DataFrame:
-    """Rows with a map of attributes, each `key "value";` or `key value;`; rows without gene_id go."""
+    """Rows with a map of attributes, each `key "value";` or `key value;`; rows without gene_id go. Values of a repeated key,
+    such as tag, are joined by commas."""
     key, value = r'([A-Za-z_][A-Za-z0-9_]*) +(?:"([^"]*)"|([^";]+))', r'[A-Za-z_][A-Za-z0-9_]* +(?:"([^"]*)"|([^";]+))'
     k, quoted, bare = (F.regexp_extract_all("_a", F.lit(p), F.lit(i)) for p, i in ((key, 1), (value, 1), (value, 2)))
-    pairs = F.map_from_arrays(k, F.zip_with(quoted, bare, lambda q, b: F.when(F.length(b) > 0, F.trim(b)).otherwise(q)))
-    d = _rows(lines).withColumn("attributes", pairs).drop("_a")
+    d = _rows(lines).withColumns({"_k": k, "_v": F.zip_with(quoted, bare, lambda q, b: F.when(F.length(b) > 0, F.trim(b)).otherwise(q))})
+    d = d.withColumn("attributes", _folded(F.col("_k"), F.col("_v"))).drop("_a", "_k", "_v")
     return d.filter(F.col("attributes")["gene_id"].isNotNull()).withColumns({"gid": F.col("attributes")["gene_id"], "tid": F.col("attributes")["transcript_id"]})
 
 
+def _decoded(text: Column) -> Column:
+    """%-escapes as the characters they stand for; a plus sign is itself, and a text with a faulty escape stays as it is."""
+    return F.when(F.contains(text, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)).otherwise(text)
+
+
 def scan_gff3(lines: DataFrame) -> DataFrame:
-    """Rows with a map of attributes; a row of several parents is a row for each of them."""
-    d = _rows(lines).withColumn("attributes", F.str_to_map(F.regexp_replace("_a", ";+\\s*$", ""), F.lit(";"), F.lit("="))).drop("_a")
-    known = lambda *names: F.coalesce(*[F.col("attributes")[n] for n in names])
-    return d.withColumns({"id": known("ID", "Id", "id"), "parent": F.explode_outer(F.split(known("Parent", "PARENT", "parent"), ","))})
+    """Rows with a map of attributes, their escapes decoded; a row of several parents is a row for each of them. Values of a
+    repeated key are joined by commas; a comma within a parent's name is escaped in the file."""
+    parts = F.filter(F.transform(F.split("_a", ";"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
+    d = _rows(lines).withColumn("_p", parts).withColumns({"_k": F.transform("_p", lambda x: F.regexp_extract(x, "^([^=]*)", 1)), "_v": F.transform("_p", lambda x: F.regexp_extract(x, "^[^=]*=(.*)$", 1))})
+    d = d.withColumns({"_raw": _folded(F.col("_k"), F.col("_v")), "attributes": _folded(F.col("_k"), F.transform("_v", _decoded))}).drop("_a", "_p", "_k", "_v")
+    known = lambda c, *names: F.coalesce(*[F.col(c)[n] for n in names])
+    parents = F.transform(F.split(known("_raw", "Parent", "PARENT", "parent"), ","), _decoded)
+    return d.withColumns({"id": known("attributes", "ID", "Id", "id"), "parent": F.explode_outer(parents)}).drop("_raw")
+
+
+def scan_cdna_match(lines: DataFrame) -> DataFrame:
+    """Exons (tid, chrom, strand, s, e) of alignments in GFF3: each cDNA_match row is an exon of its ID, each match_part one of
+    its parent; where these are missing, of its target. Rows of one model on several chromosomes are models of their own."""
+    d = scan_gff3(lines).filter(F.col("feature").isin("cDNA_match", "EST_match", "match_part", "HSP"))
+    target = F.regexp_extract(F.coalesce(F.col("attributes")["Target"], F.lit("")), "^(\\S+)", 1)
+    name = F.when(F.col("feature").isin("match_part", "HSP"), F.coalesce("parent", "id")).otherwise(F.coalesce("id", "parent"))
+    d = d.select(F.coalesce(name, F.nullif(target, F.lit(""))).alias("tid"), "chrom", "strand", "s", "e").filter("tid IS NOT NULL").distinct()
+    places = d.groupBy("tid", "chrom").agg(F.lit(1).alias("_")).groupBy("tid").agg(F.count(F.lit(1)).alias("_n"))
+    d = d.join(places, "tid")
+    return d.select(F.when(F.col("_n") > 1, F.concat_ws(".", "tid", "chrom")).otherwise(F.col("tid")).alias("tid"), "chrom", "strand", "s", "e")
+
+
+def model_exons(rows: DataFrame, tid: str = "tid") -> DataFrame:
+    """Exons (tid, chrom, strand, s, e) of scanned rows: those that are written, else what coding and untranslated segments
+    make together."""
+    d = rows.select(F.col(tid).alias("tid"), "chrom", "strand", "feature", "s", "e").filter("tid IS NOT NULL")
+    exon = d.filter("lower(feature) = 'exon'").drop("feature")
+    parts = d.filter(F.lower("feature").isin("cds", "utr", "five_prime_utr", "three_prime_utr", "5utr", "3utr", "stop_codon")).join(exon.select("tid").distinct(), "tid", "left_anti").drop("feature")
+    w = Window.partitionBy("tid", "chrom", "strand").orderBy("s", "e")
+    top = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.sum(F.when(F.col("s") <= F.col("_top") + 1, 0).otherwise(1)).over(w)
+    made = parts.withColumn("_top", top).withColumn("_run", run).groupBy("tid", "chrom", "strand", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_run")
+    return exon.unionByName(made)
 
 
 def scan_bed12(lines: DataFrame) -> DataFrame:
@@ -63,10 +106,14 @@ def scan_sam_exons(lines: DataFrame) -> DataFrame:
 
 
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(name, seq, length). A record is one row, so as long as a contig is."""
-    d = spark.read.option("lineSep", ">").text(path).filter("length(trim(value)) > 0")
+    """(name, seq, length). A record starts with > at the start of a line and is one row, so as long as a contig is; > within
+    a header is text. What stands before the first record goes."""
+    d = spark.read.option("lineSep", "\n>").text(path)
+    # the first record of a file alone still has its sign
+    first = F.col("value").startswith(">")
+    d = d.withColumn("value", F.when(first, F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))).filter("length(trim(value)) > 0")
     seq = F.regexp_replace(F.regexp_replace("value", "^[^\\n]*\\n?", ""), "\\s+", "")
-    return d.select(F.regexp_extract("value", "^\\s*(\\S+)", 1).alias("name"), seq.alias("seq")).withColumn("length", F.length("seq"))
+    return d.select(F.regexp_extract("value", "^[ \\t]*(\\S*)", 1).alias("name"), seq.alias("seq")).withColumn("length", F.length("seq"))
 
 
 def scan_fai(lines: DataFrame) -> DataFrame:
@@ -75,11 +122,27 @@ def scan_fai(lines: DataFrame) -> DataFrame:
     return lines.filter(F.size(f) >= 2).select(f[0].alias("name"), f[1].cast("long").alias("length"))
 
 
-def scan_blast_tab(lines: DataFrame) -> DataFrame:
-    """Hits of twelve columns or more, as aligners write them; other lines go."""
+def blast_tab_rejects(lines: DataFrame) -> DataFrame:
+    """(value, reason) of the lines that scan_blast_tab leaves out: too few columns, or a number that is none."""
     f = F.split("value", "\t", -1)
-    d = lines.filter(~F.col("value").startswith("#") & (F.size(f) >= 12))
-    return d.select(f[0].alias("query"), f[1].alias("target"), f[2].cast("double").alias("identity"), f[3].cast("long").alias("length"), f[6].cast("long").alias("qstart"), f[7].cast("long").alias("qend"), f[10].cast("double").alias("evalue"), f[11].cast("double").alias("bitscore"))
+    numbers = [F.expr(f"try_cast(split(value, '\t', -1)[{i}] AS DOUBLE)").isNull() for i in (2, 3, 6, 7, 8, 9, 10, 11)]
+    bad = numbers[0]
+    for n in numbers[1:]:
+        bad = bad | n
+    d = lines.filter(~F.col("value").startswith("#") & (F.length(F.trim("value")) > 0))
+    return d.select("value", F.when(F.size(f) < 12, "columns").when(bad, "number").alias("reason")).filter("reason IS NOT NULL")
+
+
+def scan_blast_tab(lines: DataFrame) -> DataFrame:
+    """Hits of twelve columns or more, as aligners write them, with ppos (positives in percent) and btop (trace) where these
+    follow as thirteenth and fourteenth; blast_tab_rejects has the lines left out."""
+    d = lines.filter(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t", -1)).filter(F.size("_f") >= 12)
+    n = lambda i, kind: F.get("_f", F.lit(i)).try_cast(kind)
+    d = d.select(
+        F.col("_f")[0].alias("query"), F.col("_f")[1].alias("target"), n(2, "double").alias("identity"), n(3, "long").alias("length"), n(6, "long").alias("qstart"), n(7, "long").alias("qend"), n(8, "long").alias("tstart"), n(9, "long").alias("tend"),
+        n(10, "double").alias("evalue"), n(11, "double").alias("bitscore"), n(12, "double").alias("ppos"), F.get("_f", F.lit(13)).alias("btop"),
+    )
+    return d.filter("identity IS NOT NULL AND length IS NOT NULL AND qstart IS NOT NULL AND qend IS NOT NULL AND tstart IS NOT NULL AND tend IS NOT NULL AND evalue IS NOT NULL AND bitscore IS NOT NULL")
 
 
 def scan_id_list(lines: DataFrame) -> DataFrame:
@@ -88,12 +151,22 @@ def scan_id_list(lines: DataFrame) -> DataFrame:
     return lines.filter("trim(value) <> '' AND NOT startswith(trim(value), '#')").select(f[0].alias("tid"), F.get(f, F.lit(1)).alias("gid"))
 
 
-def scan_external(spark: SparkSession, path: str) -> DataFrame:
-    """(tid, source, score) of a table with a header, whose first column names the model."""
-    d = spark.read.option("sep", "\t").option("header", True).csv(path)
-    first, *names = d.columns
-    each = F.array(*[F.struct(F.lit(n).alias("source"), F.col(f"`{n}`").cast("double").alias("score")) for n in names])
-    return d.select(F.col(f"`{first}`").alias("tid"), F.inline(each)).filter("score IS NOT NULL")
+def scan_external(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """(tid, source, score) of a table with a header, whose first column names the model.
+
+    A header that repeats a name is an error. NaN is 0; a blank field is no score and has no row; a text is an error.
+    """
+    head = spark.read.text(path).limit(1).collect()
+    names = [n.strip() for n in head[0]["value"].rstrip("\r").split(sep)] if head else []
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"columns named twice: {', '.join(twice)}")
+    schema = ", ".join(f"c{i} string" for i in range(max(len(names), 1)))
+    d = spark.read.option("sep", sep).option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    value = lambda i: F.nullif(F.trim(f"c{i}"), F.lit("")).cast("double")
+    each = F.array(*[F.struct(F.lit(n).alias("source"), value(i + 1).alias("score")) for i, n in enumerate(names[1:])]) if len(names) > 1 else F.expr("CAST(array() AS array<struct<source: string, score: double>>)")
+    d = d.select(F.col("c0").alias("tid"), F.inline(each)).filter("score IS NOT NULL")
+    return d.withColumn("score", F.when(F.isnan("score"), 0.0).otherwise(F.col("score")))
 
 
 #: Columns of a table of matches that hold rates, in percent with two places; the others.
@@ -112,12 +185,18 @@ def scan_tmap(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_assemblies(parts: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows of several assemblies with label; their names begin with it, so that none occurs in two."""
+    """Rows of several assemblies with label, which their names begin with; an empty label leaves them as they are.
+
+    A model's name may occur in one assembly only: one that occurs in two is an error when the rows are read.
+    """
     out = None
-    for label, rows in parts:
-        named = rows.withColumns({"label": F.lit(label), "tid": F.concat(F.lit(f"{label}_"), "tid"), "gid": F.concat(F.lit(f"{label}_"), "gid")})
+    for n, (label, rows) in enumerate(parts):
+        name = lambda c: F.concat(F.lit(f"{label}_"), F.col(c)) if label else F.col(c)  # noqa: B023, E731
+        named = rows.withColumns({"label": F.lit(label), "tid": name("tid"), "gid": name("gid"), "_part": F.lit(n)})
         out = named if out is None else out.unionByName(named)
-    return out
+    of = out.groupBy("tid").agg(F.min("_part").alias("_low"), F.max("_part").alias("_high"))
+    one = F.when(F.col("_low") == F.col("_high"), True).otherwise(F.raise_error(F.concat(F.lit("model in two assemblies: "), F.col("tid"))))
+    return out.join(of, "tid").filter(one).drop("_part", "_low", "_high")
 
 
 def scan_regions(lines: DataFrame) -> DataFrame:
@@ -126,33 +205,60 @@ def scan_regions(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("value").rlike(p)).select(F.regexp_extract("value", p, 1).alias("chrom"), F.regexp_extract("value", p, 2).cast("long").alias("s"), F.regexp_extract("value", p, 3).cast("long").alias("e"))
 
 
-def _line(feature: str | Column, last: Column) -> Column:
+def _line(feature: str | Column, last: Column, phase: Column | None = None) -> Column:
     kind = F.lit(feature) if isinstance(feature, str) else feature
     dot = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
-    return F.concat_ws("\t", "chrom", dot("source"), kind, F.col("s").cast("string"), F.col("e").cast("string"), F.lit("."), dot("strand"), F.lit("."), last)
+    return F.concat_ws("\t", "chrom", dot("source"), kind, F.col("s").cast("string"), F.col("e").cast("string"), F.lit("."), dot("strand"), F.lit(".") if phase is None else phase.cast("string"), last)
+
+
+def _phased(exon: DataFrame, cds: DataFrame) -> DataFrame:
+    """Coding segments (tid, s, e) with the columns of their models' exons and the phase."""
+    own = exon.groupBy("tid").agg(*[F.min(c).alias(c) for c in ("gid", "chrom", "strand", "source")])
+    return cds_phase(cds.select("tid", "s", "e").join(own, "tid"))
 
 
-def gtf_lines(transcript: DataFrame, exon: DataFrame) -> DataFrame:
-    """(tid, at, value): the transcript's line, then its exons in order."""
+def gtf_lines(transcript: DataFrame, exon: DataFrame, cds: DataFrame | None = None) -> DataFrame:
+    """(tid, at, value): the transcript's line, then its exons in order, each followed by its coding segment with phase."""
     names = F.concat(F.lit('gene_id "'), F.col("gid").cast("string"), F.lit('"; transcript_id "'), F.col("tid").cast("string"), F.lit('";'))
-    return transcript.select("tid", F.lit(0).cast("long").alias("at"), _line("transcript", names).alias("value")).unionAll(exon.select("tid", F.col("s").alias("at"), _line("exon", names).alias("value")))
+    d = transcript.select("tid", F.lit(0).cast("long").alias("at"), _line("transcript", names).alias("value")).unionAll(exon.select("tid", F.col("s").alias("at"), _line("exon", names).alias("value")))
+    return d if cds is None else d.unionAll(_phased(exon, cds).select("tid", F.col("s").alias("at"), _line("CDS", names, F.col("phase")).alias("value")))
 
 
-def gff3_lines(transcript: DataFrame, exon: DataFrame) -> DataFrame:
-    own = F.concat(F.lit("ID="), F.col("tid").cast("string"), F.lit(";Parent="), F.col("gid").cast("string"))
-    part = F.concat(F.lit("Parent="), F.col("tid").cast("string"))
-    return transcript.select("tid", F.lit(0).cast("long").alias("at"), _line("mRNA", own).alias("value")).unionAll(exon.select("tid", F.col("s").alias("at"), _line("exon", part).alias("value")))
+def _escaped(c: Column) -> Column:
+    """A name as GFF3 wants it: %, ;, =, & and commas are escaped."""
+    for sign, code in (("%", "%25"), (";", "%3B"), ("=", "%3D"), ("&", "%26"), (",", "%2C")):
+        c = F.replace(c, F.lit(sign), F.lit(code))
+    return c
 
 
-def bed12_lines(transcript: DataFrame, exon: DataFrame) -> DataFrame:
-    """(tid, value): a line a transcript, without a thick part."""
+def gff3_lines(transcript: DataFrame, exon: DataFrame, cds: DataFrame | None = None) -> DataFrame:
+    tid, gid = _escaped(F.col("tid").cast("string")), _escaped(F.col("gid").cast("string"))
+    own, part = F.concat(F.lit("ID="), tid, F.lit(";Parent="), gid), F.concat(F.lit("Parent="), tid)
+    d = transcript.select("tid", F.lit(0).cast("long").alias("at"), _line("mRNA", own).alias("value")).unionAll(exon.select("tid", F.col("s").alias("at"), _line("exon", part).alias("value")))
+    return d if cds is None else d.unionAll(_phased(exon, cds).select("tid", F.col("s").alias("at"), _line("CDS", part, F.col("phase")).alias("value")))
+
+
+def bed12_lines(transcript: DataFrame, exon: DataFrame, cds: DataFrame | None = None) -> DataFrame:
+    """(tid, value): a line a transcript; its thick part is the coding span, empty for others."""
     blocks = exon.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("b"))
     listed = lambda f: F.array_join(F.transform("b", f), ",")
     d = transcript.join(blocks, "tid").withColumn("_s", F.col("s"))
+    if cds is not None:
+        d = d.join(cds.groupBy("tid").agg(F.min("s").alias("_cs"), F.max("e").alias("_ce")), "tid", "left")
     sizes = listed(lambda x: (x.e - x.s + 1).cast("string"))
     starts = F.array_join(F.transform(F.zip_with("b", F.array_repeat("_s", F.size("b")), lambda x, s: x.s - s), lambda x: x.cast("string")), ",")
     text = lambda c: c.cast("string")
-    return d.select("tid", F.concat_ws("\t", "chrom", text(F.col("s") - 1), text(F.col("e")), F.concat(F.lit("ID="), text(F.col("tid"))), F.lit("0"), F.coalesce("strand", F.lit(".")), text(F.col("s") - 1), text(F.col("s") - 1), F.lit("0"), text(F.size("b")), sizes, starts).alias("value"))
+    none = F.col("s") - 1
+    thick = (none, none) if cds is None else (F.coalesce(F.col("_cs") - 1, none), F.coalesce(F.col("_ce"), none))
+    name = F.concat(F.lit("ID="), text(F.col("tid")), F.lit("") if cds is None else F.when(F.col("_cs").isNotNull(), ";coding=True").otherwise(";coding=False"))
+    return d.select("tid", F.concat_ws("\t", "chrom", text(none), text(F.col("e")), name, F.lit("0"), F.coalesce("strand", F.lit(".")), text(thick[0]), text(thick[1]), F.lit("0"), text(F.size("b")), sizes, starts).alias("value"))
+
+
+def bed12_cds(blocks: DataFrame) -> DataFrame:
+    """Coding segments (tid, chrom, strand, s, e, phase) of scanned blocks: what lies within the thick part. The first one has
+    phase 0, as the format has no place for another."""
+    d = blocks.filter("thick_s <= thick_e AND s <= thick_e AND e >= thick_s")
+    return cds_phase(d.select(F.col("name").alias("tid"), "chrom", "strand", F.greatest("s", "thick_s").alias("s"), F.least("e", "thick_e").alias("e")))
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
