@@ -137,7 +137,7 @@ def genes_of(transcript: DataFrame) -> DataFrame:
 
 
 def candidate_genes(pred: DataFrame, ref: DataFrame, distance: int) -> DataFrame:
-    """(tid_a, gene, gs, ge, mode): the genes that a prediction is held against, and how.
+    """(tid_a, gene, gs, ge, mode, counts): the genes that a prediction is held against, how, and whether they may match.
 
     beside: none overlaps, so the nearest one. one: those of one place (bounds). many: those of several places; where some
     are on the prediction's strand, the others do not count. Of several places of which none is on the prediction's
@@ -154,7 +154,13 @@ def candidate_genes(pred: DataFrame, ref: DataFrame, distance: int) -> DataFrame
     keep = F.when(beside, F.col("_k") == 1).when((F.col("_n") == 1) | plain, True).when(F.col("_m") == 0, F.col("_first") == place).otherwise(F.col("_fits"))
     several = F.when(plain, F.col("_n")).otherwise(F.col("_m")) > 1
     d = d.filter(keep).withColumn("mode", F.when(beside, "beside").when(several, "many").otherwise("one")).withColumn("_same", F.max(same).over(w))
-    return d.filter((F.col("mode") != "many") | ~F.col("_same") | same).select("tid_a", F.col("gene_b").alias("gene"), F.col("s_b").alias("gs"), F.col("e_b").alias("ge"), "mode")
+    return d.select("tid_a", F.col("gene_b").alias("gene"), F.col("s_b").alias("gs"), F.col("e_b").alias("ge"), "mode", ((F.col("mode") != "many") | ~F.col("_same") | same).alias("counts"))
+
+
+def compared(pred: tuple, ref: tuple, distance: int = 2000) -> DataFrame:
+    """The pairs of all predictions with the transcripts of the genes that they are held against."""
+    own = genes_of(ref[0]).select("gene", F.col("tid").alias("tid_b"))
+    return compare_pairs(pred, ref, pairs=candidate_genes(pred[0], ref[0], distance).join(own, "gene"))
 
 
 #: The columns of a table of matches.
@@ -170,9 +176,7 @@ def tmap(pred: tuple, ref: tuple, distance: int = 2000, report_fusions: bool = T
     has a tenth of its bases covered; two or more such give a row each, with f before the code. Where there is one, it
     matches alone; where there is none, the best of what there is.
     """
-    own = genes_of(ref[0]).select("gene", F.col("tid").alias("tid_b"))
-    c = compare_pairs(pred, ref, pairs=candidate_genes(pred[0], ref[0], distance).join(own, "gene"))
-    many = F.col("mode") == "many"
+    c, many = compared(pred, ref, distance).filter("counts"), F.col("mode") == "many"
     order = [F.when(F.col("mode") == "beside", F.col("distance")).otherwise(0), *by_f1("tid_b")]
     c = c.withColumn("_g", F.row_number().over(Window.partitionBy("tid_a", "gene").orderBy(*order))).filter("_g = 1")
     c = c.withColumn("_weak", many & (F.col("j_f1") == 0) & (F.col("n_recall") < 0.1))

@@ -2,48 +2,82 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators import compare, evaluate, evidence, intervals, model
-from splicedf.plans.comparison import pair_sql, sides
-from splicedf.plans.evaluation import EXTERNAL, flags
+from splicedf.operators import compare, evaluate, evidence, graph, intervals, model
+from splicedf.operators.graph import _cut
+from splicedf.plans.comparison import HELD, pair_sql, sides
+from splicedf.plans.evaluation import COUNTS, EXTERNAL, RATES, flags, union_of
 from splicedf.plans.models import CHAIN, SITE
 from splicedf.plans.registry import query
+from splicedf.sources import formats
 
-LEVELS = (100, 95, 80)
-EQUAL = "j_f1 >= 0.999999 AND n_f1 >= {}"
+def compared(t) -> DataFrame:
+    """The pairs of the comparison, written once."""
+    return _cut(compare.compared(*sides(t)).select("tid_a", "tid_b", "strand_a", "strand_b", "j_f1", "n_f1", "ccode"))
 
 
-def found(side: str, key: str) -> str:
-    other = "true" if side == "tid_b" else "false"
-    of = f"(SELECT count(DISTINCT {key}) FROM transcript WHERE is_ref = {other})"
-    return " UNION ALL ".join(f"SELECT '{side[-1]}' AS side, {x} AS level, count(DISTINCT t.{key}) AS found, {of} AS total FROM coded c JOIN transcript t ON t.tid = c.{side} WHERE {EQUAL.format(x / 100 - 1e-6)}" for x in LEVELS)
+def single(t, pairs: DataFrame) -> DataFrame:
+    """The exons of unspliced reference models that an unspliced prediction matches on their strand."""
+    own = pairs.filter((F.col("ccode") == "_") & F.col("strand_a").eqNullSafe(F.col("strand_b"))).select(F.col("tid_b").alias("tid")).distinct()
+    return t.exon.join(own, "tid", "left_semi").select("chrom", "strand", "s", "e")
 
 
-def levels(t, key: str) -> DataFrame:
-    p, out = compare.compare_pairs(*sides(t)).select("tid_a", "tid_b", "j_f1", "n_f1"), []
-    gid = t.transcript.select("tid", "gid", "is_ref")
-    for side, ref in (("a", False), ("b", True)):
-        own = gid.filter(F.col("is_ref") == ref)
-        best = p.filter("j_f1 >= 0.999999").groupBy(F.col(f"tid_{side}").alias("tid")).agg(F.max("n_f1").alias("n_f1"))
-        d = own.join(best, "tid", "left").groupBy(key).agg(F.max("n_f1").alias("n_f1"))
-        at = [F.struct(F.lit(x).alias("level"), F.count(F.when(F.col("n_f1") >= x / 100 - 1e-6, 1)).alias("found")) for x in LEVELS]
-        d = d.agg(F.array(*at).alias("x"), F.count(F.lit(1)).alias("total"))
-        out.append(d.select(F.lit(side).alias("side"), F.inline_outer("x"), "total"))
-    return out[0].unionAll(out[1]).select("side", "level", "found", "total")
+def facts(t) -> DataFrame:
+    """All facts of the report: a row a level, each over features of its own."""
+    t.keep("exon")
+    pairs, is_ref = compared(t), F.col("tid") % 3 == 0
+    x = t.exon.select("chrom", "strand", "s", "e", "is_ref")
+    site, chain = model.splice_sites(t.intron).withColumn("is_ref", is_ref), model.intron_chain(t.intron).withColumn("is_ref", is_ref)
+    once = lambda d, k: d.select(F.lit(k).alias("key"), F.col("common").alias("common_ref"), F.col("common").alias("common_pred"), "pred", "ref")
+    many = lambda d, k: d.select(F.lit(k).alias("key"), "common_ref", "common_pred", "pred", "ref")
+    place, of_site, of_chain = ["chrom", "strand", "s", "e"], ["chrom", "strand", "pos", "kind"], ["chrom", "strand", "chain"]
+    rows = [
+        once(evaluate.base_level(intervals.covered_bases(x.filter("is_ref").drop("is_ref"), x.filter("NOT is_ref").drop("is_ref"), ("chrom", "strand"))), "base"),
+        once(evaluate.feature_confusion(t.exon, place), "exon"), once(evaluate.lenient_confusion(t.exon, single(t, pairs)), "exon_lenient"), once(evaluate.feature_confusion(site, of_site), "splice"), many(evaluate.weighted_confusion(t.intron, place), "intron"),
+        once(evaluate.feature_confusion(t.intron, place), "intron_nr"), many(evaluate.weighted_confusion(chain, of_chain), "chain"), once(evaluate.feature_confusion(chain, of_chain), "chain_nr"), evaluate.found_levels(t.transcript, pairs),
+    ]
+    return _cut(reduce(DataFrame.unionAll, rows))
 
 
-@query(found("tid_a", "tid") + " UNION ALL " + found("tid_b", "tid"), pair_sql(0))
+PAIRS = re.sub(r"\bsite\b", "own_site", pair_sql(0, held=HELD.replace(" WHERE mode <> 'many' OR sa = strand)", ")")))
+LENIENT = """ix AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY s) AS i, count(*) OVER (PARTITION BY tid) AS k FROM exon),
+lx AS (SELECT 'start' AS kind, chrom, strand, e AS a, 0 AS b, is_ref, true AS flag FROM ix WHERE k > 1 AND i = 1 UNION ALL SELECT 'end', chrom, strand, s, 0, is_ref, true FROM ix WHERE k > 1 AND i = k UNION ALL SELECT 'exon', chrom, strand, s, e, is_ref, k > 1 AND i > 1 AND i < k FROM ix
+  UNION ALL SELECT 'exon', x.chrom, x.strand, x.s, x.e, true, true FROM coded c JOIN exon x ON x.tid = c.tid_b WHERE c.ccode = '_' AND c.strand_a = c.strand_b),
+lf AS (SELECT bool_or(is_ref) AS in_ref, bool_or(NOT is_ref) AS in_pred FROM lx GROUP BY kind, chrom, strand, a, b HAVING bool_or(flag))"""
+PER_MODEL = """best AS (SELECT tid_a AS tid, false AS is_ref, max(CASE WHEN j_f1 >= 1 THEN n_f1 END) AS eq, max(n_f1) AS top, bool_or(ccode = '_') AS mono FROM coded GROUP BY tid_a UNION ALL SELECT tid_b, true, max(CASE WHEN j_f1 >= 1 THEN n_f1 END), max(n_f1), bool_or(ccode = '_') FROM coded GROUP BY tid_b),
+txs AS (SELECT t.tid, t.gid, t.is_ref, coalesce(eq, CAST(-1 AS DOUBLE)) AS eq, coalesce(top, 0) <= 0 AS private, coalesce(mono, false) AS mono FROM transcript t LEFT JOIN best b ON b.tid = t.tid AND b.is_ref = t.is_ref),
+gns AS (SELECT gid, is_ref, max(eq) AS eq, bool_and(private) AS private FROM txs GROUP BY gid, is_ref)"""
+
+
+def level_sql(source: str, kind: str, cond: str) -> str:
+    return f"SELECT '{kind}' AS key, count(CASE WHEN {cond} AND is_ref THEN 1 END) AS common_ref, count(CASE WHEN {cond} AND NOT is_ref THEN 1 END) AS common_pred, count(CASE WHEN NOT is_ref THEN 1 END) AS pred, count(CASE WHEN is_ref THEN 1 END) AS ref FROM {source}"
+
+
+LEVELS = {kind: " UNION ALL ".join(level_sql(source, f"{kind}{x}", f"eq >= CAST({x} AS DOUBLE) / 100") for x in evaluate.FOUND) for kind, source in (("tx", "txs"), ("gene", "gns"))}
+
+
+@query(LEVELS["tx"], f"{PAIRS}, {PER_MODEL}")
 def stats_transcript_level(t) -> DataFrame:
-    return levels(t, "tid")
+    t.keep("exon")
+    return evaluate.found_levels(t.transcript, compared(t)).filter("key IN ('tx100', 'tx95', 'tx80')")
 
 
-@query(found("tid_a", "gid") + " UNION ALL " + found("tid_b", "gid"), pair_sql(0))
+@query(LEVELS["gene"], f"{PAIRS}, {PER_MODEL}")
 def stats_gene_level(t) -> DataFrame:
-    return levels(t, "gid")
+    t.keep("exon")
+    return evaluate.found_levels(t.transcript, compared(t)).filter("key IN ('gene100', 'gene95', 'gene80')")
+
+
+@query(RATES, f"{PAIRS}, {LENIENT}, {COUNTS.replace('FROM flag', 'FROM lf')}")
+def stats_exon_lenient(t) -> DataFrame:
+    t.keep("exon")
+    return evaluate.lenient_confusion(t.exon, single(t, compared(t)))
 
 
 FEATURES = {"exon": ("exon", "chrom, strand, s, e"), "intron": ("intron", "chrom, strand, s, e"), "splice": ("sites", "chrom, strand, pos, kind"), "chain": ("chains", "chrom, strand, chain")}
@@ -65,9 +99,49 @@ def report(t) -> DataFrame:
     return reduce(DataFrame.unionAll, rows)
 
 
-@query(*report_sql())
+def facts_sql() -> str:
+    """Table expressions up to `facts`."""
+    more = [PAIRS, LENIENT, PER_MODEL, union_of("is_ref", "ur"), union_of("NOT is_ref", "up"), SOURCES]
+    rows = ["""SELECT 'base' AS key, c AS common_ref, c AS common_pred, (SELECT CAST(sum(e - s) AS BIGINT) FROM upm) AS pred, (SELECT CAST(sum(e - s) AS BIGINT) FROM urm) AS ref FROM
+  (SELECT CAST(sum(least(a.e, b.e) - greatest(a.s, b.s)) AS BIGINT) AS c FROM urm a JOIN upm b ON a.chrom = b.chrom AND a.strand = b.strand AND a.s < b.e AND b.s < a.e)"""]
+    for k, (source, keys) in FEATURES.items():
+        more.append(flags(source, keys).replace("flag AS", f"flag_{k} AS", 1))
+        n = "count(CASE WHEN in_ref AND in_pred THEN 1 END)"
+        rows.append(f"SELECT '{k}{'' if k in ('exon', 'splice') else '_nr'}', {n}, {n}, count(CASE WHEN in_pred THEN 1 END), count(CASE WHEN in_ref THEN 1 END) FROM flag_{k}")
+        if k in ("intron", "chain"):
+            rows.append(f"SELECT '{k}', CAST(sum(CASE WHEN in_ref AND in_pred THEN n_ref ELSE 0 END) AS BIGINT), CAST(sum(CASE WHEN in_ref AND in_pred THEN n_pred ELSE 0 END) AS BIGINT), CAST(sum(n_pred) AS BIGINT), CAST(sum(n_ref) AS BIGINT) FROM flag_{k}")
+    rows.append("SELECT 'exon_lenient', count(CASE WHEN in_ref AND in_pred THEN 1 END), count(CASE WHEN in_ref AND in_pred THEN 1 END), count(CASE WHEN in_pred THEN 1 END), count(CASE WHEN in_ref THEN 1 END) FROM lf")
+    rows += [LEVELS["tx"], LEVELS["gene"], level_sql("txs", "tx_private", "private"), level_sql("gns", "gene_private", "private"), level_sql("txs", "mono", "mono")]
+    return ", ".join([*more, f"facts AS MATERIALIZED ({' UNION ALL '.join(rows)})"])
+
+
+def rows_sql() -> str:
+    quote, null = (lambda x: f"'{x}'"), "CAST(NULL AS DOUBLE)"
+    listed = lambda rows, first: ", ".join(f"({i}, {', '.join(map(quote, r))})" for i, r in enumerate(rows, first))
+    per = lambda a, b: f"CASE WHEN {b} > 0 THEN CAST(100 AS DOUBLE) * {a} / {b} ELSE CAST(0 AS DOUBLE) END"
+    levels = f"SELECT i AS row, name, sn, pr, CASE WHEN sn + pr > 0 THEN 2 * sn * pr / (sn + pr) ELSE CAST(0 AS DOUBLE) END AS f1, CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS total, {null} AS percent FROM (SELECT i, name, {per('common_ref', 'ref')} AS sn, {per('common_pred', 'pred')} AS pr FROM (VALUES {listed(evaluate.LEVEL_ROWS, 1)}) v(i, name, k) JOIN facts ON key = k)"
+    counts = f"SELECT i, name, {null}, {null}, {null}, CAST(sum(CASE WHEN side = 'common_ref' THEN common_ref ELSE common_pred END) AS BIGINT), NULL, {null} FROM (VALUES {listed([(n, s, ','.join(k)) for n, s, k in evaluate.COUNT_ROWS], 15)}) v(i, name, side, k) JOIN facts ON list_contains(string_split(k, ','), key) GROUP BY i, name"
+    missed = f"SELECT i, name, {null}, {null}, {null}, total - c, total, CASE WHEN c > 0 THEN CAST(100 AS DOUBLE) * (total - c) / total ELSE CAST(0 AS DOUBLE) END FROM (SELECT i, name, CASE WHEN side = 'ref' THEN ref ELSE pred END AS total, CASE WHEN side = 'ref' THEN common_ref ELSE common_pred END AS c FROM (VALUES {listed(evaluate.MISSED_ROWS, 21)}) v(i, name, side, k) JOIN facts ON key = k)"
+    private = f"SELECT i, name, {null}, {null}, {null}, c, total, {per('c', 'total')} FROM (SELECT i, name, CASE WHEN side = 'ref' THEN ref ELSE pred END AS total, CASE WHEN side = 'ref' THEN common_ref ELSE common_pred END AS c FROM (VALUES {listed(evaluate.PRIVATE_ROWS, 27)}) v(i, name, side, k) JOIN facts ON key = k)"
+    return f"{levels} UNION ALL {counts} UNION ALL {missed} UNION ALL {private}"
+
+
+@query(rows_sql(), facts_sql())
 def compare_stats_report(t) -> DataFrame:
-    return report(t)
+    """The whole report of a comparison: fourteen levels, six counts, ten rows of what is missed or new."""
+    return evaluate.stats_report(facts(t))
+
+
+TWO = "format('{{:.2f}}', floor({0} * 100 + CAST(0.5 AS DOUBLE)) / 100)"
+LINES = f"""SELECT row, lpad(name, 34, ' ') || ': ' || CASE WHEN sn IS NOT NULL THEN {TWO.format('sn')} || '  ' || {TWO.format('pr')} || '  ' || {TWO.format('f1')} WHEN total IS NULL THEN CAST(n AS VARCHAR) ELSE n || '/' || total || '  (' || {TWO.format('percent')} || '%)' END AS value FROM ({rows_sql()})"""
+
+
+@query(LINES, facts_sql())
+def sink_stats(t) -> DataFrame:
+    """The report as the lines of its file, written in order and read back."""
+    path = f"{graph.shared_dir(t.spark)}/stats-{uuid.uuid4().hex}"
+    formats.write_stats(evaluate.stats_report(facts(t)), path)
+    return formats.scan_stats(t.spark, path)
 
 
 @query(f"SELECT {', '.join(f'max(CASE WHEN feature = {chr(39)}{k}{chr(39)} THEN sn END) AS {k}_sn, max(CASE WHEN feature = {chr(39)}{k}{chr(39)} THEN pr END) AS {k}_pr' for k in FEATURES)} FROM ({report_sql()[0]})", report_sql()[1])

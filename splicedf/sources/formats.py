@@ -184,6 +184,27 @@ def scan_tmap(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).option("nullValue", "-").schema(TMAP_SCHEMA).csv(path)
 
 
+#: Fixed value: the line above the levels of a report.
+STATS_HEAD = "-" * 33 + " |   Sn |   Pr |   F1 |"
+
+
+def write_stats(report: DataFrame, path: str) -> None:
+    """The rows of a report (row, name, sn, pr, f1, n, total, percent) as one text file: levels with two places, counts, and
+    counts of a total with their percentage. A report has thirty rows."""
+    two = lambda c: F.format_string("%.2f", F.floor(F.col(c) * 100 + 0.5) / 100)
+    text = F.when(F.col("sn").isNotNull(), F.concat_ws("  ", two("sn"), two("pr"), two("f1"))).when(F.col("total").isNull(), F.col("n").cast("string")).otherwise(F.concat(F.col("n").cast("string"), F.lit("/"), F.col("total").cast("string"), F.lit("  ("), two("percent"), F.lit("%)")))
+    d = report.select("row", F.concat(F.lpad("name", 34, " "), F.lit(": "), text).alias("value"))
+    head = F.when(F.col("row") == 1, F.array(F.lit(STATS_HEAD), F.col("value"))).otherwise(F.array("value"))
+    d.coalesce(1).sortWithinPartitions("row").select(F.explode(head).alias("value")).write.text(path)
+
+
+def scan_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(row, value) of the lines of a report's file, in order, without the head."""
+    d = spark.read.text(path, wholetext=True).filter("length(value) > 0")
+    lines = F.filter(F.split("value", "\n"), lambda x: (F.length(x) > 0) & (x != STATS_HEAD))
+    return d.select(F.posexplode(lines).alias("row", "value")).withColumn("row", F.col("row") + 1)
+
+
 def union_assemblies(parts: list[tuple[str, DataFrame]]) -> DataFrame:
     """Rows of several assemblies with label, which their names begin with; an empty label leaves them as they are.
 
