@@ -56,27 +56,32 @@ def gram_buckets(grams: Column) -> Column:
     return F.sort_array(F.transform(grams, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
 
 
-def gram_score(buckets: str, is_trusted: Column, counts: DataFrame) -> Column:
+def run_ends(buckets: str) -> Column:
+    """The places of the last of each run of equal buckets in a column of sorted ones."""
+    last = F.transform(buckets, lambda x, i: F.when(F.get(buckets, i + 1) == x, F.lit(-1)).otherwise(i))
+    return F.filter(last, lambda i: i >= 0)
+
+
+def gram_score(buckets: str, ends: str, is_trusted: Column, counts: DataFrame) -> Column:
     """The sum of the integer weights of the n-grams in a column of sorted buckets, as the other documents set them.
 
-    A document's own n-grams are left out of both multinomials. A run of c equal buckets is weighed once, times c. What the lambda needs of the row comes with the accumulator and is worked out once.
+    A document's own n-grams are left out of both multinomials. A run of c equal buckets, which `ends` has the last place
+    of, is weighed once, times c.
     """
     raw, good = [0] * BUCKETS, [0] * BUCKETS
     for r in counts.collect():  # BUCKETS rows at most, whatever the input
         raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
-    n, g = F.size(buckets), F.size(buckets) * is_trusted.cast("int")
-    share = (F.lit(sum(good)) - g) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
+    n, t = F.size(buckets), is_trusted.cast("int")
+    share = (F.lit(sum(good)) - n * t) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
     raw, good = numbers(raw), numbers(good)
 
-    def closed(a: Column) -> Column:
-        trusted = F.get(good, a.b) - a.c * a.t + F.lit(PRIOR)
-        expected = a.share * (F.get(raw, a.b) - a.c) + F.lit(PRIOR)
-        return a.s + F.when(a.c > 0, a.c * F.round(F.log(trusted / expected) * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))
+    def weight(end: Column, k: Column) -> Column:
+        b, c = F.get(buckets, end), end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
+        trusted = F.get(good, b) - c * t + F.lit(PRIOR)
+        expected = share * (F.get(raw, b) - c) + F.lit(PRIOR)
+        return c * F.rint(F.log(trusted / expected) * SCALE).cast("long")
 
-    part = lambda b, c, s, t, share: F.struct(b.alias("b"), c.alias("c"), s.alias("s"), t.alias("t"), share.alias("share"))
-    start = part(F.lit(-1), F.lit(0), F.lit(0).cast("long"), is_trusted.cast("int"), share)
-    same = lambda a, x: F.when(a.b == x, part(x, a.c + 1, a.s, a.t, a.share)).otherwise(part(x, F.lit(1), closed(a), a.t, a.share))
-    return F.aggregate(buckets, start, same, closed)
+    return F.aggregate(F.transform(ends, weight), F.lit(0).cast("long"), lambda s, x: s + x)
 
 
 def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -111,8 +116,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
     counts = gram_counts(docs, ids, id_col, text_col)
     d = base_columns(docs.join(ids, F.col(id_col) == F.col("_trusted"), "left"), text_col)
-    d = d.withColumn("_b", gram_buckets(gram_hashes("_h", "n_words")))
-    d = d.withColumns({"gram_score": gram_score("_b", F.col("_trusted").isNotNull(), counts), "_n": F.size("_b")}).drop("_b", "_h", "_trusted")
+    d = d.withColumn("_b", gram_buckets(gram_hashes("_h", "n_words"))).withColumn("_e", run_ends("_b"))
+    d = d.withColumns({"gram_score": gram_score("_b", "_e", F.col("_trusted").isNotNull(), counts), "_n": F.size("_b")}).drop("_b", "_e", "_h", "_trusted")
     limit = math.floor(threshold * SCALE)
     # the row number, always true, keeps a filter on the verdict from being pushed into the lambdas below
     d = d.withColumns({"mean_log_ratio": F.when(F.col("_n") > 0, F.col("gram_score") / F.col("_n") / SCALE), "kept": ~F.col("base_failed") & (F.col("gram_score") >= F.col("_n") * limit) & (F.monotonically_increasing_id() >= 0)})
