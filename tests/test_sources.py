@@ -104,3 +104,22 @@ def test_coding_segments_through_bed12(spark):
     assert [(r["s"], r["phase"]) for r in formats.scan_gtf(formats.gtf_lines(transcript, exon, cds)).filter("feature = 'CDS'").orderBy("s").collect()] == [(120, 0), (201, 0)]
     plain = formats.scan_bed12(formats.bed12_lines(transcript, exon))
     assert formats.bed12_cds(plain).collect() == [] and plain.count() == 2
+
+
+def test_frames_of_callers(spark):
+    from splicedf.sources import tables
+
+    bed = "t1\t0\t300\tID=x;phase=2;ORF_type=complete\t0\t+\t30\t90\t0\t1\t300\t0\nt2\t0\t300\tx\t0\t-\t0\t60\t0\t1\t300\t0\nt3\t0\t300\tx\t0\t+\t10\t10\t0\t1\t300\t0\ntrack x"
+    assert sorted(map(tuple, tables.scan_orf_bed12(lines(spark, bed)).collect())) == [("t1", 31, 90, "+", 2, True), ("t2", 1, 60, "-", 0, False)]
+    gff = "t1\tp\tCDS\t3\t50\t9.1\t-\t0\tID=1;partial=10\nt1\tp\tCDS\t60\t90\t.\t+\t.\tID=2\nt1\tp\texon\t60\t90\t.\t+\t.\tID=2"
+    assert sorted(map(tuple, tables.scan_orf_gff3(lines(spark, gff)).collect())) == [("t1", 3, 50, "-", 0, False), ("t1", 60, 90, "+", 0, True)]
+
+
+def test_sheets(spark):
+    from splicedf.sources import tables
+
+    good = "# file\tlabel\na.gtf\ta\tTrue\t1.5\tFalse\tTrue\n\nb.gtf\tb\n"
+    assert sorted(map(tuple, tables.scan_input_sheet(lines(spark, good)).collect())) == [("a.gtf", "a", True, 1.5, False, True), ("b.gtf", "b", False, 0.0, False, False)]
+    for bad, why in (("a.gtf\ta\nb.gtf\ta", "label named twice"), ("a.gtf\ta\na.gtf\tb", "file named twice"), ("a.gtf", "without label")):
+        with pytest.raises(Exception, match=why):
+            tables.scan_input_sheet(lines(spark, bad)).collect()
