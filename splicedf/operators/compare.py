@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splicedf.operators.evaluate import f1
 from splicedf.operators.intervals import join_overlap, join_within_distance
+from splicedf.operators.model import introns, remove_utrs, transcript_bounds
 
 PAIR = ["tid_a", "tid_b"]
 
@@ -120,6 +121,21 @@ def compare_pairs(pred: tuple, ref: tuple, distance: int = 0, strict_strand: boo
     return d.withColumn("ccode", class_code(strict_strand))
 
 
+def with_options(side: tuple, cds: DataFrame, exclude_utr: bool = False, protein_coding: bool = False) -> tuple:
+    """A side (transcript, exon, intron) of the comparison: coding models cut to their coding span, others as they are; or
+    coding models alone."""
+    exon = side[1]
+    coding = cds.select("tid").distinct()
+    if protein_coding:
+        exon = exon.join(coding, "tid", "left_semi")
+    if exclude_utr:
+        cut = remove_utrs(exon, cds.select("tid", "s", "e"))
+        rest = exon.columns
+        same = exon.groupBy("tid").agg(*[F.min(c).alias(c) for c in rest if c not in ("tid", "s", "e")])
+        exon = exon.join(coding, "tid", "left_anti").select(*rest).unionByName(cut.join(same, "tid").select(*rest))
+    return transcript_bounds(exon), exon, introns(exon)
+
+
 def by_f1(other: str) -> list[Column]:
     """Best first: junction and base F1, then distance, then a code on the same strand, then ids."""
     return [F.desc("j_f1"), F.desc("n_f1"), F.asc("distance"), F.col("ccode").isin("x", "X").asc(), F.asc(other)]

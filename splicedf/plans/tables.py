@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.operators import compare, model
-from splicedf.plans.comparison import best_sql, pair_sql, sides
+from splicedf.plans.comparison import MATCHES, best_sql, pair_sql, sides
 from splicedf.plans.files import fresh, lines_of
 from splicedf.plans.loci import ORF, orfs
 from splicedf.plans.registry import query
-from splicedf.sources import tables
+from splicedf.sources import formats, tables
 
 FRAME = "SELECT CAST(tid AS VARCHAR) AS tid, s, e, '+' AS strand, CAST({phase} AS INT) AS phase, tid % 2 = 0 AS complete FROM good"
 
@@ -75,3 +77,45 @@ def sink_refmap(t) -> DataFrame:
     path = fresh(t, "refmap")
     tables.write_refmap(compare.refmap(compare.compare_pairs(*sides(t)), model.transcript_bounds(t.exon).filter("is_ref")), path)
     return tables.scan_refmap(t.spark, path)
+
+
+HITS = "SELECT CAST(query AS VARCHAR) AS query, qlen, CAST(target AS VARCHAR) AS target, tlen, CAST(n AS INT) AS n, CAST(bitscore AS DOUBLE) AS bitscore, CAST('1e-' || nlog AS DOUBLE) AS evalue, qstart, qend, CAST(1 AS BIGINT) AS tstart, CAST(1 + n AS BIGINT) AS tend, (qend - qstart + 1) // 2 AS identities, (qend - qstart + 1) * 2 // 3 AS positives, qend - qstart + 1 AS length"
+
+
+@query(f"SELECT *, CAST(100 AS DOUBLE) * identities / length AS identity, CAST(100 AS DOUBLE) * positives / length AS ppos, true AS in_table FROM ({HITS} FROM (SELECT DISTINCT query, target, qstart, qend, nlog, bitscore, qlen, tlen, n FROM hsp))")
+def scan_blast_xml(t) -> DataFrame:
+    """Hits as nested XML, read back, each beside the same hit of a tabular file."""
+    d = t.hsp.distinct().selectExpr("query", "qlen", "target", "tlen", "n", "CAST(bitscore AS DOUBLE) AS bitscore", "CAST(concat('1e-', nlog) AS DOUBLE) AS evalue", "qstart", "qend", "1L AS tstart", "CAST(1 + n AS BIGINT) AS tend", "(qend - qstart + 1) div 2 AS identities", "(qend - qstart + 1) * 2 div 3 AS positives", "qend - qstart + 1 AS length")
+    path = fresh(t, "hits-xml")
+    tables.write_blast_xml(d, path)
+    columns = ("query", "target", "length", "qstart", "qend", "tstart", "tend", "evalue", "bitscore")
+    text = [F.col(c).cast("string") for c in columns]
+    tab = d.select(F.col("query").alias("tid"), F.concat_ws("\t", *text[:2], F.lit("50.0"), text[2], F.lit("0"), F.lit("0"), *text[3:]).alias("value"))
+    known = formats.scan_blast_tab(lines_of(t, tab, "hits")).select(*columns).distinct().withColumn("in_table", F.lit(True))
+    return tables.scan_blast_xml(t.spark, path).join(known, list(columns), "left").withColumn("in_table", F.coalesce("in_table", F.lit(False)))
+
+
+OWN = ("span AS (SELECT tid, min(s) AS cs, max(e) AS ce FROM cds GROUP BY tid), exon_o AS (SELECT x.tid, x.gid, x.chrom, x.strand, greatest(x.s, coalesce(cs, x.s)) AS s, least(x.e, coalesce(ce, x.e)) AS e, x.is_ref, x.source FROM exon x LEFT JOIN span c ON c.tid = x.tid WHERE {keep}), "
+       "transcript_o AS (SELECT tid, min(gid) AS gid, min(chrom) AS chrom, min(strand) AS strand, min(s) AS s, max(e) AS e, count(*) AS n_exons, CAST(sum(e - s + 1) AS BIGINT) AS cdna, bool_or(is_ref) AS is_ref FROM exon_o GROUP BY tid), "
+       "intron_o AS (SELECT * FROM (SELECT tid, gid, chrom, strand, is_ref, e + 1 AS s, lead(s) OVER (PARTITION BY tid ORDER BY s) - 1 AS e FROM exon_o) WHERE e IS NOT NULL), ")
+
+
+def under(keep: str) -> str:
+    """The matches, over models changed by an option."""
+    return OWN.format(keep=keep) + re.sub(r"\b(exon|transcript|intron)\b", r"\1_o", MATCHES)
+
+
+@query("SELECT * FROM tm", under("cs IS NULL OR (x.s <= ce AND x.e >= cs)"))
+def exclude_utr(t) -> DataFrame:
+    """The matches of models without their untranslated ends."""
+    t.keep("exon")
+    t.keep("cds")
+    return compare.tmap(*[compare.with_options(d, t.cds, exclude_utr=True) for d in sides(t)])
+
+
+@query("SELECT * FROM tm", under("cs IS NOT NULL").replace("greatest(x.s, coalesce(cs, x.s)) AS s, least(x.e, coalesce(ce, x.e)) AS e", "x.s, x.e"))
+def protein_coding(t) -> DataFrame:
+    """The matches of coding predictions with coding reference models."""
+    t.keep("exon")
+    t.keep("cds")
+    return compare.tmap(*[compare.with_options(d, t.cds, protein_coding=True) for d in sides(t)])

@@ -72,3 +72,29 @@ def write_refmap(refmap: DataFrame, path: str) -> None:
 
 def scan_refmap(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA").schema("ref_id string, ccode string, tid string, n_f1 double, j_f1 double").csv(path)
+
+
+#: The elements of an HSP, each with the column that it is.
+HSP = (("Hsp_num", "n", "int"), ("Hsp_bit-score", "bitscore", "double"), ("Hsp_evalue", "evalue", "double"), ("Hsp_query-from", "qstart", "long"), ("Hsp_query-to", "qend", "long"), ("Hsp_hit-from", "tstart", "long"), ("Hsp_hit-to", "tend", "long"), ("Hsp_identity", "identities", "long"), ("Hsp_positive", "positives", "long"), ("Hsp_align-len", "length", "long"))
+HSP_SCHEMA = ", ".join(f"`{e}`: {'bigint' if k == 'long' else k}" for e, _, k in HSP)
+ITERATION = f"`Iteration_query-def` string, `Iteration_query-len` bigint, Iteration_hits struct<Hit: array<struct<Hit_id: string, Hit_len: bigint, Hit_hsps: struct<Hsp: array<struct<{HSP_SCHEMA}>>>>>>"
+
+
+def write_blast_xml(hits: DataFrame, path: str) -> None:
+    """HSPs (query, qlen, target, tlen and the columns of HSP) as nested XML: a query, its hits, their HSPs."""
+    hsp = F.struct(*[F.col(c).cast(k).alias(e) for e, c, k in HSP])
+    of = hits.groupBy("query", "qlen", "target", "tlen").agg(F.struct(F.array_sort(F.collect_list(hsp)).alias("Hsp")).alias("h"))
+    one = F.struct(F.col("target").cast("string").alias("Hit_id"), F.col("tlen").cast("long").alias("Hit_len"), F.col("h").alias("Hit_hsps"))
+    d = of.groupBy(F.col("query").cast("string").alias("Iteration_query-def"), F.col("qlen").cast("long").alias("Iteration_query-len")).agg(F.struct(F.array_sort(F.collect_list(one)).alias("Hit")).alias("Iteration_hits"))
+    d.write.format("xml").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").save(path)
+
+
+def scan_blast_xml(spark: SparkSession, path: str) -> DataFrame:
+    """(query, qlen, target, tlen, the columns of HSP, identity, ppos) of XML hits, a row an HSP; identity and positives also in
+    percent of the aligned columns. Queries without hits have no row; a name ends at the first white space."""
+    d = spark.read.format("xml").option("rowTag", "Iteration").schema(ITERATION).load(path)
+    first = lambda c: F.regexp_extract(c, "^\\s*(\\S+)", 1)
+    d = d.select(first(F.col("`Iteration_query-def`")).alias("query"), F.col("`Iteration_query-len`").alias("qlen"), F.explode("Iteration_hits.Hit").alias("t"))
+    d = d.select("query", "qlen", first(F.col("t.Hit_id")).alias("target"), F.col("t.Hit_len").alias("tlen"), F.explode("t.Hit_hsps.Hsp").alias("h"))
+    d = d.select("query", "qlen", "target", "tlen", *[F.col("h")[e].alias(c) for e, c, _ in HSP])
+    return d.withColumns({"identity": 100.0 * F.col("identities") / F.col("length"), "ppos": 100.0 * F.col("positives") / F.col("length")})

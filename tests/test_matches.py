@@ -73,3 +73,14 @@ def test_given_pairs_keep_their_columns(spark, both):
     pairs = spark.createDataFrame([("fused", "r4", 7), ("fused", "r2", 8)], "tid_a string, tid_b string, mark int")
     got = {r["tid_b"]: r for r in compare.compare_pairs(*both, pairs=pairs).collect()}
     assert got["r4"]["ccode"] == "p" and got["r4"]["mark"] == 7 and got["r4"]["distance"] == 3700 and got["r2"]["j_common"] == 2 and got["r2"]["e_common"] == 2
+
+
+def test_options(spark, both):
+    cds = spark.createDataFrame([("r1", 150, 200), ("r1", 300, 350), ("fused", 1050, 1100), ("fused", 1200, 1250)], "tid string, s long, e long")
+    pred, ref = (compare.with_options(d, cds, exclude_utr=True) for d in both)
+    rows = lambda d, tid: sorted((r["s"], r["e"]) for r in d[1].filter(f"tid = '{tid}'").collect())
+    assert rows(ref, "r1") == [(150, 200), (300, 350)] and rows(pred, "fused") == [(1050, 1100), (1200, 1250)] and rows(ref, "r2") == [(1000, 1100), (1200, 1300)]
+    assert ref[0].filter("tid = 'r1'").first()["cdna"] == 102 and pred[2].filter("tid = 'fused'").count() == 1
+    assert [(r["ref_id"], r["ccode"]) for r in compare.tmap(pred, ref).filter("tid = 'fused'").collect()] == [("r2", "=")]
+    coding = [compare.with_options(d, cds, protein_coding=True) for d in both]
+    assert [(r["tid"], r["ref_id"]) for r in compare.tmap(*coding).collect()] == [("fused", "r1")]

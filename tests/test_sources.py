@@ -123,3 +123,21 @@ def test_sheets(spark):
     for bad, why in (("a.gtf\ta\nb.gtf\ta", "label named twice"), ("a.gtf\ta\na.gtf\tb", "file named twice"), ("a.gtf", "without label")):
         with pytest.raises(Exception, match=why):
             tables.scan_input_sheet(lines(spark, bad)).collect()
+
+
+def test_hits_in_xml(spark, tmp_path):
+    from splicedf.sources import tables
+
+    (tmp_path / "x.xml").write_text("""<?xml version="1.0"?>
+<BlastOutput><BlastOutput_program>blastx</BlastOutput_program><BlastOutput_iterations>
+<Iteration><Iteration_iter-num>1</Iteration_iter-num><Iteration_query-def>q1 a description</Iteration_query-def><Iteration_query-len>300</Iteration_query-len>
+<Iteration_hits><Hit><Hit_num>1</Hit_num><Hit_id>t1</Hit_id><Hit_len>90</Hit_len><Hit_hsps>
+<Hsp><Hsp_num>1</Hsp_num><Hsp_bit-score>50.5</Hsp_bit-score><Hsp_evalue>1e-09</Hsp_evalue><Hsp_query-from>1</Hsp_query-from><Hsp_query-to>90</Hsp_query-to><Hsp_hit-from>1</Hsp_hit-from><Hsp_hit-to>30</Hsp_hit-to><Hsp_identity>15</Hsp_identity><Hsp_positive>24</Hsp_positive><Hsp_align-len>30</Hsp_align-len><Hsp_midline>A+ C</Hsp_midline></Hsp>
+<Hsp><Hsp_num>2</Hsp_num><Hsp_bit-score>20</Hsp_bit-score><Hsp_evalue>0.1</Hsp_evalue><Hsp_query-from>100</Hsp_query-from><Hsp_query-to>120</Hsp_query-to><Hsp_hit-from>40</Hsp_hit-from><Hsp_hit-to>46</Hsp_hit-to><Hsp_identity>7</Hsp_identity><Hsp_positive>7</Hsp_positive><Hsp_align-len>7</Hsp_align-len></Hsp>
+</Hit_hsps></Hit></Iteration_hits></Iteration>
+<Iteration><Iteration_query-def>q2</Iteration_query-def><Iteration_query-len>30</Iteration_query-len><Iteration_hits></Iteration_hits></Iteration>
+<Iteration><Iteration_query-def>q3</Iteration_query-def><Iteration_query-len>30</Iteration_query-len></Iteration>
+</BlastOutput_iterations></BlastOutput>
+""")
+    got = sorted((r["query"], r["target"], r["tlen"], r["n"], r["bitscore"], r["evalue"], r["qend"], r["identity"], r["ppos"]) for r in tables.scan_blast_xml(spark, str(tmp_path / "x.xml")).collect())
+    assert got == [("q1", "t1", 90, 1, 50.5, 1e-9, 90, 50.0, 80.0), ("q1", "t1", 90, 2, 20.0, 0.1, 120, 100.0, 100.0)]
