@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,16 @@ MIN_WORDS, WINDOW, MAX_REPEATED = 10, 5, 20
 TRUSTED_ROWS = 1_000_000
 
 
+def joined_hashes(a: str, b: str, apart: int, n: Column) -> Column:
+    """Hashes of each of the first n of a with what stands `apart` places on in b; none if n is below 1."""
+    n = F.greatest(n.cast("int"), F.lit(0))
+    both = F.zip_with(F.slice(a, 1, n), F.slice(b, 1 + apart, n), lambda x, y: F.xxhash64(x, y))
+    return F.when(n > 0, both).otherwise(F.slice(a, 1, F.lit(0)))
+
+
 def gram_hashes(h: str, n: str) -> Column:
     """Hashes of the words and of the pairs of neighbours, from the words' hashes in column h."""
-    rest = F.greatest(F.col(n) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(h, 1, rest), F.slice(h, 2, rest), lambda a, b: F.xxhash64(a, b))
-    return F.concat(F.col(h), F.when(F.col(n) > 1, pairs).otherwise(F.slice(h, 1, F.lit(0))))
+    return F.concat(F.col(h), joined_hashes(h, h, 1, F.col(n) - 1))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -48,7 +55,7 @@ def gram_counts(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_co
 
 def numbers(values: list[int]) -> Column:
     """An array literal, folded into one value."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<double>")
 
 
 def gram_buckets(grams: Column) -> Column:
@@ -56,44 +63,43 @@ def gram_buckets(grams: Column) -> Column:
     return F.sort_array(F.transform(grams, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
 
 
-def run_ends(buckets: str) -> Column:
-    """The places of the last of each run of equal buckets in a column of sorted ones."""
+def runs(buckets: str) -> tuple[Column, Callable[[str], Column]]:
+    """The places of the last of each run of equal buckets in a column of sorted ones; and, from a column of these places, the
+    runs as (b, c), bucket and length."""
     last = F.transform(buckets, lambda x, i: F.when(F.get(buckets, i + 1) == x, F.lit(-1)).otherwise(i))
-    return F.filter(last, lambda i: i >= 0)
+    of = lambda ends: F.transform(ends, lambda e, k: F.struct(F.get(buckets, e).alias("b"), (e - F.coalesce(F.get(ends, k - 1), F.lit(-1))).cast("double").alias("c")))
+    return F.filter(last, lambda i: i >= 0), of
 
 
-def gram_score(buckets: str, ends: str, is_trusted: Column, counts: DataFrame) -> Column:
-    """The sum of the integer weights of the n-grams in a column of sorted buckets, as the other documents set them.
+def gram_score(runs: str, share: str, is_trusted: Column, counts: tuple[list[int], list[int]]) -> Column:
+    """The sum of the integer weights of the n-grams in a column of runs, as the other documents set them.
 
-    A document's own n-grams are left out of both multinomials. A run of c equal buckets, which `ends` has the last place
-    of, is weighed once, times c.
+    A document's own n-grams are left out of both multinomials. share is a column: the part that trusted n-grams are of all,
+    without the document's. Each run is weighed once, times its length.
     """
-    raw, good = [0] * BUCKETS, [0] * BUCKETS
-    for r in counts.collect():  # BUCKETS rows at most, whatever the input
-        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
-    n, t = F.size(buckets), is_trusted.cast("int")
-    share = (F.lit(sum(good)) - n * t) / F.greatest(F.lit(sum(raw)) - n, F.lit(1))
-    raw, good = numbers(raw), numbers(good)
+    raw, good = (numbers(x) for x in counts)
+    t, share = is_trusted.cast("double"), F.col(share)
 
-    def weight(end: Column, k: Column) -> Column:
-        b, c = F.get(buckets, end), end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
-        trusted = F.get(good, b) - c * t + F.lit(PRIOR)
-        expected = share * (F.get(raw, b) - c) + F.lit(PRIOR)
-        return c * F.rint(F.log(trusted / expected) * SCALE).cast("long")
+    def weight(r: Column) -> Column:
+        trusted = F.get(good, r.b) - r.c * t + F.lit(PRIOR)
+        expected = F.when(share > 0, share * (F.get(raw, r.b) - r.c) + F.lit(PRIOR)).otherwise(F.lit(PRIOR))
+        return r.c * F.rint(F.log(trusted / expected) * F.lit(float(SCALE)))
 
-    return F.aggregate(F.transform(ends, weight), F.lit(0).cast("long"), lambda s, x: s + x)
+    return F.aggregate(F.transform(runs, weight), F.lit(0.0), lambda s, x: s + x).cast("long")
 
 
 def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the words' hashes _h."""
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, the words' hashes _h and those of pairs of neighbours _pairs."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     d = docs.withColumns({"_p": pieces(F.col(text_col)), "_lines": lines, "n_symbols": (F.size(F.split(text, "[#*$%&|<>]", -1)) - 1).cast("long"), "_chars": F.char_length(text)})
     d = d.withColumns({"_h": F.transform(filled(F.col("_p")), lambda w: F.xxhash64(w)), "word_chars": (F.col("_chars") - F.size("_p") + 1).cast("long"), "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")}).drop("_p", "_lines", "_chars")
     d = d.withColumn("n_words", F.size("_h").cast("long"))
+    # a window of five words is a pair, the next pair but one, and the word after these
+    d = d.withColumn("_pairs", joined_hashes("_h", "_h", 1, F.col("n_words") - 1))
+    d = d.withColumn("_w", joined_hashes("_pairs", "_pairs", 2, F.col("n_words") - 3))
     last = F.col("n_words").cast("int") - WINDOW
-    window = lambda i: F.xxhash64(*[F.get("_h", i + k) for k in range(WINDOW)])
-    d = d.withColumn("_w", F.when(last >= 1, F.transform(F.sequence(F.lit(0), last), window)))
+    d = d.withColumn("_w", F.when(last >= 1, joined_hashes("_w", "_h", WINDOW - 1, last + 1)))
     # only texts with a window that returns are sorted
     twice = F.size(F.array_distinct("_w")) < F.size("_w")
     d = d.withColumn("_s", F.when(twice, F.array_sort(F.transform("_w", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))).drop("_w")
@@ -116,8 +122,14 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = F.broadcast(trusted) if small(trusted, TRUSTED_ROWS) else trusted
     counts = gram_counts(docs, ids, id_col, text_col)
     d = base_columns(docs.join(ids, F.col(id_col) == F.col("_trusted"), "left"), text_col)
-    d = d.withColumn("_b", gram_buckets(gram_hashes("_h", "n_words"))).withColumn("_e", run_ends("_b"))
-    d = d.withColumns({"gram_score": gram_score("_b", "_e", F.col("_trusted").isNotNull(), counts), "_n": F.size("_b")}).drop("_b", "_e", "_h", "_trusted")
+    raw, good = [0] * BUCKETS, [0] * BUCKETS
+    for r in counts.collect():  # BUCKETS rows at most, whatever the input
+        raw[r["b"]], good[r["b"]] = r["raw"], r["good"]
+    is_trusted, (ends, of) = F.col("_trusted").isNotNull(), runs("_b")
+    d = d.withColumn("_b", gram_buckets(F.concat("_h", "_pairs"))).withColumn("_n", F.size("_b"))
+    share = (F.lit(sum(good)) - F.col("_n") * is_trusted.cast("int")) / F.greatest(F.lit(sum(raw)) - F.col("_n"), F.lit(1))
+    d = d.withColumns({"_e": ends, "_share": share}).withColumn("_r", of("_e"))
+    d = d.withColumn("gram_score", gram_score("_r", "_share", is_trusted, (raw, good))).drop("_b", "_e", "_r", "_share", "_h", "_pairs", "_trusted")
     limit = math.floor(threshold * SCALE)
     # the row number, always true, keeps a filter on the verdict from being pushed into the lambdas below
     d = d.withColumns({"mean_log_ratio": F.when(F.col("_n") > 0, F.col("gram_score") / F.col("_n") / SCALE), "kept": ~F.col("base_failed") & (F.col("gram_score") >= F.col("_n") * limit) & (F.monotonically_increasing_id() >= 0)})
