@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from splicedf.operators.sequence import translated
+from splicedf.operators.sequence import START, STOPS, ends_with_stop, inner_stop
 
-#: Codons of the standard code.
-START, STOPS = "ATG", ("TAA", "TAG", "TGA")
 
+def first_codon(text: Column, *which: str) -> Column:
+    """The number, from 1, of the first codon of text that is one of these; null without one. One pass over the text."""
+    n = F.length(F.regexp_extract(text, f"(?s)^(?:...)*?(?:{'|'.join(which)})", 0))
+    return F.when(n > 0, (n / 3).cast("long"))
 
-def _inner_stop(protein: Column) -> Column:
-    at = F.instr(protein, "*")
-    return (at > 0) & (at < F.length(protein))
+
+def last_codon(text: Column, *which: str) -> Column:
+    """The same of the last one, counted back from the end of text: 1 is its last codon. Text is whole codons."""
+    n = F.length(F.regexp_extract(text, f"(?s)^(?:...)*(?:{'|'.join(which)})", 0))
+    return F.when(n > 0, ((F.length(text) - n) / 3).cast("long") + 1)
 
 
 def orf_validate(orf: DataFrame) -> DataFrame:
@@ -21,9 +25,9 @@ def orf_validate(orf: DataFrame) -> DataFrame:
     to the end of the sequence), stop (a stop before the last codon), or valid; and has_start, has_stop."""
     n = F.col("e") - F.col("s") + 1 - F.col("phase")
     own = F.substring("seq", F.col("s") + F.col("phase"), F.greatest(n, F.lit(0)))
-    d = orf.withColumn("_aa", translated(own))
-    reason = F.when((F.col("s") < 1) | (F.col("e") > F.length("seq")) | (F.col("s") > F.col("e")), "bounds").when((n % 3 != 0) & (F.col("e") < F.length("seq")), "length").when(_inner_stop(F.col("_aa")), "stop").otherwise("valid")
-    return d.select(*orf.columns, reason.alias("reason"), (F.substring("seq", F.col("s") + F.col("phase"), F.lit(3)) == START).alias("has_start"), F.col("_aa").endswith("*").alias("has_stop"))
+    d = orf.withColumn("_own", own)
+    reason = F.when((F.col("s") < 1) | (F.col("e") > F.length("seq")) | (F.col("s") > F.col("e")), "bounds").when((n % 3 != 0) & (F.col("e") < F.length("seq")), "length").when(inner_stop(F.col("_own")), "stop").otherwise("valid")
+    return d.select(*orf.columns, reason.alias("reason"), (F.substring("seq", F.col("s") + F.col("phase"), F.lit(3)) == START).alias("has_start"), ends_with_stop(F.col("_own")).alias("has_stop"))
 
 
 def orf_start_adjust(orf: DataFrame, max_regression: float = 0.2) -> DataFrame:
@@ -35,9 +39,8 @@ def orf_start_adjust(orf: DataFrame, max_regression: float = 0.2) -> DataFrame:
     """
     codon = lambda at: F.substring("seq", at, F.lit(3))
     s = F.col("s")
-    ks = lambda n: F.when(n >= 1, F.sequence(F.lit(1).cast("long"), n.cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    up = F.get(F.filter(ks(F.floor((s - 1) / 3)), lambda k: codon(s - 3 * k).isin(START, *STOPS)), F.lit(0))
-    down = F.get(F.filter(ks(F.floor(max_regression * F.floor((F.col("e") - s + 1) / 3))), lambda k: codon(s + 3 * k) == START), F.lit(0))
+    up = last_codon(F.substring("seq", (s - 1) % 3 + 1, F.greatest(s - 1 - (s - 1) % 3, F.lit(0))), START, *STOPS)
+    down = first_codon(F.substring("seq", s + 3, (3 * F.greatest(F.floor(max_regression * F.floor((F.col("e") - s + 1) / 3)), F.lit(0))).cast("int")), START)
     d = orf.withColumns({"_fine": codon(s) == START, "_up": up, "_down": down})
     to = F.when(F.col("_fine"), s).when(s > 3, s - 3 * F.col("_up")).otherwise(s + 3 * F.col("_down"))
     stopped = ~F.col("_fine") & (s > 3) & (F.substring("seq", s - 3 * F.col("_up"), F.lit(3)) != START)
@@ -48,5 +51,5 @@ def orf_start_adjust(orf: DataFrame, max_regression: float = 0.2) -> DataFrame:
 def orf_check(coding: DataFrame, may_strip: Column) -> DataFrame:
     """(tid, verdict) of coding sequences (tid, seq) from their first whole codon on: keep, or, for a stop within or a length
     that is no whole number of codons, strip where that is allowed, else reject."""
-    bad = (F.length("seq") % 3 != 0) | _inner_stop(translated(F.col("seq")))
+    bad = (F.length("seq") % 3 != 0) | inner_stop(F.col("seq"))
     return coding.select("tid", F.when(~bad, "keep").when(may_strip, "strip").otherwise("reject").alias("verdict"))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 CANONICAL = (("GT", "AG"), ("GC", "AG"), ("AT", "AC"))
 #: The standard genetic code by codon in the order T, C, A, G of each base; * is a stop.
 STANDARD = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+#: The codons in that order; start and stops.
+CODONS = tuple(a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG")
+START, STOPS = "ATG", ("TAA", "TAG", "TGA")
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -17,13 +20,24 @@ def reverse_complement(seq: Column) -> Column:
 
 def translated(seq: Column) -> Column:
     """The protein of a coding sequence, codon by codon; an incomplete last codon goes, an unknown one is X."""
-    def one(i: Column) -> Column:
-        codon = F.upper(F.substring(seq, i * 3 + 1, F.lit(3)))
-        a, b, c = (F.instr(F.lit("TCAG"), codon.substr(F.lit(k), F.lit(1))) for k in (1, 2, 3))
-        return F.when((a > 0) & (b > 0) & (c > 0), F.substring(F.lit(STANDARD), (a - 1) * 16 + (b - 1) * 4 + c, F.lit(1))).otherwise("X")
+    known = F.create_map(*[F.lit(x) for pair in zip(CODONS, STANDARD, strict=True) for x in pair])
+    return F.coalesce(F.array_join(F.transform(codons(seq), lambda c: F.coalesce(F.try_element_at(known, c), F.lit("X"))), ""), F.lit(""))
 
-    n = F.floor(F.length(seq) / 3)
-    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), one), "")).otherwise("")
+
+def codons(seq: Column) -> Column:
+    """The text in upper case in pieces of three letters, cut in one pass; what is left over goes."""
+    return F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0))
+
+
+def inner_stop(seq: Column) -> Column:
+    """Whether a whole codon before the last whole one is a stop, in one pass over the text."""
+    return F.coalesce(seq.rlike(f"(?is)^(?:...)*?(?:{'|'.join(STOPS)})..."), F.lit(False))
+
+
+def ends_with_stop(seq: Column) -> Column:
+    """Whether the last whole codon is a stop."""
+    n = F.length(seq)
+    return F.coalesce((n >= 3) & F.upper(F.substring(seq, n - n % 3 - 2, F.lit(3))).isin(*STOPS), F.lit(False))
 
 
 def cdna_sequence(pieces: DataFrame) -> DataFrame:

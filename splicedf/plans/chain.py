@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.operators import evidence, frames, loci as locus_steps, picking, sequence
-from splicedf.plans.loci import CANDIDATES, CDNA, CODE, CODING, ORF, PRIMARY, orfs, primaries, slice_of
+from splicedf.plans.loci import CANDIDATES, CDNA, CODE, CODING, ORF, PRIMARY, dna, orfs, primaries
 from splicedf.plans.models import isl
 from splicedf.plans.registry import query
 
@@ -89,7 +89,7 @@ def protein_sql(source: str, keys: str) -> str:
 
 
 def sequences(t) -> DataFrame:
-    return sequence.cdna_sequence(t.exon.select("tid", "strand", "s", slice_of("s", "e").alias("dna")))
+    return sequence.cdna_sequence(dna(t.exon))
 
 
 def phased(t) -> DataFrame:
@@ -122,5 +122,5 @@ def orf_start_adjust(t) -> DataFrame:
 @query("""SELECT r.tid, CASE WHEN length(r.seq) % 3 = 0 AND coalesce(strpos(aa, '*') NOT BETWEEN 1 AND length(aa) - 1, true) THEN 'keep' WHEN r.tid % 2 = 0 THEN 'strip' ELSE 'reject' END AS verdict FROM read r LEFT JOIN protein p ON p.tid = r.tid""", CODING + ", " + protein_sql("read", "tid"))
 def orf_check(t) -> DataFrame:
     """Models of even number may lose a faulty coding part, others are rejected."""
-    seq = sequence.cdna_sequence(t.cds.select("tid", "strand", "s", slice_of("s", "e").alias("dna")))
+    seq = sequence.cdna_sequence(dna(t.cds))
     return frames.orf_check(seq.select("tid", F.expr("substr(seq, CAST(1 + tid % 3 AS INT))").alias("seq")), F.col("tid") % 2 == 0)

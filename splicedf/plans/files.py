@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from splicedf.operators import compare, graph, sequence
 from splicedf.plans.comparison import MATCHES, sides
-from splicedf.plans.loci import CDNA, slice_of
+from splicedf.plans.loci import CDNA, dna
 from splicedf.plans.registry import query
 from splicedf.sources import formats
 
@@ -26,7 +26,7 @@ def lines_of(t, lines: DataFrame, name: str) -> DataFrame:
 
 
 def fasta_file(t) -> str:
-    seq = sequence.cdna_sequence(t.exon.select("tid", "strand", "s", slice_of("s", "e").alias("dna")))
+    seq = sequence.cdna_sequence(dna(t.exon))
     path = fresh(t, "fasta")
     formats.fasta_lines(seq.select(F.concat(F.lit("t"), F.col("tid").cast("string")).alias("name"), "seq")).select("value").write.text(path)
     return path

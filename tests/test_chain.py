@@ -119,3 +119,33 @@ def test_frames_small(spark):
     assert {x.tid: x.reason for x in frames.orf_validate(d).collect()} == {1: "valid", 2: "stop", 3: "length", 4: "bounds", 5: "valid", 6: "valid", 7: "valid", 8: "bounds"}
     got = {x.tid: (x.s, x.phase, x.stopped) for x in frames.orf_start_adjust(d.filter("tid IN (1, 5, 6, 7, 8)")).collect()}
     assert got == {1: (4, 0, False), 5: (1, 0, False), 6: (1, 0, True), 7: (1, 2, False), 8: (1, 0, False)}
+
+
+def test_codons_are_read_in_one_pass(spark):
+    """A sequence of a million letters: before, every codon was sought from the start of the text, which took hours."""
+    from time import monotonic
+
+    from splicedf.operators import sequence
+
+    text = F.concat(F.repeat(F.lit("GCAatg"), 150_000), F.lit("TGa"), F.lit("cc"))
+    began = monotonic()
+    d = spark.range(1).select(text.alias("seq")).select(sequence.translated(F.col("seq")).alias("p"), sequence.inner_stop(F.col("seq")).alias("inner"), sequence.ends_with_stop(F.col("seq")).alias("last"))
+    got = d.select(F.length("p"), F.substring("p", 1, 4), F.substring("p", -2, 2), "inner", "last").collect()[0]
+    assert tuple(got) == (300_001, "AMAM", "M*", False, True) and monotonic() - began < 60
+    orf = spark.createDataFrame([(1, 900_001, 900_900)], "tid long, s long, e long").withColumn("seq", F.concat(F.lit("ATG"), F.repeat(F.lit("GCA"), 400_000)))
+    assert tuple(frames.orf_start_adjust(orf).collect()[0])[2:] == (1, 900_900, 0, False)
+    few = spark.createDataFrame([("",), ("TA",), ("tag",), ("TAGA",), ("TAGAAA",), ("ATAGAA",), ("NNNtgaNNN",), (None,)], "seq string")
+    got = few.select(sequence.translated(F.col("seq")), sequence.inner_stop(F.col("seq")), sequence.ends_with_stop(F.col("seq"))).collect()
+    assert [tuple(x) for x in got] == [("", False, False), ("", False, False), ("*", False, True), ("*", False, True), ("*K", True, False), ("IE", False, False), ("X*X", True, False), ("", False, False)]
+
+
+def test_dna_is_cut_at_chunks(spark):
+    """The pieces of exons, also of long ones and of those past the end of the table, are the letters one by one."""
+    from splicedf.plans.loci import dna, slice_of
+
+    rows = [(1, "+", 10_000, 10_000), (2, "+", 10_499, 10_500), (3, "+", 12_345, 15_678), (4, "+", 5_013_400, 5_014_900), (5, "+", 70_000_123, 70_000_777)]
+    d = spark.createDataFrame(rows, "tid long, strand string, s long, e long")
+    got = {}
+    for x in sorted(dna(d).collect()):
+        got[x.tid] = got.get(x.tid, "") + x.dna
+    assert got == {x.tid: x.t for x in d.select("tid", slice_of("s", "e").alias("t")).collect()}
