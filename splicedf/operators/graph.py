@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,13 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table of the shared folder, which columns and packing make some times smaller than a checkpoint."""
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable; isolated nodes are their own component. Labels jump, so rounds are few."""
     e = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

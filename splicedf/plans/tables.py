@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splicedf.operators import compare, model
+from splicedf.operators import compare, graph, model
 from splicedf.plans.comparison import MATCHES, best_sql, pair_sql, sides
 from splicedf.plans.files import fresh, lines_of
 from splicedf.plans.loci import ORF, orfs
@@ -86,6 +86,7 @@ HITS = "SELECT CAST(query AS VARCHAR) AS query, qlen, CAST(target AS VARCHAR) AS
 def scan_blast_xml(t) -> DataFrame:
     """Hits as nested XML, read back, each beside the same hit of a tabular file."""
     d = t.hsp.distinct().selectExpr("query", "qlen", "target", "tlen", "n", "CAST(bitscore AS DOUBLE) AS bitscore", "CAST(concat('1e-', nlog) AS DOUBLE) AS evalue", "qstart", "qend", "1L AS tstart", "CAST(1 + n AS BIGINT) AS tend", "(qend - qstart + 1) div 2 AS identities", "(qend - qstart + 1) * 2 div 3 AS positives", "qend - qstart + 1 AS length")
+    d = graph.stored(d)
     path = fresh(t, "hits-xml")
     tables.write_blast_xml(d, path)
     columns = ("query", "target", "length", "qstart", "qend", "tstart", "tend", "evalue", "bitscore")

@@ -283,9 +283,9 @@ def bed12_cds(blocks: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """Text files in order of transcript, then of place."""
+    """Packed text files in order of transcript, then of place."""
     at = [c for c in ("tid", "at") if c in lines.columns]
-    lines.repartitionByRange(*at).sortWithinPartitions(*at).select("value").write.text(path)
+    lines.repartitionByRange(*at).sortWithinPartitions(*at).select("value").write.option("compression", "gzip").text(path)
 
 
 def fasta_lines(seqs: DataFrame, width: int = 60) -> DataFrame:

@@ -81,12 +81,14 @@ ITERATION = f"`Iteration_query-def` string, `Iteration_query-len` bigint, Iterat
 
 
 def write_blast_xml(hits: DataFrame, path: str) -> None:
-    """HSPs (query, qlen, target, tlen and the columns of HSP) as nested XML: a query, its hits, their HSPs."""
+    """HSPs (query, qlen, target, tlen and the columns of HSP) as nested XML: a query, its hits, their HSPs. Names of elements
+    are most of the text, so the files are packed; the hits of a query are brought together once."""
+    hits = hits.repartition("query")
     hsp = F.struct(*[F.col(c).cast(k).alias(e) for e, c, k in HSP])
     of = hits.groupBy("query", "qlen", "target", "tlen").agg(F.struct(F.array_sort(F.collect_list(hsp)).alias("Hsp")).alias("h"))
     one = F.struct(F.col("target").cast("string").alias("Hit_id"), F.col("tlen").cast("long").alias("Hit_len"), F.col("h").alias("Hit_hsps"))
     d = of.groupBy(F.col("query").cast("string").alias("Iteration_query-def"), F.col("qlen").cast("long").alias("Iteration_query-len")).agg(F.struct(F.array_sort(F.collect_list(one)).alias("Hit")).alias("Iteration_hits"))
-    d.write.format("xml").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").save(path)
+    d.write.format("xml").option("rootTag", "BlastOutput_iterations").option("rowTag", "Iteration").option("indent", "").option("compression", "gzip").save(path)
 
 
 def scan_blast_xml(spark: SparkSession, path: str) -> DataFrame:
