@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from splicedf.operators import graph
 from splicedf.plans.registry import query
 from splicedf.sources import formats
 
@@ -104,7 +105,7 @@ def scan_sam_exons(t) -> DataFrame:
 @query("SELECT CAST(tid AS VARCHAR) AS tid, CAST(gid AS VARCHAR) AS gid, 'exon' AS feature, chrom, s, e FROM exon UNION ALL SELECT CAST(tid AS VARCHAR), CAST(gid AS VARCHAR), 'CDS', chrom, s, e FROM cds")
 def convert_format(t) -> DataFrame:
     """GTF to rows, to BED12, to rows again, coding segments with them."""
-    rows = formats.scan_gtf(formats.gtf_lines(t.transcript, t.exon, t.cds))
+    rows = graph.stored(formats.scan_gtf(formats.gtf_lines(t.transcript, t.exon, t.cds)).select("tid", "gid", "feature", "chrom", "source", "strand", "s", "e"))
     of = lambda f: rows.filter(F.col("feature") == f)
     back = formats.scan_bed12(formats.bed12_lines(of("transcript"), of("exon"), of("CDS")))
     cds = formats.bed12_cds(back).select("tid", F.lit("CDS").alias("feature"), "chrom", "s", "e")

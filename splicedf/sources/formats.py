@@ -10,27 +10,31 @@ from splicedf.operators.model import cds_phase
 FIELDS = ("chrom", "source", "feature", "s", "e", "score", "strand", "phase")
 
 
+def _once(d: DataFrame, **columns: Column) -> DataFrame:
+    """d with these columns, made once a row: a plain column that later ones and filters use is made anew for each of them."""
+    return d.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def _rows(lines: DataFrame) -> DataFrame:
     """The nine tab fields of every line that has them; comments and other lines go."""
-    f = F.split("value", "\t", -1)
-    d = lines.filter(~F.col("value").startswith("#")).withColumn("_f", f).filter(F.size("_f") == 9)
+    d = _once(lines.filter(~F.col("value").startswith("#")), _f=F.split("value", "\t", -1)).filter(F.size("_f") == 9)
     blank = lambda i: F.when(F.col("_f")[i] != ".", F.col("_f")[i])
     return d.select(F.col("_f")[0].alias("chrom"), blank(1).alias("source"), F.col("_f")[2].alias("feature"), F.col("_f")[3].cast("long").alias("s"), F.col("_f")[4].cast("long").alias("e"), blank(5).cast("double").alias("score"), F.when(F.col("_f")[6].isin("+", "-"), F.col("_f")[6]).alias("strand"), blank(7).cast("int").alias("phase"), F.col("_f")[8].alias("_a"))
 
 
 def _folded(keys: Column, values: Column) -> Column:
     """A map of keys to values; the values of a repeated key are joined by commas, in order."""
-    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    return F.map_from_entries(F.transform(F.array_distinct(keys), lambda k: F.struct(k, F.array_join(F.transform(F.filter(pairs, lambda p: p.k == k), lambda p: p.v), ","))))
+    joined = F.map_from_entries(F.transform(F.array_distinct(keys), lambda k: F.struct(k, F.array_join(F.filter(values, lambda v, i: F.get(keys, i) == k), ","))))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(joined)
 
 
 def scan_gtf(lines: DataFrame) -> DataFrame:
     """Rows with a map of attributes, each `key "value";` or `key value;`; rows without gene_id go. Values of a repeated key,
     such as tag, are joined by commas."""
-    key, value = r'([A-Za-z_][A-Za-z0-9_]*) +(?:"([^"]*)"|([^";]+))', r'[A-Za-z_][A-Za-z0-9_]* +(?:"([^"]*)"|([^";]+))'
-    k, quoted, bare = (F.regexp_extract_all("_a", F.lit(p), F.lit(i)) for p, i in ((key, 1), (value, 1), (value, 2)))
-    d = _rows(lines).withColumns({"_k": k, "_v": F.zip_with(quoted, bare, lambda q, b: F.when(F.length(b) > 0, F.trim(b)).otherwise(q))})
-    d = d.withColumn("attributes", _folded(F.col("_k"), F.col("_v"))).drop("_a", "_k", "_v")
+    item = r'%s[A-Za-z_][A-Za-z0-9_]*%s +%s"[^"]*"|[^";]+)'
+    k, v = (F.regexp_extract_all("_a", F.lit(p), F.lit(1)) for p in (item % ("(", ")", "(?:"), item % ("", "", "(")))
+    bare = lambda x: F.when(F.startswith(x, F.lit('"')), F.replace(x, F.lit('"'), F.lit(""))).otherwise(F.trim(x))
+    d = _once(_once(_rows(lines), _k=k, _v=F.transform(v, bare)), attributes=_folded(F.col("_k"), F.col("_v"))).drop("_a", "_k", "_v")
     return d.filter(F.col("attributes")["gene_id"].isNotNull()).withColumns({"gid": F.col("attributes")["gene_id"], "tid": F.col("attributes")["transcript_id"]})
 
 
@@ -43,11 +47,14 @@ def scan_gff3(lines: DataFrame) -> DataFrame:
     """Rows with a map of attributes, their escapes decoded; a row of several parents is a row for each of them. Values of a
     repeated key are joined by commas; a comma within a parent's name is escaped in the file."""
     parts = F.filter(F.transform(F.split("_a", ";"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
-    d = _rows(lines).withColumn("_p", parts).withColumns({"_k": F.transform("_p", lambda x: F.regexp_extract(x, "^([^=]*)", 1)), "_v": F.transform("_p", lambda x: F.regexp_extract(x, "^[^=]*=(.*)$", 1))})
-    d = d.withColumns({"_raw": _folded(F.col("_k"), F.col("_v")), "attributes": _folded(F.col("_k"), F.transform("_v", _decoded))}).drop("_a", "_p", "_k", "_v")
+    escaped = lambda c, f: F.when(F.contains(F.col("_a"), F.lit("%")), f(c)).otherwise(c)
+    d = _once(_rows(lines), _p=parts)
+    d = _once(d, _k=F.transform("_p", lambda x: F.substring_index(x, "=", 1)), _v=F.transform("_p", lambda x: F.regexp_extract(x, "^[^=]*=(.*)$", 1)))
+    d = _once(d, _raw=_folded(F.col("_k"), F.col("_v")))
+    d = _once(d, attributes=F.when(F.contains("_a", F.lit("%")), _folded(F.col("_k"), F.transform("_v", _decoded))).otherwise(F.col("_raw")))
     known = lambda c, *names: F.coalesce(*[F.col(c)[n] for n in names])
-    parents = F.transform(F.split(known("_raw", "Parent", "PARENT", "parent"), ","), _decoded)
-    return d.withColumns({"id": known("attributes", "ID", "Id", "id"), "parent": F.explode_outer(parents)}).drop("_raw")
+    parents = escaped(F.split(known("_raw", "Parent", "PARENT", "parent"), ","), lambda c: F.transform(c, _decoded))
+    return d.withColumns({"id": known("attributes", "ID", "Id", "id"), "parent": F.explode_outer(parents)}).drop("_a", "_p", "_k", "_v", "_raw")
 
 
 def scan_cdna_match(lines: DataFrame) -> DataFrame:

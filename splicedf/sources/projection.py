@@ -77,8 +77,8 @@ class Tables:
 
     def keep(self, name: str) -> None:
         """Write a table to the shared folder, once; what is made of it from here on reads it from there."""
-        from splicedf.operators.graph import _cut
+        from splicedf.operators.graph import stored
 
         if name not in self.__dict__.setdefault("_kept", set()):
-            self.__dict__[name] = _cut(getattr(self, name))
+            self.__dict__[name] = stored(getattr(self, name))
             self._kept.add(name)
