@@ -51,9 +51,9 @@ def blast_metrics(hit: DataFrame, coverage: DataFrame) -> DataFrame:
 
 def verified_introns(intron: DataFrame, junction: DataFrame) -> DataFrame:
     """Introns with verified: a junction has the same ends, and the same strand or none."""
-    j = junction.select("chrom", "s", "e", F.col("strand").alias("_strand"))
-    hit = intron.join(j, ["chrom", "s", "e"]).filter("_strand IS NULL OR _strand = strand").select("tid", "s", "e").distinct().withColumn("verified", F.lit(True))
-    return intron.join(hit, ["tid", "s", "e"], "left").withColumn("verified", F.coalesce("verified", F.lit(False)))
+    place = junction.groupBy("chrom", "s", "e").agg(F.collect_set("strand").alias("_strands"), F.bool_or(F.col("strand").isNull()).alias("_any"))
+    hit = F.col("_any") | F.array_contains("_strands", F.col("strand"))
+    return intron.join(place, ["chrom", "s", "e"], "left").withColumn("verified", F.coalesce(hit, F.lit(False))).drop("_strands", "_any")
 
 
 def verified_intron_metrics(checked: DataFrame) -> DataFrame:

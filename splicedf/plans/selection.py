@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splicedf.operators import evidence, graph, intervals, loci
-from splicedf.plans.evaluation import VERIFIED
+from splicedf.plans.evaluation import VERIFIED, verified
 from splicedf.plans.loci import mis
 from splicedf.plans.models import isl
 from splicedf.plans.registry import query
@@ -14,7 +14,7 @@ from splicedf.plans.registry import query
 
 @query("SELECT t.tid, CASE WHEN coalesce(l.k, 0) = 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(o.n, 0) / CAST(l.k AS DOUBLE) END AS proportion FROM transcript t LEFT JOIN (SELECT tid, count(*) AS n FROM checked WHERE verified GROUP BY 1) o ON t.tid = o.tid LEFT JOIN (SELECT gid, count(*) AS k FROM (SELECT DISTINCT gid, s, e FROM checked WHERE verified) GROUP BY 1) l ON t.gid = l.gid", VERIFIED)
 def metrics_locus_verified(t) -> DataFrame:
-    good = evidence.verified_introns(t.intron, t.junction).filter("verified")
+    good = verified(t).filter("verified")
     own = good.groupBy("tid").agg(F.count(F.lit(1)).alias("n"))
     locus = good.select("gid", "s", "e").distinct().groupBy("gid").agg(F.count(F.lit(1)).alias("k"))
     d = t.transcript.select("tid", "gid").join(own, "tid", "left").join(locus, "gid", "left").na.fill(0, ["n", "k"])

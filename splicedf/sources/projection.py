@@ -30,9 +30,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slot = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("tid"), F.col("l_linenumber").alias("slot")).agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"))
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("tid"), F.col("o_custkey").alias("gid"))
+#: Rows that a task takes: with larger tables there are more tasks, not larger ones.
+TASK_ROWS = 300_000
+
+
+def spread(d: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """d by keys, in as many parts as `rows` rows ask for; in Spark's own number where that is enough."""
+    n = -(-rows // TASK_ROWS)
+    return d.repartition(*keys) if n <= int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")) else d.repartition(n, *keys)
+
+
+def exons(line: DataFrame, o: DataFrame, rows: int) -> DataFrame:
+    """Exons of lines and orders, by tid: what is grouped or joined by tid after that needs no other shuffle."""
+    slot = spread(line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), rows, "l_orderkey").groupBy(F.col("l_orderkey").alias("tid"), F.col("l_linenumber").alias("slot")).agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"))
+    o = o.select(F.col("o_orderkey").alias("tid"), F.col("o_custkey").alias("gid"))
     base = F.expr("10000 + (gid div 5) * 4000 + CASE WHEN tid % 41 = 0 AND slot >= 5 THEN 4000 ELSE 0 END")
     return slot.join(o, "tid").withColumn("base", base).select(
         "tid", "gid", F.expr("concat('chr', gid % 5 + 1)").alias("chrom"), F.expr("CASE WHEN (gid % 2 = 0) <> (tid % 17 = 0) THEN '+' ELSE '-' END").alias("strand"),
@@ -58,22 +69,26 @@ def junctions(intron: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """The projected tables of a folder, each made when asked for."""
+    """The projected tables of a folder, each made when asked for, and rows, the number of lines that they are made of."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def __getattr__(self, name: str) -> DataFrame:
+    def __getattr__(self, name: str) -> DataFrame | int:
         from splicedf.operators import model
 
         make = {
-            "exon": lambda: exons(self.spark, self.sf_dir), "transcript": lambda: model.transcript_bounds(self.exon), "gene": lambda: model.gene_bounds(self.transcript), "intron": lambda: model.introns(self.exon),
+            "exon": lambda: exons(*(table(self.spark, self.sf_dir, k) for k in ("lineitem", "orders")), self.rows), "rows": lambda: table(self.spark, self.sf_dir, "lineitem").count(), "transcript": lambda: model.transcript_bounds(self.exon), "gene": lambda: model.gene_bounds(self.transcript), "intron": lambda: model.introns(self.exon),
             "cds": lambda: coding(self.exon, self.transcript), "junction": lambda: junctions(self.intron), "hsp": lambda: hsps(self.spark, self.sf_dir, self.transcript),
         }
         if name not in make:
             raise AttributeError(name)
-        self.__dict__[name] = df = make[name]()
-        return df
+        self.__dict__[name] = made = make[name]()
+        return made
+
+    def spread(self, d: DataFrame, *keys: str) -> DataFrame:
+        """d, of about as many rows as there are exons or fewer, by keys."""
+        return spread(d, self.rows, *keys)
 
     def keep(self, name: str) -> None:
         """Write a table to the shared folder, once; what is made of it from here on reads it from there."""
