@@ -78,8 +78,9 @@ def score_raw(t) -> DataFrame:
        "frame AS (SELECT tid, n_exons, 31 AS s, cdna // 2 - 20 AS e, '+' AS side FROM transcript UNION ALL SELECT tid, n_exons, cdna // 2 + 10, cdna - 30, CASE WHEN tid % 2 = 0 THEN '-' ELSE '+' END FROM transcript)")
 def orf_strand_filter(t) -> DataFrame:
     """Models of several exons keep frames of their own strand; of those of one exon the longest frame decides the strand."""
-    x = t.transcript
-    d = x.selectExpr("tid", "n_exons", "CAST(31 AS BIGINT) AS s", "cdna div 2 - 20 AS e", "'+' AS side").unionAll(x.selectExpr("tid", "n_exons", "cdna div 2 + 10 AS s", "cdna - 30 AS e", "CASE WHEN tid % 2 = 0 THEN '-' ELSE '+' END AS side"))
+    frame = lambda s, e, side: F.struct(F.expr(s).alias("s"), F.expr(e).alias("e"), F.expr(side).alias("side"))
+    both = F.array(frame("CAST(31 AS BIGINT)", "cdna div 2 - 20", "'+'"), frame("cdna div 2 + 10", "cdna - 30", "CASE WHEN tid % 2 = 0 THEN '-' ELSE '+' END"))
+    d = t.transcript.select("tid", "n_exons", F.inline(both))
     best = F.first("side").over(Window.partitionBy("tid").orderBy(F.desc(F.col("e") - F.col("s")), "s"))
     d = d.withColumn("best", best)
     return d.filter("(n_exons > 1 AND side = '+') OR (n_exons = 1 AND side = best)").select("tid", "s", "e")
