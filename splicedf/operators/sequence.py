@@ -41,9 +41,11 @@ def ends_with_stop(seq: Column) -> Column:
 
 
 def cdna_sequence(pieces: DataFrame) -> DataFrame:
-    """(tid, seq) from exons with their genomic text (tid, strand, s, dna): joined in order, turned for the minus strand."""
-    d = pieces.groupBy("tid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "dna"))), lambda x: x.dna), "").alias("seq"), F.min("strand").alias("strand"))
-    return d.select("tid", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+    """(tid, seq) from pieces of exons with their text along the strand (tid, strand, s, dna): joined in order of place, against
+    it on the minus strand."""
+    at = F.when(F.col("strand") == "-", -F.col("s")).otherwise(F.col("s")).alias("at")
+    own = F.array_sort(F.collect_list(F.struct(at, "dna")))
+    return pieces.groupBy("tid").agg(F.array_join(own["dna"], "").alias("seq"))
 
 
 def splice_canonical(introns: DataFrame) -> DataFrame:

@@ -38,3 +38,28 @@ def test_verified_introns_small(spark):
 def test_frames_are_made_of_transcripts_once(spark):
     for name in ("orf_order", "orf_strand_filter"):
         assert plan(plans.QUERIES[name](spark, SF)).count("Relation") == 2
+
+
+def test_pieces_are_read_along_the_strand(spark):
+    from splicedf.operators import sequence
+    from splicedf.plans.loci import dna, slice_of
+
+    rows = [(1, "-", 10_000, 10_000), (2, "-", 12_345, 13_678), (2, "-", 14_499, 14_500), (3, "+", 12_345, 13_678), (3, "+", 14_499, 14_500), (4, None, 5_013_400, 5_014_900)]
+    d = spark.createDataFrame(rows, "tid long, strand string, s long, e long")
+    own = {(x.tid, x.s): x.t for x in d.select("tid", "s", slice_of("s", "e").alias("t")).collect()}
+    turned = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    want = {1: turned(own[1, 10_000]), 2: turned(own[2, 12_345] + own[2, 14_499]), 3: own[3, 12_345] + own[3, 14_499], 4: own[4, 5_013_400]}
+    assert dict(sequence.cdna_sequence(dna(d)).collect()) == want
+    assert "translate" not in plan(sequence.cdna_sequence(dna(d)).filter("tid > 0")).split("Join")[0]
+
+
+def test_fasta_lines_end_with_letters(spark, tmp_path):
+    from splicedf.sources import formats
+
+    seqs = {"a": "ACGT" * 30, "b": "", "c": "G" * 61, "d": "é" * 70, "e": "AC GT \t" * 20 + "A"}
+    d = formats.fasta_lines(spark.createDataFrame(list(seqs.items()), "name string, seq string"))
+    want = {k: ">" + k + "\n" + "\n".join(v[i : i + 60] for i in range(0, len(v), 60)) for k, v in seqs.items()}
+    assert dict(d.collect()) == want
+    d.select("value").write.text(str(tmp_path / "f"))
+    got = {x.name: (x.seq, x.length) for x in formats.scan_fasta(spark, str(tmp_path / "f")).collect()}
+    assert got == {k: (s := "".join(v.split()), len(s)) for k, v in seqs.items()}
