@@ -119,7 +119,9 @@ def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     # the first record of a file alone still has its sign
     first = F.col("value").startswith(">")
     d = d.withColumn("value", F.when(first, F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))).filter("length(trim(value)) > 0")
-    seq = F.regexp_replace(F.regexp_replace("value", "^[^\\n]*\\n?", ""), "\\s+", "")
+    end = F.instr("value", "\n")
+    rest = F.replace(F.when(end > 0, F.substring("value", end + 1, F.length("value"))).otherwise(""), F.lit("\n"), F.lit(""))
+    seq = F.when(rest.rlike("\\s"), F.regexp_replace(rest, "\\s+", "")).otherwise(rest)
     return d.select(F.regexp_extract("value", "^[ \\t]*(\\S*)", 1).alias("name"), seq.alias("seq")).withColumn("length", F.length("seq"))
 
 
@@ -296,8 +298,12 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 
 def fasta_lines(seqs: DataFrame, width: int = 60) -> DataFrame:
-    """(name, value): a record with its sequence wrapped."""
-    return seqs.select("name", F.concat(F.lit(">"), "name", F.lit("\n"), F.rtrim(F.regexp_replace("seq", f"(.{{{width}}})", "$1\n"))).alias("value"))
+    """(name, value): a record with its sequence wrapped. Letters of one byte are cut as bytes."""
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / width).cast("int")))
+    cut = F.array_join(F.transform(starts, lambda i: F.substring(F.col("seq").cast("binary"), i * width + 1, F.lit(width)).cast("string")), "\n")
+    plain = (F.octet_length("seq") == F.length("seq")) & ~F.contains("seq", F.lit("\n"))
+    wrapped = F.when(plain, cut).otherwise(F.regexp_replace("seq", f"(.{{{width}}})", "$1\n"))
+    return seqs.select("name", F.concat(F.lit(">"), "name", F.lit("\n"), F.rtrim(wrapped)).alias("value"))
 
 
 #: Columns of an assembly's summary, each with the row of its statistics file and the column there.
