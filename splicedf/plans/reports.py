@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splicedf.operators import compare, evaluate, evidence, graph, intervals, model
-from splicedf.operators.graph import _cut
+from splicedf.operators.graph import _cut, stored
 from splicedf.plans.comparison import HELD, pair_sql, sides
 from splicedf.plans.evaluation import COUNTS, EXTERNAL, RATES, flags, union_of
 from splicedf.plans.models import CHAIN, SITE
@@ -19,7 +19,7 @@ from splicedf.sources import formats
 
 def compared(t) -> DataFrame:
     """The pairs of the comparison, written once."""
-    return _cut(compare.compared(*sides(t)).select("tid_a", "tid_b", "strand_a", "strand_b", "j_f1", "n_f1", "ccode"))
+    return stored(compare.compared(*sides(t)).select("tid_a", "tid_b", "strand_a", "strand_b", "j_f1", "n_f1", "ccode"))
 
 
 def single(t, pairs: DataFrame) -> DataFrame:
@@ -29,8 +29,10 @@ def single(t, pairs: DataFrame) -> DataFrame:
 
 
 def facts(t) -> DataFrame:
-    """All facts of the report: a row a level, each over features of its own."""
-    t.keep("exon")
+    """All facts of the report: a row a level, each over features of its own. Exons, introns and transcripts are written once,
+    so that levels need not bring the exons of a transcript together again."""
+    for name in ("exon", "intron", "transcript"):
+        t.keep(name)
     pairs, is_ref = compared(t), F.col("tid") % 3 == 0
     x = t.exon.select("chrom", "strand", "s", "e", "is_ref")
     site, chain = model.splice_sites(t.intron).withColumn("is_ref", is_ref), model.intron_chain(t.intron).withColumn("is_ref", is_ref)

@@ -63,3 +63,18 @@ def test_fasta_lines_end_with_letters(spark, tmp_path):
     d.select("value").write.text(str(tmp_path / "f"))
     got = {x.name: (x.seq, x.length) for x in formats.scan_fasta(spark, str(tmp_path / "f")).collect()}
     assert got == {k: (s := "".join(v.split()), len(s)) for k, v in seqs.items()}
+
+
+def test_pairs_are_met_without_a_join_of_exons(spark):
+    from splicedf.operators import compare
+    from splicedf.plans.comparison import sides
+
+    t = projection.Tables(spark, SF)
+    own = {}
+    for x in t.exon.select("tid", "s", "e").collect():
+        own.setdefault(x.tid, []).append((x.s, x.e))
+    pairs = compare.compared(*sides(t))
+    assert plan(pairs).count("Generate explode(sequence") == 2  # those of the candidates; before, exons were met in bins as well
+    got = pairs.select("tid_a", "tid_b", "n_common").collect()
+    assert len(got) == len(set(got)) > 100
+    assert all(x.n_common == sum(max(0, min(a[1], b[1]) - max(a[0], b[0]) + 1) for a in own[x.tid_a] for b in own[x.tid_b]) for x in got)
