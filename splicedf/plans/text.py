@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splicedf.operators import graph
@@ -64,11 +64,13 @@ def scan_bed12(t) -> DataFrame:
 
 @query("SELECT CAST(tid AS VARCHAR) AS tid, chrom, strand, s, e FROM exon")
 def scan_cdna_match(t) -> DataFrame:
-    """Models as alignments: rows of one ID for those of even number, a match and its parts for others."""
+    """Models as alignments: rows of one ID for those of even number, a match and its parts for others, or the match alone
+    where a model has one exon."""
     text, own = (lambda c: F.col(c).cast("string")), F.col("tid").cast("string")
     even = F.col("tid") % 2 == 0
     row = lambda kind, last: F.concat_ws("\t", "chrom", "source", F.lit(kind) if isinstance(kind, str) else kind, text("s"), text("e"), F.lit("."), "strand", F.lit("."), last)
-    parts = t.exon.select(row(F.when(even, "cDNA_match").otherwise("match_part"), F.when(even, F.concat(F.lit("ID="), own, F.lit(";Target="), own, F.lit(" 1 9 +"))).otherwise(F.concat(F.lit("ID=p"), own, F.lit(";Parent="), own))).alias("value"))
+    several = t.exon.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("tid"))).filter(even | (F.col("_n") > 1))
+    parts = several.select(row(F.when(even, "cDNA_match").otherwise("match_part"), F.when(even, F.concat(F.lit("ID="), own, F.lit(";Target="), own, F.lit(" 1 9 +"))).otherwise(F.concat(F.lit("ID=p"), own, F.lit(";Parent="), own))).alias("value"))
     heads = t.transcript.filter(~even).select(row("match", F.concat(F.lit("ID="), own)).alias("value"))
     return formats.scan_cdna_match(heads.unionAll(parts)).select("tid", "chrom", "strand", "s", "e")
 

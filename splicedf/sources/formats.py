@@ -59,14 +59,17 @@ def scan_gff3(lines: DataFrame) -> DataFrame:
 
 def scan_cdna_match(lines: DataFrame) -> DataFrame:
     """Exons (tid, chrom, strand, s, e) of alignments in GFF3: each cDNA_match row is an exon of its ID, each match_part one of
-    its parent; where these are missing, of its target. Rows of one model on several chromosomes are models of their own."""
-    d = scan_gff3(lines).filter(F.col("feature").isin("cDNA_match", "EST_match", "match_part", "HSP"))
+    its parent; where these are missing, of its target. A match without parts is a model of one exon; of several that differ
+    under one name none is. Rows of one model on several chromosomes are models of their own."""
+    d = scan_gff3(lines).filter(F.col("feature").isin("cDNA_match", "EST_match", "match", "match_part", "HSP"))
     target = F.regexp_extract(F.coalesce(F.col("attributes")["Target"], F.lit("")), "^(\\S+)", 1)
     name = F.when(F.col("feature").isin("match_part", "HSP"), F.coalesce("parent", "id")).otherwise(F.coalesce("id", "parent"))
-    d = d.select(F.coalesce(name, F.nullif(target, F.lit(""))).alias("tid"), "chrom", "strand", "s", "e").filter("tid IS NOT NULL").distinct()
-    places = d.groupBy("tid", "chrom").agg(F.lit(1).alias("_")).groupBy("tid").agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(places, "tid")
-    return d.select(F.when(F.col("_n") > 1, F.concat_ws(".", "tid", "chrom")).otherwise(F.col("tid")).alias("tid"), "chrom", "strand", "s", "e")
+    part = F.col("feature") != "match"
+    d = d.select(F.coalesce(name, F.nullif(target, F.lit(""))).alias("tid"), "chrom", "strand", "s", "e", part.alias("_part")).filter("tid IS NOT NULL").repartition("tid").distinct()
+    of, w = Window.partitionBy("tid"), Window.partitionBy("tid", "chrom")
+    d = d.withColumns({"_parts": F.max("_part").over(w), "_k": F.count(F.lit(1)).over(w)}).filter("_part OR NOT _parts AND _k = 1")
+    several = F.min("chrom").over(of) != F.max("chrom").over(of)
+    return d.select(F.when(several, F.concat_ws(".", "tid", "chrom")).otherwise(F.col("tid")).alias("tid"), "chrom", "strand", "s", "e")
 
 
 def model_exons(rows: DataFrame, tid: str = "tid") -> DataFrame:

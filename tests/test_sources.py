@@ -57,6 +57,13 @@ def test_alignments_are_models(spark):
     assert {t: sorted(x) for t, x in got.items()} == {"m1": [("1", 5, 20), ("1", 40, 60)], "m2.2": [("2", 5, 9)], "m2.3": [("3", 5, 9)], "m3": [("1", 100, 120), ("1", 150, 200)], "only": [("1", 7, 9)]}
 
 
+def test_matches_without_parts_are_models_of_one_exon(spark):
+    row = "1\tx\t{}\t{}\t{}\t.\t+\t.\t{}".format
+    text = [row("match", 5, 20, "ID=a;Target=E 1 16 +"), row("match", 5, 20, "ID=a;Target=E 1 16 +"), row("match", 1, 90, "ID=b"), row("match_part", 1, 9, "Parent=b"), row("match", 40, 60, "Target=only 1 21 +"), row("match", 1, 9, "ID=c"), row("match", 20, 29, "ID=c"), row("match", 1, 9, "ID=d"), "2" + row("match", 1, 9, "ID=d")[1:]]
+    got = sorted((r["tid"], r["chrom"], r["s"], r["e"]) for r in formats.scan_cdna_match(lines(spark, "\n".join(text))).collect())
+    assert got == [("a", "1", 5, 20), ("b", "1", 1, 9), ("d.1", "1", 1, 9), ("d.2", "2", 1, 9), ("only", "1", 40, 60)]
+
+
 def test_exons_of_coding_and_untranslated_segments(spark):
     rows = [("a", "1", "+", f, s, e) for f, s, e in (("five_prime_UTR", 1, 9), ("CDS", 10, 20), ("CDS", 31, 40), ("three_prime_UTR", 41, 50))] + [("b", "1", "+", "exon", 1, 5), ("b", "1", "+", "CDS", 2, 5)]
     got = formats.model_exons(spark.createDataFrame(rows, "tid string, chrom string, strand string, feature string, s long, e long"))
