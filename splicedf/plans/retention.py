@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators import evidence, model, retention
+from splicedf.operators import evidence, graph, retention
 from splicedf.plans.registry import query
-from splicedf.sources import projection
 
 JOINED = """mexon AS MATERIALIZED (SELECT tid, gid, chrom, strand, min(s) AS s, max(e) AS e FROM (SELECT *, CASE WHEN tid % 7 = 0 THEN row_number() OVER (PARTITION BY tid ORDER BY s) // 2 ELSE row_number() OVER (PARTITION BY tid ORDER BY s) END AS g FROM exon) GROUP BY tid, gid, chrom, strand, g),
 mtx AS (SELECT tid, min(s) AS ts, max(e) AS te, sum(e - s + 1) AS cdna, min(gid) AS gid FROM mexon GROUP BY tid),
@@ -36,7 +35,10 @@ def joined(t) -> tuple[DataFrame, DataFrame]:
     n = F.row_number().over(Window.partitionBy("tid").orderBy("s"))
     g = F.when(F.col("tid") % 7 == 0, F.floor(n / 2)).otherwise(n)
     x = t.exon.withColumn("_g", g).groupBy("tid", "gid", "chrom", "strand", "is_ref", "source", "_g").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_g")
-    return x, projection.coding(x, model.transcript_bounds(x))
+    # as projection.coding, but lines are filtered last: so exons and coding segments are made of the same shuffled lines
+    w = Window.partitionBy("tid")
+    c = x.withColumns({"ts": F.min("s").over(w), "te": F.max("e").over(w)}).selectExpr("tid", "gid", "chrom", "strand", "greatest(s, ts + 30 + tid % 20) AS s", "CASE WHEN tid % 4 <> 0 THEN least(e, te - 30 - tid % 25) END AS e")
+    return x, c.filter("s <= e")
 
 
 @query("SELECT tid, s, e FROM kept", JOINED)
@@ -59,6 +61,7 @@ def metrics_retained(t) -> DataFrame:
 def as_remove_retained(t) -> DataFrame:
     """Isoforms beside the longest model of each gene, without retained introns and what they disrupt; as it takes rounds,
     tests have it by brute force."""
-    x, c = joined(t)
-    first = evidence.choose_best(model.transcript_bounds(x), ["gid"], "cdna")
-    return retention.as_remove_retained(x, c, "gid", first, keep_retained=False)
+    m = graph.stored(retention.models(*joined(t), "gid"))
+    cdna = F.aggregate("xs", F.lit(0).cast("long"), lambda n, x: n + x.e - x.s + 1)
+    first = evidence.choose_best(m.select("tid", "locus", cdna.alias("cdna")), ["locus"], "cdna")
+    return retention.remove_retained(m, first, keep_retained=False)
