@@ -40,12 +40,12 @@ def ends_with_stop(seq: Column) -> Column:
     return F.coalesce((n >= 3) & F.upper(F.substring(seq, n - n % 3 - 2, F.lit(3))).isin(*STOPS), F.lit(False))
 
 
-def cdna_sequence(pieces: DataFrame) -> DataFrame:
-    """(tid, seq) from pieces of exons with their text along the strand (tid, strand, s, dna): joined in order of place, against
+def cdna_sequence(pieces: DataFrame, *keys: str) -> DataFrame:
+    """(tid, keys, seq) from pieces of exons with their text along the strand (tid, strand, s, dna): joined in order of place, against
     it on the minus strand."""
     at = F.when(F.col("strand") == "-", -F.col("s")).otherwise(F.col("s")).alias("at")
     own = F.array_sort(F.collect_list(F.struct(at, "dna")))
-    return pieces.groupBy("tid").agg(F.array_join(own["dna"], "").alias("seq"))
+    return pieces.groupBy("tid", *keys).agg(F.array_join(own["dna"], "").alias("seq"))
 
 
 def splice_canonical(introns: DataFrame) -> DataFrame:

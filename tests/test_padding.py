@@ -161,3 +161,21 @@ def test_copies_and_equal_chains(spark):
     m = spark.createDataFrame(models, "tid long, locus string, score long, is_ref boolean, is_primary boolean")
     e = spark.createDataFrame([(i, *p) for i, v in exons.items() for p in v], "tid long, s long, e long")
     assert dict(map(tuple, padding.pad_redundancy(m, e).collect())) == {2: "copy", 3: "copy", 5: "copy", 4: "chain"}
+
+
+def test_long_chains_of_places(spark):
+    """Ninety models, each of which holds the start of the one before alone: before, sixty rounds were the most."""
+    models = {i: ("a", "+", [(5000 - 10 * i, 5012 - 10 * i), (6000, 6100)], i % 7 + 1) for i in range(90)} | {99: ("b", "+", [(100, 200)], 1)}
+    x, score = frames(spark, models)
+    low = side(models, lambda x: x, 2000, 2)
+    assert {r["tid"]: r["five"] for r in padding.pad_templates(x, score).collect() if r["five"] is not None} == low == {i: 89 for i in range(89)}
+
+
+@pytest.mark.parametrize("name,most", [("pad_extend", 30), ("pad_redundancy", 30), ("pad_orf_extend", 30)])
+def test_exons_are_brought_together_seldom(spark, name, most):
+    """Models are rows, so their exons are not joined and grouped by model again at every step."""
+    from splicedf import plans
+    from tests.conftest import SF
+
+    p = plans.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert p.count("Exchange hashpartitioning") <= most
