@@ -6,10 +6,10 @@ the parts their running sum. A part is one interval on the transcript, whatever
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators.model import exon_cumulative_offset, islands
+from splicedf.operators.model import exon_cumulative_offset
 
 NOSPLIT, STRINGENT, LENIENT, PERMISSIVE, SPLIT = MODES = ("NOSPLIT", "STRINGENT", "LENIENT", "PERMISSIVE", "SPLIT")
 MIN_OVERLAP, MIN_DUPLICATION, MAX_EVALUE = 0.5, 0.8, 1e-6
@@ -30,15 +30,16 @@ def frame_evidence(orf: DataFrame, hsp: DataFrame, min_overlap: float = MIN_OVER
     """
     w = Window.partitionBy("tid").orderBy("s", "e")
     good = hsp.filter(F.col("evalue") <= max_evalue).select("tid", "target", "tlen", "qs", "qe", "ts", "te")
-    found = orf.select("tid", "s", "e").join(good, "tid").filter(_shared("s", "e", "qs", "qe") >= min_overlap * (F.col("e") + 1 - F.col("s")))
-    n = found.groupBy("tid", "s", "e").agg(F.count_distinct("target", "tlen").alias("hits"))
-    d = orf.select("tid", "s", "e").join(n, ["tid", "s", "e"], "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
-    d = d.withColumns({"before": F.lag("hits").over(w), "_s": F.lag("s").over(w), "_e": F.lag("e").over(w)})
-    old = found.select("tid", "target", "tlen", F.col("s").alias("_s"), F.col("e").alias("_e"), *[F.col(c).alias(f"_{c}") for c in ("qs", "qe", "ts", "te")])
-    pairs = d.filter("hits > 0 AND before > 0").select("tid", "s", "e", "_s", "_e").join(found, ["tid", "s", "e"]).join(old, ["tid", "_s", "_e", "target", "tlen"])
-    on_target = _shared("ts", "te", "_ts", "_te")
-    held = (_shared("qs", "qe", "_qs", "_qe") >= 0) | ((on_target >= 0) & (on_target / F.col("tlen") < min_duplication))
-    return d.drop("_s", "_e").join(pairs.groupBy("tid", "s", "e").agg(F.bool_or(held).alias("joined")), ["tid", "s", "e"], "left").withColumn("joined", F.coalesce("joined", F.lit(False)))
+    found = orf.select("tid", "s", "e", F.row_number().over(w).alias("_k")).alias("f").join(good.alias("h"), (F.col("f.tid") == F.col("h.tid")) & (_shared("s", "e", "qs", "qe") >= min_overlap * (F.col("e") + 1 - F.col("s"))), "left").drop(F.col("h.tid"))
+    # a row a frame and target, with the HSPs between these two; what is grouped by tid and more stays where it is
+    d = found.groupBy("tid", "s", "e", "_k", "target", "tlen").agg(F.collect_list(F.struct("qs", "qe", "ts", "te")).alias("own"))
+    of = Window.partitionBy("tid", "target", "tlen").orderBy("_k")
+    shared = lambda a, b, s, e: F.least(a[e], b[e]) - F.greatest(a[s], b[s])
+    on_target = lambda a, b: (shared(a, b, "ts", "te") >= 0) & (shared(a, b, "ts", "te") / F.col("tlen") < min_duplication)
+    held = F.exists("own", lambda a: F.exists("_own", lambda b: (shared(a, b, "qs", "qe") >= 0) | on_target(a, b)))
+    d = d.withColumns({"_own": F.lag("own").over(of), "_beside": F.lag("_k").over(of) == F.col("_k") - 1})
+    d = d.groupBy("tid", "s", "e", "_k").agg(F.count("target").alias("hits"), F.coalesce(F.bool_or(F.col("target").isNotNull() & F.col("_beside") & held), F.lit(False)).alias("joined"))
+    return d.withColumn("before", F.lag("hits").over(w)).select("tid", "s", "e", "hits", "before", "joined")
 
 
 def chimera_decide(evidence: DataFrame, mode: str = STRINGENT) -> DataFrame:
@@ -81,10 +82,11 @@ def chimera_split(exon: DataFrame, decided: DataFrame) -> tuple[DataFrame, DataF
     return d.select("tid", "part", "s", "e").join(clash, "tid", "left_anti"), frames.join(clash, "tid", "left_anti"), clash
 
 
-def _covered(d: DataFrame, keys: list[str], s: str, e: str, name: str) -> DataFrame:
-    """Bounds and bases of the merged intervals; intervals that share a single base stay apart, so it counts twice."""
-    m = islands(d.select(*keys, F.col(s).alias("s"), F.col(e).alias("e")), keys, F.col("s") < F.col("_top")).groupBy(*keys, "island").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    return m.groupBy(*keys).agg(F.min("s").alias(f"{name}_start"), F.max("e").alias(f"{name}_end"), F.sum(F.col("e") - F.col("s") + 1).alias(f"{name}_aligned"))
+def _new_bases(keys: list[str], s: str, e: str) -> Column:
+    """The bases that an interval adds to those of its key before it, in order; intervals that share a single base stay apart,
+    so it counts twice. The sum is the length of the merged intervals."""
+    top = F.max(e).over(Window.partitionBy(*keys).orderBy(s, e).rowsBetween(Window.unboundedPreceding, -1))
+    return F.when(F.col(s) < top, F.greatest(F.lit(0), F.col(e) - top)).otherwise(F.col(e) - F.col(s) + 1)
 
 
 def chimera_hits(hsp: DataFrame, decided: DataFrame, min_overlap: float = MIN_OVERLAP) -> DataFrame:
@@ -95,14 +97,16 @@ def chimera_hits(hsp: DataFrame, decided: DataFrame, min_overlap: float = MIN_OV
     that reach it. In a match, letters and bars are identical positions and a plus sign is a positive one; these and an
     underscore go one position on, other signs do not. A position counts once, however many HSPs say so.
     """
-    keys = ["tid", "part", "target"]
+    keys, of = ["tid", "part", "target"], Window.partitionBy("tid", "target")
     parts = decided.select("tid", "part", "from", "to").distinct()
-    reach = hsp.groupBy("tid", "target").agg(F.min("qs").alias("_s"), F.max("qe").alias("_e"))
-    d = hsp.join(reach, ["tid", "target"]).join(parts, "tid").filter((_shared("_s", "_e", "from", "to") > 0) & (_shared("qs", "qe", "from", "to") >= min_overlap * (F.col("to") + 1 - F.col("from"))))
-    steps = d.select(*keys, "qs", F.posexplode(F.split(F.regexp_replace("match", "[^A-Za-z|+_]", ""), "")).alias("i", "c")).filter("c NOT IN ('', '_')")
-    at = steps.groupBy(*keys, (F.col("qs") + F.col("i")).alias("at")).agg(F.bool_or(F.col("c") != "+").alias("same"))
-    counts = at.groupBy(*keys).agg(F.count(F.lit(1)).alias("_p"), F.count(F.when(F.col("same"), 1)).alias("_i"))
-    best = d.groupBy(*keys).agg(F.max("bits").alias("bits"), F.min("evalue").alias("evalue"), F.count(F.lit(1)).alias("n_hsps"))
-    out = best.join(_covered(d, keys, "qs", "qe", "query"), keys).join(_covered(d, keys, "ts", "te", "target"), keys).join(counts, keys, "left")
-    share = lambda c: F.coalesce(F.col(c), F.lit(0)) * 100 / F.col("query_aligned")
-    return out.withColumns({"identity": share("_i"), "positives": share("_p")}).drop("_i", "_p")
+    d = hsp.withColumns({"_s": F.min("qs").over(of), "_e": F.max("qe").over(of)}).join(parts, "tid").filter((_shared("_s", "_e", "from", "to") > 0) & (_shared("qs", "qe", "from", "to") >= min_overlap * (F.col("to") + 1 - F.col("from"))))
+    d = d.withColumn("_q", _new_bases(keys, "qs", "qe")).withColumn("_t", _new_bases(keys, "ts", "te"))
+    # a row a position; what is summed up once an HSP stands at its first one
+    d = d.select(*keys, "qs", "qe", "ts", "te", "bits", "evalue", "_q", "_t", F.posexplode_outer(F.split(F.regexp_replace("match", "[^A-Za-z|+_]", ""), "")).alias("i", "c"))
+    first, known = F.coalesce(F.col("i") == 0, F.lit(True)), F.coalesce(~F.col("c").isin("", "_"), F.lit(False))
+    once = {"query_aligned": F.when(first, F.col("_q")), "target_aligned": F.when(first, F.col("_t")), "n_hsps": first.cast("long")}
+    whole = lambda qs, qe, ts, te: [F.min(qs).alias("query_start"), F.max(qe).alias("query_end"), F.min(ts).alias("target_start"), F.max(te).alias("target_end"), F.max("bits").alias("bits"), F.min("evalue").alias("evalue")]
+    d = d.groupBy(*keys, (F.col("qs") + F.col("i")).alias("at")).agg(F.bool_or(known).alias("_p"), F.bool_or(known & (F.col("c") != "+")).alias("_i"), *whole("qs", "qe", "ts", "te"), *[F.sum(c).alias(k) for k, c in once.items()])
+    d = d.groupBy(*keys).agg(*[F.count(F.when(F.col(k), 1)).alias(k) for k in ("_p", "_i")], *whole("query_start", "query_end", "target_start", "target_end"), *[F.sum(k).alias(k) for k in once])
+    share = lambda c: F.col(c) * 100 / F.col("query_aligned")
+    return d.select(*keys, "bits", "evalue", "n_hsps", "query_start", "query_end", "query_aligned", "target_start", "target_end", "target_aligned", share("_i").alias("identity"), share("_p").alias("positives"))

@@ -178,3 +178,20 @@ def test_hits_of_parts(tables, evidence):
                 assert (r["bits"], r["evalue"]) == (max(x[8] for x in kept), min(x[7] for x in kept))
                 assert r["identity"] == pytest.approx(len(same) * 100 / aligned[0]) and r["positives"] == pytest.approx(len(positive) * 100 / aligned[0])
     assert want == len(got) > 20
+
+
+def test_hits_are_brought_together_by_model_once(spark):
+    """What is grouped by model, and by part and target of it, stays where its model's lines are: before, thirty shuffles."""
+    from splicedf import plans
+    from tests.conftest import SF
+
+    p = plans.QUERIES["chimera_hits"](spark, SF)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert 0 < p.count("Exchange hashpartitioning") <= 6
+
+
+def test_hits_without_letters(spark):
+    """HSPs whose match is missing, empty or holds no position have hits all the same; equal ones count twice."""
+    rows = [(1, "a", 100, 1, 50, 1, 20, 1e-9, 30.0, m) for m in (None, "", "__", "-- ")] + [(1, "a", 100, 50, 90, 20, 40, 1e-8, 40.0, "_A+"), (1, "b", 100, 1, 90, 1, 9, 1e-3, 9.0, None)]
+    decided = spark.createDataFrame([(1, 1, 90, 1, 1, 90)], "tid long, s long, e long, part int, `from` long, `to` long")
+    got = {r["target"]: tuple(r)[3:] for r in chimeras.chimera_hits(spark.createDataFrame(rows, HSP), decided, 0.4).collect()}
+    assert got == {"a": (40.0, 1e-9, 5, 1, 90, 91, 1, 40, 41, 100 / 91, 200 / 91), "b": (9.0, 1e-3, 1, 1, 90, 90, 1, 9, 9, 0.0, 0.0)}
