@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splicedf.operators.model import by_range, carried, islands
+from splicedf.operators.model import RANGE, by_range, carried, islands
 
 
 def _sided(d: DataFrame, keys: list[str], tag: str) -> DataFrame:
@@ -90,14 +92,27 @@ def intergenic_distances(gene: DataFrame) -> DataFrame:
 
 
 def covered_bases(a: DataFrame, b: DataFrame, keys: tuple = ("chrom",)) -> DataFrame:
-    """One row: common, only_a, only_b: bases of the unions of two sets, by a sweep over the ends of merged intervals."""
-    keys = list(keys)
-    x, y = merged(a, keys), merged(b, keys)
-    common = join_overlap(x, y, tuple(keys)).agg(F.coalesce(F.sum("overlap"), F.lit(0)).alias("common"))
-    n = lambda d, k: d.agg(F.coalesce(F.sum(F.col("e") - F.col("s") + 1), F.lit(0)).alias(k))
-    parts = common.select(F.lit("common").alias("k"), F.col("common").alias("v")).unionAll(n(x, "v").select(F.lit("a").alias("k"), "v")).unionAll(n(y, "v").select(F.lit("b").alias("k"), "v"))
-    pick = lambda k: F.sum(F.when(F.col("k") == k, F.col("v")))
-    return parts.agg(pick("common").alias("common"), pick("a").alias("a"), pick("b").alias("b"))
+    """One row: common, a, b: bases of the unions of two sets, and those that both have."""
+    side = lambda d, first: d.select(*keys, "s", "e", F.lit(first).alias("in_a"), F.lit(not first).alias("in_b"))
+    return covered_by(side(a, True).unionAll(side(b, False)), "in_a", "in_b", keys)
+
+
+def covered_by(d: DataFrame, in_a: str, in_b: str, keys: tuple = ("chrom",)) -> DataFrame:
+    """covered_bases of one table, whose flags say to which of the two sets an interval belongs.
+
+    Intervals are cut at the borders of ranges, which are swept each by itself: what an interval adds to those before it.
+    What both have is what the sets have less their union; without a key nothing is in common.
+    """
+    d = d.select(*keys, F.col(in_a).alias("_a"), F.col(in_b).alias("_b"), "s", "e", F.explode(F.sequence(F.floor(F.col("s") / RANGE), F.floor(F.col("e") / RANGE))).alias("_cell"))
+    d = d.withColumns({"s": F.greatest("s", F.col("_cell") * RANGE), "e": F.least("e", F.col("_cell") * RANGE + (RANGE - 1))})
+    w = Window.partitionBy(*keys, "_cell").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    top = lambda c: F.coalesce(F.max(F.when(c, F.col("e"))).over(w), F.col("s") - 1)
+    new = lambda c: F.when(c, F.greatest(F.lit(0), F.col("e") - F.greatest(F.col("s") - 1, top(c))))
+    known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    d = d.select(known.alias("_known"), *[new(c).alias(n) for n, c in (("a", F.col("_a")), ("b", F.col("_b")), ("u", F.col("_a") | F.col("_b")))])
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    both = [F.when(F.col("_known"), F.col(c)) for c in "abu"]
+    return d.agg((n(both[0]) + n(both[1]) - n(both[2])).alias("common"), n("a").alias("a"), n("b").alias("b"))
 
 
 def overlaps(s1: Column, e1: Column, s2: Column, e2: Column, flank: int = 0) -> Column:

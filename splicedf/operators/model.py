@@ -23,6 +23,19 @@ def transcript_bounds(exon: DataFrame) -> DataFrame:
     return exon.groupBy("tid").agg(F.min("gid").alias("gid"), F.min("chrom").alias("chrom"), F.min("strand").alias("strand"), F.min("s").alias("s"), F.max("e").alias("e"), F.count(F.lit(1)).alias("n_exons"), F.sum(F.col("e") - F.col("s") + 1).alias("cdna"), F.bool_or("is_ref").alias("is_ref"), F.min("source").alias("source"))
 
 
+def model_rows(exon: DataFrame) -> DataFrame:
+    """transcript_bounds with the exons themselves, sorted, as xs: a row a model."""
+    x = exon.groupBy("tid").agg(*[F.min(c).alias(c) for c in ("gid", "chrom", "strand")], F.bool_or("is_ref").alias("is_ref"), F.array_sort(F.collect_list(F.struct("s", "e"))).alias("xs"))
+    cdna = F.aggregate("xs", F.lit(0).cast("long"), lambda n, x: n + x.e - x.s + 1)
+    return x.select("tid", "gid", "chrom", "strand", F.col("xs")[0]["s"].alias("s"), F.array_max(F.col("xs.e")).alias("e"), F.size("xs").cast("long").alias("n_exons"), cdna.alias("cdna"), "is_ref", "xs")
+
+
+def gaps() -> Column:
+    """The introns of model_rows, as pairs."""
+    rest = F.size("xs") - 1
+    return F.zip_with(F.slice("xs", 1, rest), F.slice("xs", 2, rest), lambda a, b: F.struct((a.e + 1).alias("s"), (b.s - 1).alias("e")))
+
+
 def gene_bounds(transcript: DataFrame, coding: Column | None = None) -> DataFrame:
     is_coding = coding if coding is not None else F.col("tid") % 4 != 0
     return transcript.groupBy("gid").agg(F.min("chrom").alias("chrom"), F.min("s").alias("s"), F.max("e").alias("e"), F.count(F.lit(1)).alias("n_tx"), F.max("n_exons").alias("max_exons"), F.count(F.when(is_coding, 1)).alias("n_coding"))

@@ -29,24 +29,36 @@ def single(t, pairs: DataFrame) -> DataFrame:
 
 
 def facts(t) -> DataFrame:
-    """All facts of the report: a row a level, each over features of its own. Exons, introns and transcripts are written once,
-    so that levels need not bring the exons of a transcript together again."""
-    for name in ("exon", "intron", "transcript"):
-        t.keep(name)
-    pairs, is_ref = compared(t), F.col("tid") % 3 == 0
-    x = t.exon.select("chrom", "strand", "s", "e", "is_ref")
-    site, chain = model.splice_sites(t.intron).withColumn("is_ref", is_ref), model.intron_chain(t.intron).withColumn("is_ref", is_ref)
+    """All facts of the report: a row a level, each over features of its own. Models are written once, as rows with their
+    exons, so no level brings the exons of a model together again; exons and introns are written once each, and what their
+    bases and splice sites are asked is asked of them."""
+    m = stored(model.model_rows(t.exon))
+    pairs = stored(compare.compared((m.filter("NOT is_ref"),), (m.filter("is_ref"),)).select("tid_a", "tid_b", "strand_a", "strand_b", "j_f1", "n_f1", "ccode"))
     once = lambda d, k: d.select(F.lit(k).alias("key"), F.col("common").alias("common_ref"), F.col("common").alias("common_pred"), "pred", "ref")
-    many = lambda d, k: d.select(F.lit(k).alias("key"), "common_ref", "common_pred", "pred", "ref")
-    place, of_site, of_chain = ["chrom", "strand", "s", "e"], ["chrom", "strand", "pos", "kind"], ["chrom", "strand", "chain"]
+    both = lambda d, k: evaluate.both_confusions(d).select(F.when(F.col("weighted"), k).otherwise(f"{k}_nr").alias("key"), "common_ref", "common_pred", "pred", "ref")
+    place = ["chrom", "strand", "s", "e"]
+    own = m.select("chrom", "strand", "is_ref", F.col("n_exons").alias("_k"), F.posexplode("xs").alias("_i", "x")).select("chrom", "strand", "is_ref", "_k", (F.col("_i") + 1).alias("_i"), "x.s", "x.e")
+    outer = (F.col("_i") == 1) | (F.col("_i") == F.col("_k"))
+    exon = stored(own.groupBy(*place).agg(F.bool_or("is_ref").alias("in_ref"), F.bool_or(~F.col("is_ref")).alias("in_pred"), F.bool_or(~outer).alias("inner")))
+    intron = stored(evaluate.feature_flags(m.select("chrom", "strand", "is_ref", F.inline(model.gaps())), place))
+    chain = evaluate.feature_flags(m.filter("n_exons > 1").select("chrom", "strand", "is_ref", F.xxhash64(model.gaps()).alias("chain")), ["chrom", "strand", "chain"])
+    donor = F.coalesce(F.col("first") == (F.col("strand") == "+"), F.lit(False)).alias("donor")
+    ends = F.array(F.struct(F.col("s").alias("pos"), F.lit(True).alias("first")), F.struct(F.col("e").alias("pos"), F.lit(False).alias("first")))
+    flags = lambda d, *keys: d.groupBy(*keys).agg(*[F.bool_or(c).alias(c) for c in ("in_ref", "in_pred")])
+    site = flags(intron.select("chrom", "strand", "in_ref", "in_pred", F.inline(ends)), "chrom", "strand", "pos", donor)
     rows = [
-        once(evaluate.base_level(intervals.covered_bases(x.filter("is_ref").drop("is_ref"), x.filter("NOT is_ref").drop("is_ref"), ("chrom", "strand"))), "base"),
-        once(evaluate.feature_confusion(t.exon, place), "exon"), once(evaluate.lenient_confusion(t.exon, single(t, pairs)), "exon_lenient"), once(evaluate.feature_confusion(site, of_site), "splice"), many(evaluate.weighted_confusion(t.intron, place), "intron"),
-        once(evaluate.feature_confusion(t.intron, place), "intron_nr"), many(evaluate.weighted_confusion(chain, of_chain), "chain"), once(evaluate.feature_confusion(chain, of_chain), "chain_nr"), evaluate.found_levels(t.transcript, pairs),
+        once(evaluate.base_level(intervals.covered_by(exon, "in_ref", "in_pred", ("chrom", "strand"))), "base"), once(evaluate.flags_confusion(exon), "exon"), once(evaluate.flags_confusion(evaluate.numbered_flags(own.filter(outer & (F.col("_k") > 1)), lone(m, pairs), exon)), "exon_lenient"),
+        once(evaluate.flags_confusion(site), "splice"), both(intron, "intron"), both(chain, "chain"), evaluate.found_levels(m, pairs),
     ]
     return _cut(reduce(DataFrame.unionAll, rows))
 
 
+def lone(m: DataFrame, pairs: DataFrame) -> DataFrame:
+    """single() of model_rows: only models of one exon have that code."""
+    own = pairs.filter((F.col("ccode") == "_") & F.col("strand_a").eqNullSafe(F.col("strand_b"))).select(F.col("tid_b").alias("tid")).distinct()
+    return m.filter("n_exons = 1").join(own, "tid", "left_semi").select("chrom", "strand", "s", "e")
+
+
 PAIRS = re.sub(r"\bsite\b", "own_site", pair_sql(0, held=HELD.replace(" WHERE mode <> 'many' OR sa = strand)", ")")))
 LENIENT = """ix AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY s) AS i, count(*) OVER (PARTITION BY tid) AS k FROM exon),
 lx AS (SELECT 'start' AS kind, chrom, strand, e AS a, 0 AS b, is_ref, true AS flag FROM ix WHERE k > 1 AND i = 1 UNION ALL SELECT 'end', chrom, strand, s, 0, is_ref, true FROM ix WHERE k > 1 AND i = k UNION ALL SELECT 'exon', chrom, strand, s, e, is_ref, k > 1 AND i > 1 AND i < k FROM ix

@@ -84,3 +84,13 @@ def test_options(spark, both):
     assert [(r["ref_id"], r["ccode"]) for r in compare.tmap(pred, ref).filter("tid = 'fused'").collect()] == [("r2", "=")]
     coding = [compare.with_options(d, cds, protein_coding=True) for d in both]
     assert [(r["tid"], r["ref_id"]) for r in compare.tmap(*coding).collect()] == [("fused", "r1")]
+
+
+def test_places_far_out(spark):
+    """Models on both sides of 2^32, as tables of 6 GB have them: before, bases in common were lost there."""
+    at = 1 << 32
+    a, b = [(at - 50, at + 50), (at + 300, at + 400)], [(at + 10, at + 50), (at + 300, at + 400), (at + 600, at + 700)]
+    pred, ref = side(spark, {("p", "g", "+"): a, ("m", "h", "+"): [(at + 350, at + 450)]}), side(spark, {("r", "g", "+"): b})
+    got = {r["tid_a"]: r for r in compare.compare_pairs(pred, ref).collect()}
+    assert (got["p"]["n_common"], got["p"]["j_common"], got["p"]["i_common"], got["p"]["ccode"]) == (142, 2, 1, "C")
+    assert (got["m"]["n_common"], got["m"]["m_first"], got["m"]["ccode"]) == (51, 49, "e")

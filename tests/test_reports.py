@@ -56,3 +56,37 @@ def test_report_and_its_file(spark, tmp_path):
     formats.write_stats(report, str(tmp_path / "stats"))
     lines = {r["row"]: r["value"] for r in formats.scan_stats(spark, str(tmp_path / "stats")).collect()}
     assert len(lines) == 30 and lines[1] == "                        Base level: 50.00  50.00  50.00" and lines[15].endswith("chains: 4") and lines[21].endswith("(stringent): 3/6  (50.00%)")
+
+
+def test_facts_bring_models_together_once(spark):
+    """Levels are asked of tables of distinct exons and introns: before, each gathered or numbered a model's exons anew."""
+    from unittest import mock
+
+    from splicedf.operators import graph
+    from splicedf.plans import reports
+    from splicedf.sources import projection
+    from tests.conftest import SF
+
+    made = []
+    with mock.patch.object(reports, "_cut", lambda d: made.append(d) or graph._cut(d)):
+        reports.facts(projection.Tables(spark, SF))
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 3 and "collect_list" not in plan
+
+
+def test_bases_are_counted_range_by_range(spark):
+    """Bases of unions by brute force, with intervals over several ranges, and flags in place of two tables."""
+    import random
+
+    from splicedf.operators import intervals
+
+    r = random.Random(3)
+    rows = [(r.choice("xy"), s := r.choice([65_500, 131_000, 10, -70_000]) + r.randint(0, 90), s + r.choice([0, 5, 40, 66_000]), r.random() < 0.6, r.random() < 0.5) for _ in range(60)]
+    rows.append((None, 1, 9, True, True))
+    of = lambda i: {(k, p) for k, s, e, *f in rows if f[i] for p in range(s, e + 1)}
+    a, b = of(0), of(1)
+    want = (sum(k is not None for k, _ in a & b), len(a), len(b))
+    d = spark.createDataFrame(rows, "chrom string, s long, e long, in_a boolean, in_b boolean")
+    assert tuple(intervals.covered_by(d, "in_a", "in_b").first()) == want
+    assert tuple(intervals.covered_bases(d.filter("in_a"), d.filter("in_b")).first()) == want
+    assert tuple(intervals.covered_bases(d.limit(0), d.limit(0)).first()) == (0, 0, 0)
